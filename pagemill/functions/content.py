@@ -8,8 +8,9 @@ from collections.abc import Collection
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from pagemill.functions.binding import let
+from pagemill.functions.binding import over
 
 #: White space as Unicode defines it, spelled out so that every regex dialect agrees.
 WHITESPACE = (
@@ -90,7 +91,7 @@ def charset(kind: Column) -> Column:
     return F.when(named == "", F.lit("utf-8")).otherwise(named)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _decode_other(body: pd.Series, name: pd.Series) -> pd.Series:
     def decode(raw, label):
         if raw is None:
@@ -144,14 +145,13 @@ def strip_regions(text: Column) -> Column:
 
     A page that holds nothing else keeps its text.
     """
-    from pagemill.functions.html import text_chunks
-
-    return let(
-        text,
-        lambda page: let(
-            _remove(page, _REGIONS),
-            lambda kept: F.when(F.size(text_chunks(kept)) > 0, kept).otherwise(page),
-        ),
+    from pagemill.functions.html import chunks_sql
+
+    kept = F.regexp_replace(text, F.lit(_REGIONS), F.lit(""))
+    return over(
+        F.struct(text.alias("page"), kept.alias("kept")),
+        "v",
+        f"if(size({chunks_sql('v.kept')}) > 0, v.kept, v.page)",
     )
 
 

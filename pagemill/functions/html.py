@@ -8,7 +8,7 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pagemill.functions.binding import let
+from pagemill.functions.binding import bind, literal, over
 from pagemill.functions.content import WHITESPACE_CHARS
 
 # A comment or a block whose content is not shown; an unclosed one runs to the end.
@@ -32,152 +32,144 @@ _C1_CHARACTERS = {
 }
 
 
-def _lookup(key: Column, table: Mapping[str, str]) -> Column:
-    """The entry of a constant table, or NULL; the table folds into one literal."""
-    packed = _PAIR.join(f"{name}{_SIDE}{text}" for name, text in table.items())
-    return F.try_element_at(F.str_to_map(F.lit(packed), F.lit(_PAIR), F.lit(_SIDE)), key)
+def _lookup(key: str, table: Mapping[str, str]) -> str:
+    """SQL for the entry of a constant table, or NULL.
 
+    The table is one string: a map literal of this size slows planning down.
+    """
+    packed = literal(_PAIR + _PAIR.join(f"{name}{_SIDE}{text}" for name, text in table.items()))
+    mark = f"concat('{_PAIR}', {key}, '{_SIDE}')"
+    return f"""if(instr({packed}, {mark}) > 0,
+        substring_index(substring_index({packed}, {mark}, -1), '{_PAIR}', 1), NULL)"""
 
-def _character(code: Column) -> Column:
-    """The character an HTML numeric reference stands for."""
-    dropped = (
-        code.between(0x01, 0x08)
-        | code.between(0x0E, 0x1F)
-        | (code == 0x0B)
-        | (code == 0x7F)
-        | code.between(0xFDD0, 0xFDEF)
-        | (code % 0x10000).isin(0xFFFE, 0xFFFF)
-    )
-    utf32 = F.unhex(F.lpad(F.hex(code), 8, "0"))
-    return (
-        F.when(code.isNull() | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF), "�")
-        .when(code == 0, "�")
-        .when(code.between(0x80, 0x9F), _lookup(code.cast("string"), _C1_CHARACTERS))
-        .when(dropped, "")
-        .otherwise(F.decode(utf32, "UTF-32"))
-    )
+
+# The character of a numeric reference; ``code`` is NULL when it is too large.
+_CHARACTER = f"""CASE
+    WHEN code IS NULL OR code = 0 OR code > 1114111 OR code BETWEEN 55296 AND 57343 THEN '�'
+    WHEN code BETWEEN 128 AND 159 THEN {_lookup("CAST(code AS STRING)", _C1_CHARACTERS)}
+    WHEN code < 9 OR code = 11 OR code BETWEEN 14 AND 31 OR code = 127
+        OR code BETWEEN 64976 AND 65007 OR code % 65536 >= 65534 THEN ''
+    ELSE decode(unhex(lpad(hex(code), 8, '0')), 'UTF-32') END"""
+
+
+def _number(digits: str, base: int) -> str:
+    trimmed = f"ltrim('0', {digits})"
+    return f"if(length({trimmed}) <= 8, CAST(conv({digits}, {base}, 10) AS BIGINT), NULL)"
 
 
-def _decode_reference(part: Column) -> Column:
-    """Decode the reference at the start of ``part``, the text that followed an ``&``."""
-    exact = F.regexp_extract(part, r"^[A-Za-z][A-Za-z0-9]*;", 0)
-    legacy = F.regexp_extract(part, f"^(?:{'|'.join(_LEGACY)})", 0)
-    decimal = F.regexp_extract(part, r"^#([0-9]+);?", 1)
-    hexadecimal = F.regexp_extract(part, r"^#[xX]([0-9a-fA-F]+);?", 1)
+def _reference() -> str:
+    """SQL to decode the reference at the start of ``part``, the text after an ``&``."""
     legacy_table = {name: html5[name] for name in _LEGACY}
+    numeric = literal(r"^#(?:[0-9]+|[xX][0-9a-fA-F]+);?")
+    digits = f"regexp_extract(part, {literal(r'^#[xX]?([0-9a-fA-F]+)')}, 1)"
+    number = f"if(part RLIKE '^#[xX]', {_number(digits, 16)}, {_number(digits, 10)})"
+    exact = "regexp_extract(part, '^[A-Za-z][A-Za-z0-9]*;', 0)"
+    legacy = f"regexp_extract(part, '^(?:{'|'.join(_LEGACY)})', 0)"
+
+    def named(pattern: str, table: Mapping[str, str], otherwise: str) -> str:
+        entry = bind("hit", _lookup("name", table), f"""if(hit IS NULL, {otherwise},
+            concat(hit, substr(part, length(name) + 1)))""")
+        return bind("name", pattern, f"if(name = '', {otherwise}, {entry})")
+
+    plain = "concat('&', part)"
+    return f"""CASE WHEN startswith(part, 'amp;') THEN concat('&', substr(part, 5))
+        WHEN part RLIKE {numeric}
+        THEN concat({bind("code", number, _CHARACTER)}, regexp_replace(part, {numeric}, ''))
+        ELSE coalesce({named(exact, html5, "NULL")}, {named(legacy, legacy_table, plain)}) END"""
+
+
+_WHOLE = bind(
+    "parts",
+    "split(raw, '&')",
+    f"""concat(parts[0], array_join(transform(
+        slice(parts, 2, greatest(size(parts) - 1, 0)), part -> {_reference()}), ''))""",
+)
 
-    def code(digits: Column, base: int) -> Column:
-        digits = F.regexp_replace(digits, "^0+(?=.)", "")
-        return F.when(F.length(digits) <= 8, F.conv(digits, base, 10).cast("long"))
-
-    def rest(pattern: str) -> Column:
-        return F.regexp_replace(part, pattern, "")
-
-    return (
-        F.when(part.startswith("amp;"), F.concat(F.lit("&"), F.substr(part, F.lit(5))))
-        .when(
-            decimal != "", F.concat(_character(code(decimal, 10)), rest(r"^#[0-9]+;?"))
-        )
-        .when(
-            hexadecimal != "",
-            F.concat(_character(code(hexadecimal, 16)), rest(r"^#[xX][0-9a-fA-F]+;?")),
-        )
-        .otherwise(
-            let(
-                F.when(exact != "", _lookup(exact, html5)),
-                lambda hit: F.when(
-                    hit.isNotNull(), F.concat(hit, F.substr(part, F.length(exact) + 1))
-                )
-                .when(
-                    legacy != "",
-                    F.concat(
-                        _lookup(legacy, legacy_table), F.substr(part, F.length(legacy) + 1)
-                    ),
-                )
-                .otherwise(F.concat(F.lit("&"), part)),
-            )
-        )
-    )
 
+def entities_sql(text: str) -> str:
+    """SQL that replaces every character reference once, as HTML5 defines them."""
+    return bind("raw", text, f"if(contains(raw, '&'), {_WHOLE}, raw)")
 
-def decode_entities(text: Column) -> Column:
-    """Replace every character reference once, as HTML5 defines them."""
 
-    def join(parts: Column) -> Column:
-        tail = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
-        decoded = F.transform(tail, _decode_reference)
-        return F.concat(F.get(parts, F.lit(0)), F.array_join(decoded, ""))
+def trim_sql(text: str) -> str:
+    return f"btrim({text}, {literal(WHITESPACE_CHARS)})"
 
-    return let(
-        text,
-        lambda value: F.when(value.contains("&"), let(F.split(value, "&"), join)).otherwise(value),
-    )
+
+def decode_entities(text: Column) -> Column:
+    return over(text, "given", entities_sql("given"))
 
 
 def trim(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE_CHARS))
 
 
-def text_chunks(html: Column) -> Column:
-    """The visible text between tags, trimmed and decoded, blanks left out."""
-    shown = F.regexp_replace(html, F.lit(_HIDDEN_OR_NOSCRIPT), F.lit("<!>"))
-    chunks = F.transform(
-        F.split(shown, _TAG), lambda chunk: trim(decode_entities(chunk))
-    )
-    return F.filter(chunks, lambda chunk: chunk != "")
+def chunks_sql(html: str) -> str:
+    """SQL array of the visible text between tags, trimmed and decoded, blanks left out."""
+    shown = f"regexp_replace({html}, {literal(_HIDDEN_OR_NOSCRIPT)}, '<!>')"
+    return f"""filter(transform(split({shown}, {literal(_TAG)}),
+        chunk -> {trim_sql(entities_sql("chunk"))}), chunk -> chunk <> '')"""
 
 
 def html_text(html: Column) -> Column:
     """Visible text, one blank between chunks."""
-    return F.array_join(text_chunks(html), " ")
+    return over(html, "page", f"array_join({chunks_sql('page')}, ' ')")
 
 
-def tags_of(html: Column, *names: str) -> Column:
-    """The start tags of the given names, in document order, outside hidden blocks."""
-    shown = F.regexp_replace(html, F.lit(_HIDDEN), F.lit(""))
+def _tags(html: str, *names: str) -> str:
+    """SQL array of the start tags of the given names, in order, outside hidden blocks."""
+    shown = f"regexp_replace({html}, {literal(_HIDDEN)}, '')"
     pattern = rf"(?i)<(?:{'|'.join(names)})(?=[\s/>]){_QUOTED_REST}"
-    return F.regexp_extract_all(shown, F.lit(pattern), 0)
+    return f"regexp_extract_all({shown}, {literal(pattern)}, 0)"
+
 
+def _attribute(attributes: str, name: str) -> str:
+    """SQL for the first attribute of that name: NULL when absent, '' without a value."""
+    names = rf"""transform({attributes}, item -> lower(regexp_extract(item, {literal(r"^[^\s=]+")}, 0)))"""
+    item = f"get({attributes}, CAST(array_position({names}, '{name}') AS INT) - 1)"
+    value = f"regexp_replace({item}, {literal(r'(?s)^[^=]*=?\s*')}, '')"
+    quotes = literal(r"""(?s)^(["'])(.*)\1$""")
+    return entities_sql(f"regexp_replace({value}, {quotes}, '$2')")
 
-def attribute(tag: Column, name: str) -> Column:
-    """The first attribute of that name: NULL when absent, '' without a value."""
 
-    def named(tokens: Column) -> Column:
-        names = F.transform(tokens, lambda token: F.lower(F.regexp_extract(token, r"^[^\s=]+", 0)))
-        return F.get(tokens, F.array_position(names, name).cast("int") - 1)
+def _attributes(tag: str) -> str:
+    return f"regexp_extract_all({tag}, {literal(_ATTRIBUTE)}, 0)"
 
-    token = let(F.regexp_extract_all(tag, F.lit(_ATTRIBUTE), 0), named)
-    value = F.regexp_replace(token, r"(?s)^[^=]*=?\s*", "")
-    quoted = F.regexp_replace(value, r"""(?s)^(["'])(.*)\1$""", "$2")
-    return decode_entities(quoted)
+
+_IMAGE = bind(
+    "attrs",
+    _attributes("tag"),
+    f"named_struct('src', {_attribute('attrs', 'src')}, 'alt', {_attribute('attrs', 'alt')})",
+)
+_LINK_TAG = bind(
+    "attrs",
+    _attributes("tag"),
+    f"named_struct('base', tag RLIKE '(?i)^<base', 'href', {_attribute('attrs', 'href')})",
+)
 
 
 def image_structs(html: Column) -> Column:
     """``{src, alt}`` of every image with a real source; inline data images are left out."""
-    images = F.transform(
-        tags_of(html, "img"),
-        lambda tag: F.struct(attribute(tag, "src").alias("src"), attribute(tag, "alt").alias("alt")),
-    )
-    return F.filter(
-        images,
-        lambda image: image["src"].isNotNull()
-        & (trim(image["src"]) != "")
-        & ~F.lower(trim(image["src"])).startswith("data:"),
-    )
+    kept = f"""image -> image.src IS NOT NULL AND {trim_sql("image.src")} <> ''
+        AND NOT startswith(lower({trim_sql("image.src")}), 'data:')"""
+    body = f"filter(transform({_tags('page', 'img')}, tag -> {_IMAGE}), {kept})"
+    return over(html, "page", body)
 
 
 def link_references(html: Column) -> Column:
-    """The ``href`` values of anchors and areas, trimmed, in document order."""
-    hrefs = F.transform(tags_of(html, "a", "area"), lambda tag: attribute(tag, "href"))
-    return F.transform(
-        F.filter(hrefs, lambda href: href.isNotNull()), lambda href: F.btrim(href, F.lit(" \t\n\f\r"))
+    """``{base, links}``: the first ``<base>`` address, or NULL, and the ``href`` values of
+    anchors and areas, trimmed, in document order."""
+    blanks = literal(" \t\n\f\r")
+    found = f"""filter(transform({_tags("page", "base", "a", "area")}, tag -> {_LINK_TAG}),
+        link -> link.href IS NOT NULL)"""
+    body = bind(
+        "found",
+        found,
+        f"""named_struct(
+            'base', nullif(get(filter(found, link -> link.base), 0).href, ''),
+            'links', transform(filter(found, link -> NOT link.base),
+                               link -> btrim(link.href, {blanks})))""",
     )
-
-
-def base_reference(html: Column) -> Column:
-    """The ``href`` of the first ``<base>``, or NULL."""
-    tag = F.get(tags_of(html, "base"), F.lit(0))
-    return F.nullif(trim(attribute(tag, "href")), F.lit(""))
+    return over(html, "page", body)
 
 
 # The markdown rules, in order.  Inline marks apply to the innermost element first, so

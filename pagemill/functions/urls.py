@@ -8,14 +8,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.functions.binding import let
+from pagemill.functions.binding import bind, literal, over
 
 _PIECES = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?"
 _CONTROL_OR_SPACE = "".join(map(chr, range(0x21)))
@@ -26,37 +25,52 @@ _WEB_SCHEMES = ("http", "https", "ftp", "file")
 _URL_SAFE = r"A-Za-z0-9\-._~:/?#\[\]@!$&'()*+,;=%|"
 
 
-@dataclass(frozen=True)
-class UrlPieces:
-    scheme: Column
-    netloc: Column
-    path: Column
-    query: Column
-    fragment: Column
+def _pieces(url: str) -> str:
+    """SQL struct of scheme (lower case), netloc, path, query and fragment; missing are ''."""
+    pattern = literal(_PIECES)
+    groups = (
+        f"lower(regexp_extract(raw, {pattern}, 1)) AS scheme",
+        f"regexp_extract(raw, {pattern}, 2) AS netloc",
+        f"regexp_extract(raw, {pattern}, 3) AS path",
+        f"regexp_extract(raw, {pattern}, 4) AS query",
+        f"regexp_extract(raw, {pattern}, 5) AS fragment",
+    )
+    cleaned = f"translate(ltrim({literal(_CONTROL_OR_SPACE)}, {url}), '\\t\\r\\n', '')"
+    return bind("raw", cleaned, f"struct({', '.join(groups)})")
 
 
-def url_pieces(url: Column) -> UrlPieces:
-    """Scheme (lower case), authority, path, query and fragment; missing ones are ''."""
-    cleaned = F.translate(F.ltrim(url, F.lit(_CONTROL_OR_SPACE)), "\t\r\n", "")
-    scheme, netloc, path, query, fragment = (
-        F.regexp_extract(cleaned, _PIECES, group) for group in range(1, 6)
-    )
-    return UrlPieces(F.lower(scheme), netloc, path, query, fragment)
+def _over_pieces(url: Column, body: str) -> Column:
+    """SQL ``body`` over ``u``, the URL, and ``p``, its pieces."""
+    return over(url, "u", bind("p", _pieces("u"), body))
 
 
-def _assemble(scheme: Column, netloc: Column, path: Column, query: Column) -> Column:
-    authority = (
-        F.when(netloc != "", F.concat(F.lit("//"), netloc))
-        .when(path.startswith("//"), F.lit("//"))
-        .when(scheme.isin(*_WEB_SCHEMES) & path.startswith("/"), F.lit("//"))
-        .otherwise(F.lit(""))
-    )
-    return F.concat(
-        F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(F.lit("")),
-        authority,
-        path,
-        F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")),
-    )
+_WEB = ", ".join(map(literal, _WEB_SCHEMES))
+
+
+def _assembled(scheme: str, netloc: str, path: str, query: str) -> str:
+    return f"""concat(
+        CASE WHEN {scheme} = '' THEN '' ELSE concat({scheme}, ':') END,
+        CASE WHEN {netloc} <> '' THEN concat('//', {netloc})
+             WHEN startswith({path}, '//') THEN '//'
+             WHEN {scheme} IN ({_WEB}) AND startswith({path}, '/') THEN '//'
+             ELSE '' END,
+        {path},
+        CASE WHEN {query} = '' THEN '' ELSE concat('?', {query}) END)"""
+
+
+_EMPTY_PARAMETERS = literal(r"^((?:.*/)?[^/;]*);$")
+_CANONICAL_PATH = f"""coalesce(nullif(
+    CASE WHEN endswith(p.path, ';') THEN regexp_replace(p.path, {_EMPTY_PARAMETERS}, '$1')
+         ELSE p.path END, ''), '/')"""
+_CANONICAL = bind(
+    "path", _CANONICAL_PATH, _assembled("p.scheme", "lower(p.netloc)", "path", "p.query")
+)
+_HOST = bind(
+    "host",
+    "substring_index(coalesce(nullif(p.netloc, ''), regexp_extract(p.path, '^[^/]*', 0)), '@', -1)",
+    f"""CASE WHEN startswith(host, '[') THEN regexp_extract(host, {literal(r"^\[[^\]]*\]?")}, 0)
+             ELSE substring_index(host, ':', 1) END""",
+)
 
 
 def canonical_url(url: Column) -> Column:
@@ -65,32 +79,21 @@ def canonical_url(url: Column) -> Column:
     Path case, parameters, query order, port and trailing slash stay; an empty ``?`` or
     trailing ``;`` goes.
     """
-    pieces = url_pieces(url)
-    path = F.when(
-        pieces.path.endswith(";"),
-        F.regexp_replace(pieces.path, r"^((?:.*/)?[^/;]*);$", "$1"),
-    ).otherwise(pieces.path)
-    path = F.when(path == "", F.lit("/")).otherwise(path)
-    return _assemble(pieces.scheme, F.lower(pieces.netloc), path, pieces.query)
+    return _over_pieces(url, _CANONICAL)
 
 
 def url_domain(url: Column) -> Column:
     """Host in lower case without user, port or surrounding dots; NULL when there is none."""
-    pieces = url_pieces(url)
-    host = F.when(pieces.netloc != "", pieces.netloc).otherwise(
-        F.regexp_extract(pieces.path, r"^[^/]*", 0)
-    )
-    host = F.substring_index(host, "@", -1)
-    host = F.when(host.startswith("["), F.regexp_extract(host, r"^\[[^\]]*\]?", 0)).otherwise(
-        F.substring_index(host, ":", 1)
-    )
-    host = F.lower(F.btrim(F.btrim(host, F.lit(_CONTROL_OR_SPACE)), F.lit(".")))
-    return F.nullif(host, F.lit(""))
+    spaces = literal(_CONTROL_OR_SPACE)
+    return _over_pieces(url, f"nullif(lower(btrim(btrim({_HOST}, {spaces}), '.')), '')")
 
 
 def url_origin(url: Column) -> Column:
-    pieces = url_pieces(url)
-    return _assemble(pieces.scheme, F.lower(pieces.netloc), F.lit(""), F.lit(""))
+    return _over_pieces(url, _assembled("p.scheme", "lower(p.netloc)", "''", "''"))
+
+
+def url_path(url: Column) -> Column:
+    return _over_pieces(url, "p.path")
 
 
 def seed_url(value: Column, on_error: str = "null") -> Column:
@@ -98,20 +101,17 @@ def seed_url(value: Column, on_error: str = "null") -> Column:
 
     Other schemes and empty hosts give NULL, or fail the job with ``on_error='raise'``.
     """
-    pieces = url_pieces(value)
-    web = pieces.scheme.isin("http", "https") & (pieces.netloc != "")
-    foreign = (pieces.scheme != "") | (pieces.netloc != "")
-    empty = F.regexp_extract(pieces.path, r"^[^/]*", 0) == ""
     if on_error == "raise":
-        bad_scheme = F.raise_error(F.lit("url must be an HTTP(S) URL or domain"))
-        bad_host = F.raise_error(F.lit("url must be non-empty"))
+        bad_scheme = "raise_error('url must be an HTTP(S) URL or domain')"
+        bad_host = "raise_error('url must be non-empty')"
     else:
-        bad_scheme = bad_host = F.lit(None)
-    return (
-        F.when(web, value)
-        .when(foreign, bad_scheme.cast("string"))
-        .when(empty, bad_host.cast("string"))
-        .otherwise(F.concat(F.lit("https://"), value))
+        bad_scheme = bad_host = "NULL"
+    return _over_pieces(
+        value,
+        f"""CASE WHEN p.scheme IN ('http', 'https') AND p.netloc <> '' THEN u
+            WHEN p.scheme <> '' OR p.netloc <> '' THEN CAST({bad_scheme} AS STRING)
+            WHEN p.path = '' OR startswith(p.path, '/') THEN CAST({bad_host} AS STRING)
+            ELSE concat('https://', u) END""",
     )
 
 
@@ -148,62 +148,48 @@ def sitemap_seeds(df: DataFrame, url: str = "url") -> DataFrame:
 
 def escape_url(url: Column) -> Column:
     """Percent-encode what a URL may not hold, as UTF-8; existing escapes stay."""
-    runs = F.regexp_extract_all(url, F.lit(f"[{_URL_SAFE}]+|[^{_URL_SAFE}]+"), 0)
-    escaped = F.transform(
-        runs,
-        lambda run: F.when(
-            run.rlike(f"^[^{_URL_SAFE}]"), F.regexp_replace(F.hex(run), "(..)", "%$1")
-        ).otherwise(run),
+    runs = literal(f"[{_URL_SAFE}]+|[^{_URL_SAFE}]+")
+    unsafe = literal(f"[^{_URL_SAFE}]")
+    return over(
+        url,
+        "u",
+        f"""CASE WHEN u RLIKE {unsafe} THEN array_join(transform(
+                regexp_extract_all(u, {runs}, 0),
+                run -> CASE WHEN run RLIKE {unsafe} THEN regexp_replace(hex(run), '(..)', '%$1')
+                            ELSE run END), '')
+            ELSE u END""",
     )
-    return F.when(url.rlike(f"[^{_URL_SAFE}]"), F.array_join(escaped, "")).otherwise(url)
 
 
-def _without_dot_segments(path: Column) -> Column:
-    def pop(stack: Column) -> Column:
-        return F.slice(stack, F.lit(1), F.greatest(F.size(stack) - 1, F.lit(0)))
+_DOT_SEGMENTS = literal(r"(^|/)\.\.?(/|$)")
+_CLOSING_DOTS = literal(r"(^|/)\.\.?$")
 
-    def resolve(value: Column) -> Column:
-        kept = F.aggregate(
-            F.split(value, "/"),
-            F.array().cast("array<string>"),
-            lambda stack, segment: F.when(segment == "..", pop(stack))
-            .when(segment == ".", stack)
-            .otherwise(F.array_append(stack, segment)),
-        )
-        closing = F.when(value.rlike(r"(^|/)\.\.?$"), F.lit("/")).otherwise(F.lit(""))
-        joined = F.concat(F.array_join(kept, "/"), closing)
-        rooted = F.when(joined.startswith("/"), joined).otherwise(F.concat(F.lit("/"), joined))
-        return F.when(value.rlike(r"(^|/)\.\.?(/|$)"), rooted).otherwise(value)
 
-    return let(path, resolve)
+def _without_dot_segments(path: str) -> str:
+    kept = """aggregate(split(dotted, '/'), CAST(array() AS ARRAY<STRING>), (stack, part) ->
+        CASE WHEN part = '..' THEN slice(stack, 1, greatest(size(stack) - 1, 0))
+             WHEN part = '.' THEN stack
+             ELSE array_append(stack, part) END)"""
+    joined = f"""concat(array_join({kept}, '/'),
+        CASE WHEN dotted RLIKE {_CLOSING_DOTS} THEN '/' ELSE '' END)"""
+    rooted = bind("joined", joined, "if(startswith(joined, '/'), joined, concat('/', joined))")
+    return bind("dotted", path, f"if(dotted RLIKE {_DOT_SEGMENTS}, {rooted}, dotted)")
 
 
 def resolve_url(base: Column, reference: Column) -> Column:
     """The absolute URL of ``reference`` seen from ``base`` (dot segments removed)."""
-    origin, target = url_pieces(base), url_pieces(reference)
-    scheme = F.when(target.scheme == "", origin.scheme).otherwise(target.scheme)
-    folder = F.regexp_extract(origin.path, r"^.*/", 0)
-    folder = F.when(folder == "", F.lit("/")).otherwise(folder)
-    relative = F.regexp_replace(F.concat(folder, target.path), "/{2,}", "/")
-    merged = (
-        F.when(target.path == "", origin.path)
-        .when(target.path.startswith("/"), _without_dot_segments(target.path))
-        .otherwise(_without_dot_segments(relative))
-    )
-    own_authority = target.netloc != ""
-    resolved = _assemble(
-        scheme,
-        F.when(own_authority, target.netloc).otherwise(origin.netloc),
-        F.when(own_authority, target.path).otherwise(merged),
-        F.when(
-            ~own_authority & (target.path == "") & (target.query == ""), origin.query
-        ).otherwise(target.query),
-    )
-    resolved = F.when(
-        target.fragment != "", F.concat(resolved, F.lit("#"), target.fragment)
-    ).otherwise(resolved)
-    return (
-        F.when(reference == "", base)
-        .when((scheme != origin.scheme) | ~scheme.isin(*_WEB_SCHEMES), reference)
-        .otherwise(resolved)
-    )
+    folder = "coalesce(nullif(regexp_extract(b.path, '^.*/', 0), ''), '/')"
+    relative = f"regexp_replace(concat({folder}, t.path), '/{{2,}}', '/')"
+    rooted = f"if(startswith(t.path, '/'), t.path, {relative})"
+    merged = f"if(t.path = '', b.path, {_without_dot_segments(rooted)})"
+    parts = f"""struct(
+        if(t.netloc <> '', t.netloc, b.netloc) AS netloc,
+        if(t.netloc <> '', t.path, {merged}) AS path,
+        if(t.netloc = '' AND t.path = '' AND t.query = '', b.query, t.query) AS query)"""
+    whole = bind("r", parts, _assembled("b.scheme", "r.netloc", "r.path", "r.query"))
+    foreign = f"(t.scheme <> '' AND t.scheme <> b.scheme) OR b.scheme NOT IN ({_WEB})"
+    body = f"""CASE WHEN pair.reference = '' THEN pair.base
+        WHEN {foreign} THEN pair.reference
+        ELSE concat({whole}, if(t.fragment = '', '', concat('#', t.fragment))) END"""
+    pieces = bind("b", _pieces("pair.base"), bind("t", _pieces("pair.reference"), body))
+    return over(F.struct(base.alias("base"), reference.alias("reference")), "pair", pieces)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.functions.html import text_chunks
+from pagemill.functions.binding import literal, over
+from pagemill.functions.html import chunks_sql
 from pagemill.functions.urls import url_domain
 from pagemill.operators.skew import lookup_join
 
@@ -25,11 +26,10 @@ _BLOCK_BREAK = r"(?i)</?(?:" + "|".join(BLOCK_TAGS) + r")(?:[\s/][^>]*)?>"
 
 def text_blocks(html: Column) -> Column:
     """The visible text of each block in document order, blanks left out."""
-    shown = F.regexp_replace(html, F.lit(_HIDDEN), F.lit(""))
-    blocks = F.transform(
-        F.split(shown, _BLOCK_BREAK), lambda block: F.array_join(text_chunks(block), " ")
-    )
-    return F.filter(blocks, lambda block: block != "")
+    shown = f"regexp_replace(page, {literal(_HIDDEN)}, '')"
+    blocks = f"""filter(transform(split({shown}, {literal(_BLOCK_BREAK)}),
+        block -> array_join({chunks_sql("block")}, ' ')), block -> block <> '')"""
+    return over(html, "page", blocks)
 
 
 def page_blocks(pages: DataFrame) -> DataFrame:

@@ -7,15 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.functions.binding import let
-from pagemill.functions.html import base_reference, link_references
+from pagemill.functions.html import link_references
 from pagemill.functions.urls import (
     canonical_url,
     escape_url,
     resolve_url,
     url_domain,
     url_matches,
-    url_pieces,
+    url_path,
 )
 from pagemill.operators.skew import lookup_join
 from pagemill.session import cut_lineage
@@ -49,20 +48,23 @@ def link_edges(
     ``link_url`` is absolute and percent-encoded, ``target_url`` its canonical form; a page
     names each link once.  Only URLs with an authority are links.
     """
-    base = F.coalesce(resolve_url(F.col("url"), base_reference(F.col("content"))), F.col("url"))
     based = pages.select(
+        "seq", F.col("url").alias("source_url"), link_references(F.col("content")).alias("_found")
+    ).select(
         "seq",
-        F.col("url").alias("source_url"),
-        base.alias("_base"),
-        F.array_distinct(link_references(F.col("content"))).alias("_hrefs"),
+        "source_url",
+        F.when(F.col("_found.base").isNull(), F.col("source_url"))
+        .otherwise(resolve_url(F.col("source_url"), F.col("_found.base")))
+        .alias("_base"),
+        F.explode(F.array_distinct("_found.links")).alias("_href"),
     )
-    links = based.select("seq", "source_url", "_base", F.explode("_hrefs").alias("_href")).select(
+    links = based.select(
         "seq", "source_url", escape_url(resolve_url(F.col("_base"), F.col("_href"))).alias("link_url")
     )
     links = links.where(F.col("link_url").rlike(r"^(?i:https?|ftp|file)://"))
     if ignored_extensions:
         endings = "|".join(extension.replace(".", r"\.") for extension in ignored_extensions)
-        path = F.lower(url_pieces(F.col("link_url")).path)
+        path = F.lower(url_path(F.col("link_url")))
         links = links.where(~path.rlike(rf"\.(?:{endings})$"))
     return links.withColumn("target_url", canonical_url(F.col("link_url")))
 

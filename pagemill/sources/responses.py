@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.functions.binding import let
+from pagemill.functions.binding import bind, over
 from pagemill.functions.content import content_type, decode_body
 from pagemill.schemas import RESPONSE_SCHEMA
 
@@ -43,20 +43,13 @@ def spread(df: DataFrame) -> DataFrame:
 
 def lower_header_names(headers: Column) -> Column:
     """Headers with lower-case names; of names that collide the last value stays."""
-    entries = F.transform(
-        F.map_entries(headers),
-        lambda entry: F.struct(F.lower(entry["key"]).alias("key"), entry["value"].alias("value")),
+    lowered = bind(
+        "pairs",
+        "transform(map_entries(h), pair -> struct(lower(pair.key) AS key, pair.value AS value))",
+        """map_from_entries(filter(pairs, (pair, i) ->
+            NOT exists(slice(pairs, i + 2, size(pairs)), later -> later.key = pair.key)))""",
     )
-
-    def keep_last(pairs: Column) -> Column:
-        return F.filter(
-            pairs,
-            lambda pair, index: ~F.exists(
-                F.slice(pairs, index + 2, F.size(pairs)), lambda later: later["key"] == pair["key"]
-            ),
-        )
-
-    return F.map_from_entries(let(entries, keep_last))
+    return over(headers, "h", lowered)
 
 
 def response_documents(responses: DataFrame) -> DataFrame:
