@@ -544,8 +544,8 @@ ORACLES["frontier_upsert"] = ctes(
   SELECT DISTINCT {canon("url || '/more'")} AS url FROM pages
   WHERE {canon("url || '/more'")} NOT IN (SELECT canonical FROM aliases))""",
 ) + f"""
-SELECT f.url, coalesce(CASE WHEN r.url IS NULL THEN NULL WHEN {GOOD} THEN 'done' ELSE 'failed' END,
-    f.status) AS status, f.discovered_at,
+SELECT f.url, CASE WHEN r.url IS NULL THEN f.status
+    WHEN NOT r.refused AND r.status < 400 THEN 'done' ELSE 'failed' END AS status, f.discovered_at,
   CASE WHEN r.url IS NULL THEN f.updated_at ELSE {q(corpus.SEED_STAMP)} END AS updated_at,
   f.source_url, f.error, f.failure_type,
   CASE WHEN r.url IS NULL THEN f.http_status END AS http_status, f.final_url, f.content_type
