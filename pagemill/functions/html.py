@@ -37,10 +37,11 @@ def _lookup(key: str, table: Mapping[str, str]) -> str:
 
     The table is one string: a map literal of this size slows planning down.
     """
-    packed = literal(_PAIR + _PAIR.join(f"{name}{_SIDE}{text}" for name, text in table.items()))
-    mark = f"concat('{_PAIR}', {key}, '{_SIDE}')"
-    return f"""if(instr({packed}, {mark}) > 0,
-        substring_index(substring_index({packed}, {mark}, -1), '{_PAIR}', 1), NULL)"""
+    packed = _PAIR + _PAIR.join(f"{name}{_SIDE}{text}" for name, text in table.items())
+    after = f"substring_index({literal(packed)}, concat('{_PAIR}', {key}, '{_SIDE}'), -1)"
+    # Without the key the whole table comes back, which starts with a separator.
+    found = f"if(startswith(after, '{_PAIR}'), NULL, substring_index(after, '{_PAIR}', 1))"
+    return bind("after", after, found)
 
 
 # The character of a numeric reference; ``code`` is NULL when it is too large.
@@ -123,12 +124,12 @@ def _tags(html: str, *names: str) -> str:
 
 
 def _attribute(attributes: str, name: str) -> str:
-    """SQL for the first attribute of that name: NULL when absent, '' without a value."""
+    """SQL for the raw first attribute of that name: NULL when absent, '' without a value."""
     names = rf"""transform({attributes}, item -> lower(regexp_extract(item, {literal(r"^[^\s=]+")}, 0)))"""
     item = f"get({attributes}, CAST(array_position({names}, '{name}') AS INT) - 1)"
     value = f"regexp_replace({item}, {literal(r'(?s)^[^=]*=?\s*')}, '')"
     quotes = literal(r"""(?s)^(["'])(.*)\1$""")
-    return entities_sql(f"regexp_replace({value}, {quotes}, '$2')")
+    return f"regexp_replace({value}, {quotes}, '$2')"
 
 
 def _attributes(tag: str) -> str:
@@ -138,12 +139,18 @@ def _attributes(tag: str) -> str:
 _IMAGE = bind(
     "attrs",
     _attributes("tag"),
-    f"named_struct('src', {_attribute('attrs', 'src')}, 'alt', {_attribute('attrs', 'alt')})",
+    bind(
+        "texts",
+        f"""transform(array({_attribute("attrs", "src")}, {_attribute("attrs", "alt")}),
+            given -> {entities_sql("given")})""",
+        "named_struct('src', texts[0], 'alt', texts[1])",
+    ),
 )
 _LINK_TAG = bind(
     "attrs",
     _attributes("tag"),
-    f"named_struct('base', tag RLIKE '(?i)^<base', 'href', {_attribute('attrs', 'href')})",
+    f"""named_struct('base', tag RLIKE '(?i)^<base',
+        'href', {entities_sql(_attribute('attrs', 'href'))})""",
 )
 
 

@@ -36,7 +36,8 @@ def view(spark, table):
 
 def test_stream_equals_batch_and_resumes(spark, tmp_path):
     source, table = str(tmp_path / "in"), str(tmp_path / "pages")
-    captured(spark, source, rows(1, 2), rows(3), rows(2, 4))
+    again = [{**rows(2)[0], "seq": 12}]
+    captured(spark, source, rows(1, 2), rows(3), again + rows(4))
     drain(spark, source, table)
     captured(spark, source, rows(6), rows(7))
     query = drain(spark, source, table)
