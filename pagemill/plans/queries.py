@@ -16,7 +16,7 @@ from pagemill.plans import corpus
 from pagemill.plans.importing import plan_import, response_outcomes
 from pagemill.schemas import ImportOptions
 from pagemill.session import new_workspace
-from pagemill.sources.responses import lower_header_names, response_documents, stream_responses
+from pagemill.sources.responses import lower_header_names, spread, stream_responses
 from pagemill.sources.tables import KeyedTable
 from pagemill.streaming.ingest import start_ingest
 
@@ -134,12 +134,12 @@ def schema_evolve(spark, sf_dir):
 
 @query
 def text_postings(spark, sf_dir):
-    return search.text_postings(corpus.table(spark, sf_dir, "documents"), "doc_id")
+    return search.text_postings(spread(corpus.table(spark, sf_dir, "documents")), "doc_id")
 
 
 @query
 def term_search(spark, sf_dir):
-    docs = corpus.table(spark, sf_dir, "documents")
+    docs = spread(corpus.table(spark, sf_dir, "documents"))
     return search.term_search(search.text_postings(docs, "doc_id"), SEARCH_TERMS, docs, "doc_id")
 
 
@@ -163,7 +163,7 @@ def write_batches(spark, sf_dir):
         F.octet_length("html").cast("long").alias("record_bytes"),
     )
     return batches.write_batches(
-        pages, "host", batch_size=BATCH_ROWS, max_batch_bytes=BATCH_OCTETS, chunk_span=64
+        pages, "host", batch_size=BATCH_ROWS, max_batch_bytes=BATCH_OCTETS, chunk_rows=8, hot_rows=16
     )
 
 

@@ -60,15 +60,18 @@ def greedy(sizes, rows, octets):
     return marks
 
 
-@pytest.mark.parametrize(("rows", "octets", "span"), [(4, 50, 8), (100, 60, 16), (3, None, 8), (1, 1, 32), (7, 1000, 4)])
-def test_write_batches_equal_one_writer(spark, rows, octets, span):
+@pytest.mark.parametrize(
+    ("rows", "octets", "span", "hot"),
+    [(4, 50, 8, 20), (100, 60, 16, 0), (3, None, 8, 0), (1, 1, 32, 50), (7, 1000, 4, 0), (9, 90, 8, 10**6)],
+)
+def test_write_batches_equal_one_writer(spark, rows, octets, span, hot):
     dice = random.Random(rows)
     data = []
     for seq in range(400):
         host = "hot" if dice.random() < 0.5 else dice.choice("abcdef")
         data.append((host, seq, dice.choice([0, 1, 5, 12, 30, 75])))
     df = spark.createDataFrame(data, "host string, seq long, record_bytes long")
-    got = batches.write_batches(df, "host", batch_size=rows, max_batch_bytes=octets, chunk_span=span)
+    got = batches.write_batches(df, "host", batch_size=rows, max_batch_bytes=octets, chunk_rows=span, hot_rows=hot)
     by_host = {}
     for row in sorted(got.collect(), key=lambda r: r.seq):
         by_host.setdefault(row.host, []).append(row.batch)
