@@ -44,6 +44,10 @@ def _over_pieces(url: Column, body: str) -> Column:
     return over(url, "u", bind("p", _pieces("u"), body))
 
 
+def _with_pieces(url: str, body: str) -> str:
+    return bind("u", url, bind("p", _pieces("u"), body))
+
+
 _WEB = ", ".join(map(literal, _WEB_SCHEMES))
 
 
@@ -82,18 +86,28 @@ def canonical_url(url: Column) -> Column:
     return _over_pieces(url, _CANONICAL)
 
 
+def canonical_sql(url: str) -> str:
+    return _with_pieces(url, _CANONICAL)
+
+
+_DOMAIN = f"nullif(lower(btrim(btrim({_HOST}, {literal(_CONTROL_OR_SPACE)}), '.')), '')"
+
+
 def url_domain(url: Column) -> Column:
     """Host in lower case without user, port or surrounding dots; NULL when there is none."""
-    spaces = literal(_CONTROL_OR_SPACE)
-    return _over_pieces(url, f"nullif(lower(btrim(btrim({_HOST}, {spaces}), '.')), '')")
+    return _over_pieces(url, _DOMAIN)
+
+
+def domain_sql(url: str) -> str:
+    return _with_pieces(url, _DOMAIN)
 
 
 def url_origin(url: Column) -> Column:
     return _over_pieces(url, _assembled("p.scheme", "lower(p.netloc)", "''", "''"))
 
 
-def url_path(url: Column) -> Column:
-    return _over_pieces(url, "p.path")
+def path_sql(url: str) -> str:
+    return _with_pieces(url, "p.path")
 
 
 def seed_url(value: Column, on_error: str = "null") -> Column:
@@ -148,11 +162,15 @@ def sitemap_seeds(df: DataFrame, url: str = "url") -> DataFrame:
 
 def escape_url(url: Column) -> Column:
     """Percent-encode what a URL may not hold, as UTF-8; existing escapes stay."""
+    return over(url, "given", escape_sql("given"))
+
+
+def escape_sql(url: str) -> str:
     runs = literal(f"[{_URL_SAFE}]+|[^{_URL_SAFE}]+")
     unsafe = literal(f"[^{_URL_SAFE}]")
-    return over(
-        url,
+    return bind(
         "u",
+        url,
         f"""CASE WHEN u RLIKE {unsafe} THEN array_join(transform(
                 regexp_extract_all(u, {runs}, 0),
                 run -> CASE WHEN run RLIKE {unsafe} THEN regexp_replace(hex(run), '(..)', '%$1')
@@ -178,6 +196,11 @@ def _without_dot_segments(path: str) -> str:
 
 def resolve_url(base: Column, reference: Column) -> Column:
     """The absolute URL of ``reference`` seen from ``base`` (dot segments removed)."""
+    given = F.struct(base.alias("base"), reference.alias("reference"))
+    return over(given, "given", resolve_sql("given.base", "given.reference"))
+
+
+def resolve_sql(base: str, reference: str) -> str:
     folder = "coalesce(nullif(regexp_extract(b.path, '^.*/', 0), ''), '/')"
     relative = f"regexp_replace(concat({folder}, t.path), '/{{2,}}', '/')"
     rooted = f"if(startswith(t.path, '/'), t.path, {relative})"
@@ -188,8 +211,8 @@ def resolve_url(base: Column, reference: Column) -> Column:
         if(t.netloc = '' AND t.path = '' AND t.query = '', b.query, t.query) AS query)"""
     whole = bind("r", parts, _assembled("b.scheme", "r.netloc", "r.path", "r.query"))
     foreign = f"(t.scheme <> '' AND t.scheme <> b.scheme) OR b.scheme NOT IN ({_WEB})"
-    body = f"""CASE WHEN pair.reference = '' THEN pair.base
-        WHEN {foreign} THEN pair.reference
+    body = f"""CASE WHEN reference = '' THEN base
+        WHEN {foreign} THEN reference
         ELSE concat({whole}, if(t.fragment = '', '', concat('#', t.fragment))) END"""
-    pieces = bind("b", _pieces("pair.base"), bind("t", _pieces("pair.reference"), body))
-    return over(F.struct(base.alias("base"), reference.alias("reference")), "pair", pieces)
+    pieces = bind("b", _pieces("base"), bind("t", _pieces("reference"), body))
+    return bind("base", base, bind("reference", reference, pieces))

@@ -20,20 +20,25 @@ def has_failed() -> Column:
     return F.col("error").isNotNull() | F.coalesce(F.col("status") >= 400, F.lit(False))
 
 
+def failure_details() -> dict[str, Column]:
+    """What went wrong with a failed response; all NULL for the others."""
+    transport = F.col("error").isNotNull()
+    answered = has_failed() & ~transport
+    return {
+        "error": F.when(transport, F.col("error")).when(
+            answered, F.concat(F.lit("HTTP "), F.col("status").cast("string"))
+        ),
+        "failure_type": F.when(transport, F.col("failure_type")).when(answered, "http_status"),
+        "http_status": F.when(answered, F.col("status")).cast("long"),
+        "final_url": F.when(has_failed(), F.col("url")),
+        "content_type": F.when(answered, F.nullif(F.col("content_type"), F.lit(""))),
+    }
+
+
 def failed_responses(documents: DataFrame) -> DataFrame:
     """The failures, with what went wrong; nothing else is read from such a response."""
-    transport = F.col("error").isNotNull()
-    return documents.where(has_failed()).select(
-        "seq",
-        F.col("request_url"),
-        F.col("url").alias("final_url"),
-        F.when(transport, F.col("error"))
-        .otherwise(F.concat(F.lit("HTTP "), F.col("status").cast("string")))
-        .alias("error"),
-        F.when(transport, F.col("failure_type")).otherwise("http_status").alias("failure_type"),
-        F.when(~transport, F.col("status")).cast("long").alias("http_status"),
-        F.when(~transport, F.nullif(F.col("content_type"), F.lit(""))).alias("content_type"),
-    )
+    details = [value.alias(name) for name, value in failure_details().items()]
+    return documents.where(has_failed()).select("seq", "request_url", *details)
 
 
 def matching_pages(documents: DataFrame, url_filter: str | Sequence[str] | None) -> DataFrame:

@@ -7,14 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagemill.functions.binding import bind, literal, over
 from pagemill.functions.html import link_references
 from pagemill.functions.urls import (
-    canonical_url,
-    escape_url,
-    resolve_url,
+    canonical_sql,
+    domain_sql,
+    escape_sql,
+    path_sql,
+    resolve_sql,
     url_domain,
     url_matches,
-    url_path,
 )
 from pagemill.operators.skew import lookup_join
 from pagemill.session import cut_lineage
@@ -43,30 +45,35 @@ IGNORED_EXTENSIONS = (
 def link_edges(
     pages: DataFrame, ignored_extensions: Sequence[str] = IGNORED_EXTENSIONS
 ) -> DataFrame:
-    """``seq, source_url, link_url, target_url`` of every link of pages with ``content``.
+    """``seq, source_url, link_url, target_url, link_domain`` of the links of pages with
+    ``content``.
 
     ``link_url`` is absolute and percent-encoded, ``target_url`` its canonical form; a page
-    names each link once.  Only URLs with an authority are links.
+    names each link once.  Only URLs with an authority are links.  Links are built and
+    judged inside their page, before they become rows: a filter on the rows would make the
+    optimizer repeat the whole expression for every condition.
     """
-    based = pages.select(
-        "seq", F.col("url").alias("source_url"), link_references(F.col("content")).alias("_found")
-    ).select(
-        "seq",
-        "source_url",
-        F.when(F.col("_found.base").isNull(), F.col("source_url"))
-        .otherwise(resolve_url(F.col("source_url"), F.col("_found.base")))
-        .alias("_base"),
-        F.explode(F.array_distinct("_found.links")).alias("_href"),
+    endings = "|".join(extension.replace(".", r"\.") for extension in ignored_extensions)
+    ignored = literal(rf"\.(?:{endings})$")
+    base = f"if(f.links.base IS NULL, f.url, {resolve_sql('f.url', 'f.links.base')})"
+    link = bind(
+        "link",
+        escape_sql(resolve_sql("home", "href")),
+        f"""named_struct('link_url', link, 'target_url', {canonical_sql("link")},
+            'link_domain', {domain_sql("link")}, 'path', lower({path_sql("link")}))""",
     )
-    links = based.select(
-        "seq", "source_url", escape_url(resolve_url(F.col("_base"), F.col("_href"))).alias("link_url")
-    )
-    links = links.where(F.col("link_url").rlike(r"^(?i:https?|ftp|file)://"))
+    kept = "edge -> edge.link_url RLIKE '^(?i:https?|ftp|file)://'"
     if ignored_extensions:
-        endings = "|".join(extension.replace(".", r"\.") for extension in ignored_extensions)
-        path = F.lower(url_path(F.col("link_url")))
-        links = links.where(~path.rlike(rf"\.(?:{endings})$"))
-    return links.withColumn("target_url", canonical_url(F.col("link_url")))
+        kept += f" AND NOT edge.path RLIKE {ignored}"
+    edges = bind(
+        "home",
+        base,
+        f"filter(transform(array_distinct(f.links.links), href -> {link}), {kept})",
+    )
+    found = F.struct("url", link_references(F.col("content")).alias("links"))
+    return pages.select(
+        "seq", F.col("url").alias("source_url"), F.explode(over(found, "f", edges)).alias("edge")
+    ).select("seq", "source_url", "edge.link_url", "edge.target_url", "edge.link_domain")
 
 
 def links_in_scope(
@@ -77,7 +84,7 @@ def links_in_scope(
     """Edges to exactly the given host, by default the host of the linking page."""
     home = url_domain(F.lit(domain) if domain is not None else F.col("source_url"))
     return edges.where(
-        (url_domain(F.col("link_url")) == home) & url_matches(F.col("link_url"), url_filter)
+        (F.col("link_domain") == home) & url_matches(F.col("link_url"), url_filter)
     )
 
 

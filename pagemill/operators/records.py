@@ -33,16 +33,16 @@ def page_images(content: Column, kind: Column) -> Column:
     return F.when(is_html(kind), image_structs(content)).otherwise(F.array().cast(T.ArrayType(IMAGE_TYPE)))
 
 
-def page_records(
-    documents: DataFrame, options: ImportOptions | None = None, rare_charsets: bool = True
-) -> DataFrame:
+def page_records(documents: DataFrame, options: ImportOptions | None = None) -> DataFrame:
     """``seq, url, date, content_type, text, images`` of each accepted response.
 
     Images come from the stripped content, or from the raw one with ``after-links``; the
     text always comes from the stripped content.
     """
     options = options or ImportOptions()
-    pages = documents if "content" in documents.columns else with_content(documents, rare_charsets)
+    pages = documents
+    if "content" not in documents.columns:
+        pages = with_content(documents, options.rare_charsets)
     kind = F.col("content_type")
     stripped = strip_html(F.col("content"), kind, options.kinds)
     pages = pages.withColumn("_stripped", stripped)

@@ -9,11 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.functions.content import is_textual
-from pagemill.functions.urls import canonical_url, seed_url, sitemap_seeds
+from pagemill.functions.urls import canonical_url, seed_url, sitemap_seeds, url_matches
 from pagemill.operators import frontier as fr
 from pagemill.operators.filters import (
     accepted_pages,
-    failed_responses,
+    failure_details,
     has_failed,
     limit_pages,
     matching_pages,
@@ -71,35 +71,39 @@ class ImportPlan:
 
 
 def response_outcomes(
-    documents: DataFrame, pages: DataFrame, options: ImportOptions, extracted: DataFrame | None = None
+    documents: DataFrame, options: ImportOptions, extracted: DataFrame | None = None
 ) -> DataFrame:
     """One row per response: what became of it and, for failures, why.
 
-    ``outcome`` is done, skipped, failed, or NULL for a page outside the URL filter.  Of the
-    responses only narrow columns are read, unless the response filter asks for more.
+    ``outcome`` is done, skipped, failed, or NULL for a page outside the URL filter.  It is
+    decided within the row from narrow columns, unless the response filter asks for more;
+    only a caller's extractor adds a join with the rows it gave.
     """
-    failures = failed_responses(documents).select(
-        "seq", F.lit("failed").alias("outcome"), "error", "failure_type", "http_status",
-        "final_url", "content_type",
-    )
-    judged = pages.select(
-        "seq",
-        F.when(response_predicate(options.response_filter), "done")
+    outcome = (
+        F.when(has_failed(), "failed")
+        .when(~url_matches(F.col("url"), options.url_filter), None)
+        .when(response_predicate(options.response_filter), "done")
         .otherwise("skipped")
-        .alias("outcome"),
     )
-    if extracted is not None:
-        kept = extracted.select("seq").distinct().withColumn("_kept", F.lit(True))
-        judged = judged.join(kept, "seq", "left").select(
-            "seq", F.when(F.col("_kept"), F.col("outcome")).otherwise("skipped").alias("outcome")
-        )
-    identity = documents.select("seq", "request_url", "url", "redirect_urls", "fetched_at")
-    verdicts = judged.unionByName(failures, allowMissingColumns=True)
-    return identity.join(verdicts, "seq", "left")
+    details = [value.alias(name) for name, value in failure_details().items()]
+    judged = documents.select(
+        "seq", "request_url", "url", "redirect_urls", "fetched_at", outcome.alias("outcome"), *details
+    )
+    if extracted is None:
+        return judged
+    kept = extracted.select("seq").distinct().withColumn("_kept", F.lit(True))
+    dropped = (F.col("outcome") == "done") & F.col("_kept").isNull()
+    return (
+        judged.join(kept, "seq", "left")
+        .withColumn("outcome", F.when(dropped, "skipped").otherwise(F.col("outcome")))
+        .drop("_kept")
+    )
 
 
 def _empty_frontier(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], FRONTIER_SCHEMA)
+    """No rows, in a form the optimizer recognizes, so that joins with it vanish."""
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in FRONTIER_SCHEMA.fields]
+    return spark.range(1).where(F.lit(False)).select(*nothing)
 
 
 def plan_import(
@@ -127,20 +131,20 @@ def plan_import(
     if options.extract is None and options.primary_key == "url":
         # The key is known before extraction, so only the winners are extracted.
         records = extract_records(keep_last(accepted, "url"), options)
-        outcomes = response_outcomes(documents, pages, options)
+        outcomes = response_outcomes(documents, options)
     else:
         extracted = extract_records(accepted, options)
         records = keep_last(extracted, options.primary_key)
-        outcomes = response_outcomes(documents, pages, options, extracted)
+        outcomes = response_outcomes(documents, options, extracted)
 
     known_frontier = frontier if frontier is not None else _empty_frontier(responses.sparkSession)
     known = fr.frontier_state(known_frontier).select("url")
     if seeds is not None:
         known = known.unionByName(seeds.select("url"))
     linking = documents.where(~has_failed() & is_textual(F.col("content_type")))
-    edges = links_in_scope(
-        link_edges(with_content(linking)), options.url_filter, options.domain
-    )
+    content = with_content(linking, options.rare_charsets)
+    edges = links_in_scope(link_edges(content), options.url_filter, options.domain)
+    edges = edges.drop("link_domain")
     if listed is not None:
         edges = edges.unionByName(listed)
     discovered = new_links(edges, known)

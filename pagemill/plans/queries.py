@@ -416,7 +416,7 @@ def _edges(spark, sf_dir):
 
 @query
 def link_edges(spark, sf_dir):
-    return _edges(spark, sf_dir)
+    return _edges(spark, sf_dir).drop("link_domain")
 
 
 @query
@@ -495,8 +495,8 @@ def page_identities(spark, sf_dir):
 
 
 def _outcomes(spark, sf_dir):
-    found = corpus.documents(spark, sf_dir)
-    return response_outcomes(found, filters.matching_pages(found, URL_PATTERNS), ImportOptions())
+    options = ImportOptions(url_filter=URL_PATTERNS)
+    return response_outcomes(corpus.documents(spark, sf_dir), options)
 
 
 @query
