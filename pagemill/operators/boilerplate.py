@@ -71,17 +71,12 @@ def clean_pages(
     drop.  A page with nothing else keeps its text.  A stored ``boilerplate`` table can
     stand in for the counts of these pages.
     """
-    keyed = blocks.select(
-        "seq",
-        F.posexplode(
-            F.transform("blocks", lambda block: _block_key(F.col("host"), block))
-        ).alias("position", "block_key"),
-    )
+    keys = F.transform("blocks", lambda block: _block_key(F.col("host"), block))
+    keyed = blocks.select("seq", F.posexplode(keys).alias("position", "block_key"))
     if boilerplate is None:
-        # Keys alone are counted here: the block texts stay with their pages.
-        counts = keyed.select("seq", "block_key").distinct().groupBy("block_key").agg(
-            F.count("*").alias("rows")
-        )
+        # Keys alone are counted, each once per page: the block texts stay with their pages.
+        once = blocks.select(F.explode(F.array_distinct(keys)).alias("block_key"))
+        counts = once.groupBy("block_key").agg(F.count("*").alias("rows"))
         repeated = counts.where(F.col("rows") > max_pages).select("block_key")
     else:
         counts, repeated = None, boilerplate.select("block_key")

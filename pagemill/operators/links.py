@@ -42,6 +42,9 @@ IGNORED_EXTENSIONS = (
 )
 
 
+_LEVELS_PER_CUT = 16
+
+
 def link_edges(
     pages: DataFrame, ignored_extensions: Sequence[str] = IGNORED_EXTENSIONS
 ) -> DataFrame:
@@ -112,8 +115,8 @@ def new_links(edges: DataFrame, known: DataFrame) -> DataFrame:
 def crawl_depth(edges: DataFrame, seeds: DataFrame, max_depth: int | None = None) -> DataFrame:
     """``url, depth``: the least number of links from any seed (column ``url``).
 
-    Each level joins the last one with the edges; levels are cut off with reliable
-    checkpoints, so the plan stays small and survives lost executors.
+    Each level joins the last one with the edges and is written to a reliable checkpoint,
+    so the plan stays small and a lost executor does not replay earlier levels.
     """
     edges = cut_lineage(edges.select("source_url", "target_url").distinct())
     counts = cut_lineage(edges.groupBy("source_url").agg(F.count("*").alias("rows")))
@@ -130,5 +133,7 @@ def crawl_depth(edges: DataFrame, seeds: DataFrame, max_depth: int | None = None
         )
         if level.isEmpty():
             break
-        reached = cut_lineage(reached.unionByName(level))
+        reached = reached.unionByName(level)
+        if depth % _LEVELS_PER_CUT == 0:
+            reached = cut_lineage(reached)
     return reached

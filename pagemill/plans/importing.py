@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,20 +57,6 @@ class ImportProgress:
     result: ImportResult | None = None
 
 
-@dataclass(frozen=True)
-class ImportPlan:
-    """The DataFrames of one run; nothing is computed until they are used."""
-
-    records: DataFrame
-    outcomes: DataFrame
-    discovered: DataFrame
-    frontier_updates: DataFrame
-    unresolved: DataFrame | None
-
-    def summary(self) -> DataFrame:
-        return import_summary(self.outcomes, self.records, self.discovered, self.unresolved)
-
-
 def response_outcomes(
     documents: DataFrame, options: ImportOptions, extracted: DataFrame | None = None
 ) -> DataFrame:
@@ -106,6 +93,107 @@ def _empty_frontier(spark: SparkSession) -> DataFrame:
     return spark.range(1).where(F.lit(False)).select(*nothing)
 
 
+class ImportPlan:
+    """The DataFrames of one run, each built when first asked for and computed when used."""
+
+    def __init__(
+        self,
+        responses: DataFrame,
+        options: ImportOptions,
+        frontier: DataFrame | None,
+        seeds: DataFrame | None,
+        at: Column | str | None,
+    ) -> None:
+        documents, listed = response_documents(responses), None
+        if options.include_sitemap and seeds is not None:
+            documents, listed = _split_sitemaps(documents, seeds, options)
+        if options.limit is not None:
+            documents = _within_limit(documents, options)
+        self.options, self.seeds = options, seeds
+        self._documents, self._listed, self._at = documents, listed, at
+        self._stored = frontier is not None
+        self._frontier = frontier if self._stored else _empty_frontier(responses.sparkSession)
+        # The key is known before extraction, so only the winners need to be extracted.
+        self._key_first = options.extract is None and options.primary_key == "url"
+        if not self._key_first:
+            self._extracted  # noqa: B018 - a bad extractor fails now
+
+    @cached_property
+    def _accepted(self) -> DataFrame:
+        pages = matching_pages(self._documents, self.options.url_filter)
+        return accepted_pages(pages, self.options.response_filter)
+
+    @cached_property
+    def _extracted(self) -> DataFrame:
+        return extract_records(self._accepted, self.options)
+
+    @cached_property
+    def records(self) -> DataFrame:
+        """The rows to store, one per key, with the ``seq`` they come from."""
+        if self._key_first:
+            return extract_records(keep_last(self._accepted, "url"), self.options)
+        return keep_last(self._extracted, self.options.primary_key)
+
+    @cached_property
+    def imported(self) -> DataFrame:
+        """One row per stored key."""
+        if self._key_first:
+            return self._accepted.select("url").distinct()
+        return self._extracted.select(self.options.primary_key).distinct()
+
+    @cached_property
+    def outcomes(self) -> DataFrame:
+        """One row per response with its ``outcome``."""
+        extracted = None if self._key_first else self._extracted
+        return response_outcomes(self._documents, self.options, extracted)
+
+    @cached_property
+    def discovered(self) -> DataFrame:
+        """Links to URLs that neither the frontier nor the seeds know."""
+        known = fr.frontier_state(self._frontier).select("url")
+        if self.seeds is not None:
+            known = known.unionByName(self.seeds.select("url"))
+        linking = self._documents.where(~has_failed() & is_textual(F.col("content_type")))
+        content = with_content(linking, self.options.rare_charsets)
+        edges = links_in_scope(link_edges(content), self.options.url_filter, self.options.domain)
+        edges = edges.drop("link_domain")
+        if self._listed is not None:
+            edges = edges.unionByName(self._listed)
+        return new_links(edges, known)
+
+    @cached_property
+    def unresolved(self) -> DataFrame | None:
+        """Seeds without a response; after a limited run they are still to fetch."""
+        if self.seeds is None or self.options.limit is not None:
+            return None
+        answered = fr.page_identities(self.outcomes).select("url").distinct()
+        return fr.unresolved_seeds(self.seeds, fr.expand_aliases(answered, self._frontier))
+
+    @cached_property
+    def frontier_updates(self) -> DataFrame:
+        """One row per URL whose state this run changes."""
+        at = self._at
+        if at is None:
+            at = self._documents.agg(iso_utc(F.max("fetched_at"))).scalar()
+        events = fr.outcome_events(self.outcomes.where(F.col("outcome").isNotNull()))
+        settled = fr.expand_aliases(events, self._frontier)
+        pending = fr.discovered_rows(self.discovered, at)
+        updates = fr.frontier_rows(settled, at).unionByName(
+            pending.join(events.select("url"), "url", "left_anti")
+        )
+        if self.unresolved is not None:
+            updates = updates.unionByName(
+                fr.frontier_rows(self.unresolved, at), allowMissingColumns=True
+            )
+        updates = updates.select(*FRONTIER_SCHEMA.names)
+        if self._stored and not self.options.replace_whole_row:
+            updates = fr.carry_discovery(self._frontier, updates)
+        return updates
+
+    def summary(self) -> DataFrame:
+        return import_summary(self.outcomes, self.imported, self.discovered, self.unresolved)
+
+
 def plan_import(
     responses: DataFrame,
     options: ImportOptions | None = None,
@@ -119,56 +207,7 @@ def plan_import(
     run set out to fetch, and ``at`` stamps the frontier rows (the newest fetch time of the
     run by default).
     """
-    options = options or ImportOptions()
-    documents = response_documents(responses)
-    listed = None
-    if options.include_sitemap and seeds is not None:
-        documents, listed = _split_sitemaps(documents, seeds, options)
-    if options.limit is not None:
-        documents = _within_limit(documents, options)
-    pages = matching_pages(documents, options.url_filter)
-    accepted = accepted_pages(pages, options.response_filter)
-    if options.extract is None and options.primary_key == "url":
-        # The key is known before extraction, so only the winners are extracted.
-        records = extract_records(keep_last(accepted, "url"), options)
-        outcomes = response_outcomes(documents, options)
-    else:
-        extracted = extract_records(accepted, options)
-        records = keep_last(extracted, options.primary_key)
-        outcomes = response_outcomes(documents, options, extracted)
-
-    known_frontier = frontier if frontier is not None else _empty_frontier(responses.sparkSession)
-    known = fr.frontier_state(known_frontier).select("url")
-    if seeds is not None:
-        known = known.unionByName(seeds.select("url"))
-    linking = documents.where(~has_failed() & is_textual(F.col("content_type")))
-    content = with_content(linking, options.rare_charsets)
-    edges = links_in_scope(link_edges(content), options.url_filter, options.domain)
-    edges = edges.drop("link_domain")
-    if listed is not None:
-        edges = edges.unionByName(listed)
-    discovered = new_links(edges, known)
-
-    stamp = at if at is not None else documents.agg(iso_utc(F.max("fetched_at"))).scalar()
-    events = fr.outcome_events(outcomes.where(F.col("outcome").isNotNull()))
-    settled = fr.expand_aliases(events, known_frontier)
-    answered = fr.expand_aliases(
-        fr.page_identities(outcomes).select("url").distinct().select("url", F.lit("").alias("status")),
-        known_frontier,
-    )
-    unresolved = None
-    updates = fr.frontier_rows(settled, stamp).unionByName(
-        fr.discovered_rows(discovered, stamp).join(events.select("url"), "url", "left_anti")
-    )
-    if seeds is not None:
-        unresolved = _unresolved(seeds, answered, options)
-        updates = updates.unionByName(
-            fr.frontier_rows(unresolved, stamp), allowMissingColumns=True
-        )
-    updates = updates.select(*FRONTIER_SCHEMA.names)
-    if frontier is not None and not options.replace_whole_row:
-        updates = fr.carry_discovery(frontier, updates)
-    return ImportPlan(records, outcomes, discovered, updates, unresolved)
+    return ImportPlan(responses, options or ImportOptions(), frontier, seeds, at)
 
 
 def _within_limit(documents: DataFrame, options: ImportOptions) -> DataFrame:
