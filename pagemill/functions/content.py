@@ -45,14 +45,16 @@ _LATIN1_NAMES = ("iso-8859-1", "iso8859-1", "iso_8859-1", "latin-1", "latin1", "
 _SCRIPT = r"(?is)<script\b[^>]*>.*?</script\s*>"
 _STYLE = r"(?is)<style\b[^>]*>.*?</style\s*>"
 _STYLESHEET_LINK = r"""(?is)<link\b[^>]*\brel\s*=\s*["']?stylesheet\b[^>]*>"""
-_STYLE_ATTRIBUTE = rf"""(?is)[{WHITESPACE}]+style\s*=\s*("[^"]*"|'[^']*'|[^{WHITESPACE}>]+)"""
+_SPACE = r"[\s\x1C-\x1F]"  # with the U flag: white space as Unicode defines it
+_BARE = r"[^\s\x1C-\x1F>]"
+_STYLE_ATTRIBUTE = rf"""(?isU){_SPACE}+style\s*=\s*("[^"]*"|'[^']*'|{_BARE}+)"""
 _IMAGE_DATA = (
-    rf"(?is)[{WHITESPACE}]+(?:src|srcset)\s*=\s*"
+    rf"(?isU){_SPACE}+(?:src|srcset)\s*=\s*"
     rf"""("[^"]*\bdata:image/[^"]*"|'[^']*\bdata:image/[^']*'"""
-    rf"|[^{WHITESPACE}>]*\bdata:image/[^{WHITESPACE}>]*)"
+    rf"|{_BARE}*\bdata:image/{_BARE}*)"
 )
 _COMMENT = r"(?s)<!--.*?-->"
-_GAP_BETWEEN_TAGS = rf">[{WHITESPACE}]+<"
+_GAP_BETWEEN_TAGS = rf"(?U)>{_SPACE}+<"
 _BLANK_RUN = r"[ \t\r\n]{2,}"
 #: Page regions that hold navigation and other furniture.
 REGION_TAGS = ("nav", "header", "footer", "aside", "form")

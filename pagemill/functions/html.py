@@ -18,7 +18,8 @@ _HIDDEN_BLOCKS = (
     r"|style\b[^>]*>.*?(?:</style[^>]*>|\z)"
 )
 _HIDDEN = f"(?is)<(?:{_HIDDEN_BLOCKS})"
-_HIDDEN_OR_NOSCRIPT = rf"(?is)<(?:{_HIDDEN_BLOCKS}|noscript\b[^>]*>.*?(?:</noscript[^>]*>|\z))"
+#: Everything that is not shown: comments, scripts, styles and noscript blocks.
+HIDDEN = rf"(?is)<(?:{_HIDDEN_BLOCKS}|noscript\b[^>]*>.*?(?:</noscript[^>]*>|\z))"
 _QUOTED_REST = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
 _TAG = rf"<(?:/?[A-Za-z]{_QUOTED_REST}|[!?/][^>]*+>)"
 _ATTRIBUTE = r"""[^\s"'<>/=][^\s>/=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))?"""
@@ -106,7 +107,11 @@ def trim(text: Column) -> Column:
 
 def chunks_sql(html: str) -> str:
     """SQL array of the visible text between tags, trimmed and decoded, blanks left out."""
-    shown = f"regexp_replace({html}, {literal(_HIDDEN_OR_NOSCRIPT)}, '<!>')"
+    return shown_chunks_sql(f"regexp_replace({html}, {literal(HIDDEN)}, '<!>')")
+
+
+def shown_chunks_sql(shown: str) -> str:
+    """The same for text whose hidden blocks are gone already."""
     return f"""filter(transform(split({shown}, {literal(_TAG)}),
         chunk -> {trim_sql(entities_sql("chunk"))}), chunk -> chunk <> '')"""
 
@@ -240,7 +245,7 @@ def html_markdown(html: Column) -> Column:
         return F.when(index % 2 == 1, code).otherwise(_apply(section, MARKDOWN_RULES))
 
     # Preformatted blocks keep their spacing: only the sections between them are rewritten.
-    shown = F.regexp_replace(html, F.lit(_HIDDEN_OR_NOSCRIPT), F.lit(""))
+    shown = F.regexp_replace(html, F.lit(HIDDEN), F.lit(""))
     sections = F.split(shown, r"(?i)</?pre(?=[\s>])[^>]*>")
     text = F.array_join(F.transform(sections, render), "")
     return F.concat(trim(decode_entities(_apply(text, _TIDY_RULES))), F.lit("\n"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.functions.binding import literal, over
-from pagemill.functions.html import chunks_sql
+from pagemill.functions.html import HIDDEN, shown_chunks_sql
 from pagemill.functions.urls import url_domain
 from pagemill.operators.skew import lookup_join
 
@@ -17,18 +17,14 @@ BLOCK_TAGS = (
     "head", "header", "hr", "html", "li", "main", "nav", "ol", "p", "pre", "section", "table",
     "tbody", "td", "th", "thead", "title", "tr", "ul",
 )
-_HIDDEN = (
-    r"(?is)<(?:!--.*?(?:-->|\z)|script\b[^>]*>.*?(?:</script[^>]*>|\z)"
-    r"|style\b[^>]*>.*?(?:</style[^>]*>|\z)|noscript\b[^>]*>.*?(?:</noscript[^>]*>|\z))"
-)
 _BLOCK_BREAK = r"(?i)</?(?:" + "|".join(BLOCK_TAGS) + r")(?:[\s/][^>]*)?>"
 
 
 def text_blocks(html: Column) -> Column:
     """The visible text of each block in document order, blanks left out."""
-    shown = f"regexp_replace(page, {literal(_HIDDEN)}, '')"
+    shown = f"regexp_replace(page, {literal(HIDDEN)}, '')"
     blocks = f"""filter(transform(split({shown}, {literal(_BLOCK_BREAK)}),
-        block -> array_join({chunks_sql("block")}, ' ')), block -> block <> '')"""
+        block -> array_join({shown_chunks_sql("block")}, ' ')), block -> block <> '')"""
     return over(html, "page", blocks)
 
 
