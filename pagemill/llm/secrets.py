@@ -84,11 +84,11 @@ def literal_score(value: str) -> int:
     return (entropy >= 2.5) + (entropy >= 3.2) + (classes >= 2) + (classes >= 3) + (len(value) >= 16)
 
 
-def assignments(text: str) -> Iterator[tuple[str, list[Span], list[str]]]:
+def assignments(text: str) -> Iterator[tuple[str, list[Span], list[Span]]]:
     """(name, literals, names used) of every name-value pair, in text order.
 
     A value is a sum of string literals and names, or one bare word of configuration syntax.
-    Literals are (start, end, value) without their quotes.
+    Literals are (start, end, value) without their quotes, names (start, end, name).
     """
     for pair in _PAIR.finditer(text):
         at, literals, used = pair.end(), [], []
@@ -98,7 +98,7 @@ def assignments(text: str) -> Iterator[tuple[str, list[Span], list[str]]]:
                 literals.append((string.start(group), string.end(group), string[group]))
                 at = string.end()
             elif (name := _REFERENCE.match(text, at)) is not None and _whole(text, at, name):
-                used.append(name[1])
+                used.append((name.start(1), name.end(1), name[1]))
                 at = name.end()
             else:
                 bare = _BARE.match(text, at)
@@ -136,7 +136,10 @@ def lexed_spans(text: str) -> list[Span]:
     held: dict[str, _Held] = {}
     found: set[Span] = set()
     for name, literals, used in assignments(text):
-        held[name] = holder = _Held(literals, [held[other] for other in used if other in held])
+        # A name that holds nothing so far may be a bare literal of configuration syntax.
+        literals = literals or [word for word in used if word[2] not in held]
+        others = [held[word[2]] for word in used if word[2] in held]
+        held[name] = holder = _Held(literals, others)
         score = name_score(name)
         if score < 2:
             continue
