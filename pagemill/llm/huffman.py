@@ -135,22 +135,25 @@ def _stage(path: str, end_id: int, vocabulary: int):
     narrow = "<u2" if vocabulary <= 1 << 16 else "<u4"
 
     def run(batches):
-        encode_text = encoder(path).ids
+        encode_texts = encoder(path).batch
         counters = np.zeros(vocabulary, dtype=np.int64)
         row = TaskContext.get().partitionId() << 33
         end = int(end_id).to_bytes(4, "little")
         for batch in batches:
-            ids, sizes, rows, blobs = [], [], [], []
-            for doc_id, text in rows_of([batch], "doc_id", "text"):
-                tokens = as_ids(encode_text(text) + end)
-                counters += np.bincount(tokens, minlength=vocabulary) if len(tokens) > vocabulary else 0
-                if len(tokens) <= vocabulary:
-                    np.add.at(counters, tokens, 1)
-                ids.append(doc_id)
+            ids, sizes, rows, blobs, fresh, held = batch.column(0).to_pylist(), [], [], [], [], 0
+            for raw in encode_texts(batch.column(1).to_pylist()):
+                tokens = as_ids(raw + end)
+                fresh.append(tokens)
+                held += len(tokens)
+                if held > 1 << 20:
+                    counters += np.bincount(np.concatenate(fresh), minlength=vocabulary)
+                    fresh, held = [], 0
                 sizes.append(len(tokens))
                 rows.append(row)
                 blobs.append(tokens.astype(narrow).tobytes())
                 row += 1
+            if fresh:
+                counters += np.bincount(np.concatenate(fresh), minlength=vocabulary)
             yield _staged(ids, rows, sizes, blobs, [None] * len(ids), [None] * len(ids))
         chunks = counter_chunks(counters)
         none = [None] * len(chunks)

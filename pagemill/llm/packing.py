@@ -19,8 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import cut_lineage, rows_of
-from pagemill.llm.tokens import END_ID, as_ids, encoder, tokenizer_path
+from pagemill.llm.common import cut_lineage
+from pagemill.llm.tokens import END_ID, encoder, tokenizer_path
 
 CAPACITY = 2048
 #: Documents packed together, on average.
@@ -34,13 +34,14 @@ PIECES = "doc_id long, row long, piece int, start long, length long, ids_crc32 l
 
 def _pieces(path: str, capacity: int, end_id: int):
     def cut(batches):
-        encode = encoder(path).ids
+        encode = encoder(path).batch
         end = int(end_id).to_bytes(4, "little")
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             out: list[tuple] = []
-            for doc_id, text in rows_of([batch], "doc_id", "text"):
-                raw = memoryview(encode(text) + end)
+            texts = batch.column(1).to_pylist()
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(texts)):
+                raw = memoryview(ids + end)
                 total, start, piece = len(raw) // 4, 0, 0
                 length = total % capacity or capacity
                 while start < total:

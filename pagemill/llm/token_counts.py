@@ -11,21 +11,19 @@ import heapq
 import json
 import re
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import Memo, rows_of
+from pagemill.llm.common import Memo
+from pagemill.llm.pieces import PieceTable, windows
 from pagemill.llm.tokens import tokenizer_path
 
 LIMIT = 512
-#: Pieces kept in each half of a worker's memos.
-MEMO_PIECES = 300_000
-_CUT = re.compile(r"(?<=\S) (?=\S)")
-
-
-class _Inexact(Exception):
-    """A piece touches white space, so its text must be cut with care."""
+#: Words kept in each half of a worker's memo.
+MEMO_WORDS = 300_000
 
 
 def _byte_symbols() -> list[str]:
@@ -59,8 +57,8 @@ class Counter:
         longest_first = sorted(map(re.escape, specials), key=len, reverse=True)
         self._special = re.compile("|".join(longest_first)) if specials else None
         self._pattern = regex.compile(public_tokenizers.PATTERN)
-        self._words = Memo(self.merge, MEMO_PIECES)
-        self._pieces = Memo(self._piece, MEMO_PIECES)
+        self._words = Memo(self.merge, MEMO_WORDS)
+        self._table = PieceTable(self.whole, sum)
 
     def merge(self, word: str) -> int:
         """Tokens of one piece of the pre-tokenizer."""
@@ -97,32 +95,25 @@ class Counter:
                     heapq.heappush(heap, (found[0], p, symbols[p], merged, found[1]))
         return count
 
-    def _whole(self, text: str) -> int:
+    def plain(self, text: str) -> int:
+        """Tokens of a text without special strings."""
         return sum(map(self._words.__getitem__, self._pattern.findall(text)))
 
-    def _piece(self, piece: str) -> int:
-        if not piece or piece[0].isspace() or piece[-1].isspace():
-            raise _Inexact
-        return self._whole(" " + piece)
-
-    def _plain(self, text: str) -> int:
-        first, *rest = text.split(" ")
-        try:
-            if not first or first[-1].isspace():
-                raise _Inexact
-            return self._whole(first) + sum(map(self._pieces.__getitem__, rest))
-        except _Inexact:
-            first, *rest = _CUT.split(text)
-            return self._whole(first) + sum(self._whole(" " + piece) for piece in rest)
-
-    def count(self, text: str | None) -> int:
-        """Tokens of a whole text; a special string in it is one token, as by the library."""
-        if not text:
-            return 0
+    def whole(self, text: str) -> int:
+        """Tokens of a text; a special string in it is one token, as by the library."""
         if self._special is None:
-            return self._plain(text)
+            return self.plain(text)
         parts = self._special.split(text)
-        return len(parts) - 1 + sum(self._plain(part) for part in parts if part)
+        return len(parts) - 1 + sum(map(self.plain, parts))
+
+    def batch(self, texts: list[str | None]) -> np.ndarray:
+        """The number of tokens of each text."""
+        total = np.zeros(len(texts), dtype=np.int64)
+        for which, parts, goes_on in windows(texts):
+            values, number, begins = self._table.window(parts, goes_on)
+            sums = np.concatenate(([0], np.cumsum(np.array(values, dtype=np.int64)[number])))
+            np.add.at(total, which, sums[begins[1:]] - sums[begins[:-1]])
+        return total
 
 
 _counters: dict[str, Counter] = {}
@@ -132,15 +123,13 @@ def _counted(path: str, limit: int):
     def run(batches):
         if path not in _counters:
             _counters[path] = Counter(path)
-        count = _counters[path].count
+        count = _counters[path].batch
         for batch in batches:
-            tokens, sizes = [], []
-            for (text,) in rows_of([batch], "text"):
-                sizes.append(len((text or "").encode()))
-                tokens.append(count(text))
+            texts = batch.column(1)
+            sizes = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())
+            tokens = count(texts.to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(tokens, pa.int64()),
-                 pa.array([n > limit for n in tokens], pa.bool_())],
+                [batch.column(0), sizes, pa.array(tokens), pa.array(tokens > limit)],
                 names=["doc_id", "n_bytes", "n_tokens", "over_limit"],
             )
 

@@ -1,25 +1,17 @@
-"""Token ids of texts by the tokenizers library, with a bounded memo of the pieces of a text.
-
-A text may be cut at every single space between two characters that are not white space: the
-pre-tokenizer's pattern starts a new piece there whatever stands around it.  So the ids of a text
-are those of its pieces in order, and a piece seen before is not encoded again.
-"""
+"""Token ids of texts by the tokenizers library, one call for each distinct piece."""
 
 from __future__ import annotations
 
 import os
-import re
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 
-from pagemill.llm.common import Memo
+from pagemill.llm.pieces import PieceTable, windows
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
-#: Pieces kept in each half of a worker's memo.
-MEMO_PIECES = 300_000
-_CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -28,41 +20,41 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-class _Inexact(Exception):
-    """A piece touches white space, so its text must be cut with care."""
-
-
 class Encoder:
-    """``ids(text)``: the library's ids of a whole text as little-endian unsigned 32-bit bytes."""
+    """The library's ids of whole texts, as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._pieces = Memo(self._piece, MEMO_PIECES)
-        self._last = Memo(lambda text: self._encode(text), MEMO_PIECES // 4)
-
-    def _encode(self, text: str) -> bytes:
-        ids = self._tokenizer.encode(text, add_special_tokens=False).ids
-        return array("I", ids).tobytes()
-
-    def _piece(self, piece: str) -> bytes:
-        if not piece or piece[0].isspace() or piece[-1].isspace():
-            raise _Inexact
-        return self._encode(" " + piece)
-
-    def ids(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        first, *rest = text.split(" ")
-        try:
-            if not first or first[-1].isspace():
-                raise _Inexact
-            return self._last[first] + b"".join(map(self._pieces.__getitem__, rest))
-        except _Inexact:
-            first, *rest = _CUT.split(text)
-            return self._encode(first) + b"".join([self._encode(" " + piece) for piece in rest])
+        self._table = PieceTable(self.whole, b"".join)
+
+    def whole(self, text: str) -> bytes:
+        """By one call of the library."""
+        return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def batch(self, texts: list[str | None]) -> Iterator[bytes]:
+        """The ids of each text, in order."""
+        waiting: list[bytes] = []
+        current = 0
+        for which, parts, goes_on in windows(texts):
+            values, number, begins = self._table.window(parts, goes_on)
+            sizes = np.fromiter(map(len, values), dtype=np.int64, count=len(values)) >> 2
+            flat = np.frombuffer(b"".join(values), dtype="<u4")
+            starts = np.cumsum(sizes) - sizes
+            lengths = sizes[number]
+            ends = np.concatenate(([0], np.cumsum(lengths)))
+            source = np.repeat(starts[number] - ends[:-1], lengths) + np.arange(ends[-1])
+            ids = flat[source].tobytes()
+            bounds = (4 * ends[begins]).tolist()
+            for i, a, b in zip(which, bounds, bounds[1:]):
+                if i != current:
+                    yield b"".join(waiting)
+                    waiting, current = [], i
+                waiting.append(ids[a:b])
+        if waiting:
+            yield b"".join(waiting)
 
 
 _encoders: dict[str, Encoder] = {}

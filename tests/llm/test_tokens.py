@@ -5,8 +5,9 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from conftest import words
 
-from pagemill.llm import huffman, packing, token_counts
+from pagemill.llm import huffman, packing, pieces, token_counts
 from pagemill.llm.tokens import as_ids, encoder, tokenizer_path
 
 
@@ -23,9 +24,19 @@ def packed_ids(ids):
 
 
 def test_encoder_equals_library(library, odd, sf):
-    ids = encoder(tokenizer_path()).ids
-    for row in [*odd.collect(), *sf[0][:60]]:
-        assert as_ids(ids(row.text)).tolist() == library(row.text)
+    texts = [row.text for row in [*odd.collect(), *sf[0][:60]]]
+    texts += ["\na b", "a\nb", "a.\nB c.\n", "a \nb", "a\n b", "x\n\ny", " a", "a ", "\n", "the.\r\nEnd, ok. ǅ. 1. a1."]
+    got = list(encoder(tokenizer_path()).batch(texts))
+    assert [as_ids(raw).tolist() for raw in got] == [library(text) for text in texts]
+
+
+def test_long_texts_are_cut_in_windows(library, monkeypatch):
+    monkeypatch.setattr(pieces, "WINDOW", 50)
+    texts = [" ".join(words(k, 40 * k)) + "\n  tail" for k in range(6)] + [None, "", "y" * 200, "a\n b " * 60]
+    got = list(encoder(tokenizer_path()).batch(texts))
+    assert [as_ids(raw).tolist() for raw in got] == [library(text) for text in texts]
+    counts = token_counts.Counter(tokenizer_path()).batch(texts)
+    assert counts.tolist() == [len(library(text)) for text in texts]
 
 
 def test_memo_is_bounded_and_right():
