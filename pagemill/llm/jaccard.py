@@ -168,7 +168,7 @@ def _sets(batches):
             keys.append(set_key(shingles) if len(shingles) else None)
             sizes.append(len(shingles))
             words.append(parity_words(shingles))
-            blobs.append(shingles.tobytes())
+            blobs.append(packed(shingles))
         sketch = np.array(words, dtype=np.int64).reshape(len(words), SKETCH_WORDS)
         yield pa.RecordBatch.from_arrays(
             [pa.array(keys, pa.int64()), pa.array(sizes, pa.int64())]
@@ -181,13 +181,27 @@ def _sets(batches):
 _SETS = "key long, n long, " + ", ".join(f"w{i} long" for i in range(SKETCH_WORDS)) + ", shingles binary"
 
 
+def packed(shingles: np.ndarray) -> bytes:
+    """The leading 48 bits of each hash, which sets carry when they move to be compared.
+
+    Two sets of n shingles then count a shingle too many with probability n^2 / 2^48.
+    """
+    return shingles.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    wide = np.zeros((len(raw) // 6, 8), dtype=np.uint8)
+    wide[:, 2:] = np.frombuffer(raw, dtype=np.uint8).reshape(-1, 6)
+    return wide.reshape(-1).view(">u8").astype(_U64)
+
+
 def _links(percent: int):
     def keep(batches):
         for batch in batches:
             a, b = batch.column(0), batch.column(1)
             found = []
             for left, right in rows_of([batch], "left", "right"):
-                x, y = np.frombuffer(left, dtype=_U64), np.frombuffer(right, dtype=_U64)
+                x, y = unpacked(left), unpacked(right)
                 both = len(x) + len(y) - len(distinct_sorted(np.concatenate((x, y))))
                 found.append(100 * both >= percent * (len(x) + len(y) - both))
             mask = pa.array(found, pa.bool_())
@@ -204,20 +218,26 @@ def _plausible(left: str, right: str) -> str:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The (``u``, ``v``) of ``pairs`` whose sets are similar."""
+    """The (``u``, ``v``) of ``pairs`` whose sets are similar.
+
+    Sizes and sketches rule pairs out first, so only the sets of likely ones move.
+    """
     words = ["n", *(f"w{i}" for i in range(SKETCH_WORDS))]
-    narrow = sets.select("key", *words)
-    possible = (
+    narrow = narrow_side(sets.select("key", *words), 96)
+    possible = cut_lineage(
         pairs.join(narrow.alias("a"), F.col("u") == F.col("a.key"))
         .join(narrow.alias("b"), F.col("v") == F.col("b.key"))
         .where(_plausible("a", "b"))
         .select("u", "v")
+        .distinct()
     )
     blobs = sets.select("key", "shingles")
+    left = blobs.join(narrow_side(possible.select(F.col("v").alias("key")).distinct(), 16), "key", "left_semi")
+    right = blobs.join(narrow_side(possible.select(F.col("u").alias("key")).distinct(), 16), "key", "left_semi")
     whole = (
-        possible.join(blobs.alias("a"), F.col("u") == F.col("a.key"))
+        possible.join(left.alias("a"), F.col("v") == F.col("a.key"))
         .select("u", "v", F.col("shingles").alias("left"))
-        .join(blobs.alias("b"), F.col("v") == F.col("b.key"))
+        .join(right.alias("b"), F.col("u") == F.col("b.key"))
         .select("u", "v", "left", F.col("b.shingles").alias("right"))
     )
     return whole.mapInArrow(_links(80), "u long, v long")
@@ -250,10 +270,19 @@ def _merge(labels: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def _open_cells(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """(``token``, ``key``, ``root``) of the cells whose sets are not all connected."""
-    named = shared.select("token", "key").join(labels, "key")
-    mixed = named.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    return named.join(mixed.where("low != high").select("token"), "token", "left_semi")
+    """(``token``, ``key``, ``root``) of what is left to compare in each cell.
+
+    The leader of a cell has met all its sets, so it goes; so do cells whose other sets are
+    connected.
+    """
+    rest = shared.where("key != leader").select("token", "key").join(narrow_side(labels, 32), "key")
+    cell = Window.partitionBy("token")
+    return (
+        rest.withColumn("low", F.min("root").over(cell))
+        .withColumn("high", F.max("root").over(cell))
+        .where("low != high")
+        .select("token", "key", "root")
+    )
 
 
 def link_classes(
@@ -284,19 +313,18 @@ def link_classes(
         .join(narrow_side(keys, 32), "key", "left_semi")
         .dropDuplicates(["key"])
     )
-    pairs = shared.where("key != leader").select(F.col("key").alias("u"), F.col("leader").alias("v"))
     for turn in range(1, LEADER_ROUNDS + 1):
-        labels = _merge(labels, _verified(pairs.distinct(), sets))
+        pairs = shared.where("key != leader" + (" and root != leader_root" if turn > 1 else ""))
+        pairs = pairs.select(F.col("key").alias("u"), F.col("leader").alias("v")).distinct()
+        labels = _merge(labels, _verified(pairs, sets))
         shared = cut_lineage(_open_cells(shared, labels))
         if shared.isEmpty():
             return rows, labels
         if turn < LEADER_ROUNDS:
-            order = F.struct(F.xxhash64("key", F.lit(turn)), "key", "root")
-            leaders = shared.groupBy("token").agg(F.min(order).alias("best"))
-            pairs = (
-                shared.join(leaders, "token")
-                .where("root != best.root")
-                .select(F.greatest("key", "best.key").alias("u"), F.least("key", "best.key").alias("v"))
+            best = F.min(F.struct(F.xxhash64("key", F.lit(turn)), "key", "root"))
+            first = best.over(Window.partitionBy("token"))
+            shared = shared.withColumn("best", first).select(
+                "token", "key", "root", F.col("best.key").alias("leader"), F.col("best.root").alias("leader_root")
             )
     sketched = shared.join(sets.drop("shingles"), "key")
     rest = (
