@@ -53,6 +53,16 @@ def narrow_side(side: DataFrame, row_bytes: int) -> DataFrame:
     return side
 
 
+def settled(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """``df`` checkpointed, in partitions of at least about ``rows`` rows.
+
+    Loops over tables that shrink would otherwise write a file per task and shuffle for a
+    handful of rows each.
+    """
+    df = cut_lineage(df)
+    return df.coalesce(max(1, -(-df.count() // rows)))
+
+
 class Memo(dict):
     """``compute`` with memory of at most twice ``limit`` recent keys.
 

@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemill.llm.common import (
-    boxed, counter_chunks, cut_lineage, distinct_sorted, mix, narrow_side, rows_of, shingle_hashes,
-    summed_counters,
+    boxed, counter_chunks, cut_lineage, distinct_sorted, mix, narrow_side, rows_of, settled,
+    shingle_hashes, summed_counters,
 )
 from pagemill.llm.components import connected_components
 
@@ -32,7 +32,7 @@ SHINGLE = 5
 #: Counters of shingle hashes: a fixed table, 1 MB as longs, summed over all documents.
 COUNTERS = 1 << 17
 #: Rounds against leaders before the remaining pairs are compared.
-LEADER_ROUNDS = 3
+LEADER_ROUNDS = 2
 #: 64-bit words of the parity sketch that is checked before sets are compared.
 SKETCH_WORDS = 8
 #: Distinct sets a task remembers in order to emit the cells of a copy once.
@@ -224,7 +224,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """
     words = ["n", *(f"w{i}" for i in range(SKETCH_WORDS))]
     narrow = narrow_side(sets.select("key", *words), 96)
-    possible = cut_lineage(
+    possible = settled(
         pairs.join(narrow.alias("a"), F.col("u") == F.col("a.key"))
         .join(narrow.alias("b"), F.col("v") == F.col("b.key"))
         .where(_plausible("a", "b"))
@@ -257,16 +257,19 @@ def _shared_cells(cells: DataFrame) -> DataFrame:
     )
 
 
-def _merge(labels: DataFrame, edges: DataFrame) -> DataFrame:
-    """Labels (``key``, ``root``) after the components that ``edges`` of keys connect."""
+def _merge(labels: DataFrame, edges: DataFrame, rounds: int | None = None) -> DataFrame:
+    """Labels (``key``, ``root``) after the components that ``edges`` of keys connect.
+
+    Sets with one root are connected; after few ``rounds`` connected ones may still differ.
+    """
     named = (
         edges.join(labels.alias("a"), F.col("u") == F.col("a.key"))
         .join(labels.alias("b"), F.col("v") == F.col("b.key"))
         .select(F.col("a.root").alias("u"), F.col("b.root").alias("v"))
     )
-    roots = connected_components(named)
+    roots = connected_components(named, rounds)
     joined = labels.join(roots.withColumnRenamed("root", "higher"), F.col("root") == F.col("node"), "left")
-    return cut_lineage(joined.select("key", F.coalesce("higher", "root").alias("root")))
+    return settled(joined.select("key", F.coalesce("higher", "root").alias("root")))
 
 
 def _open_cells(shared: DataFrame, labels: DataFrame) -> DataFrame:
@@ -299,27 +302,29 @@ def link_classes(
     counters = summed_counters(summaries.where("chunk is not null").select("chunk", "counters"))
     rows = summaries.where("chunk is null").select("doc_id", "n_shingles", "key")
     cells = texts.select("text").mapInArrow(_cells(counters), "token long, key long")
-    shared = cut_lineage(_shared_cells(cells))
-    keys = cut_lineage(shared.select("key").distinct())
+    shared = settled(_shared_cells(cells), 1_000_000)
+    keys = settled(shared.select("key").distinct())
     labels = keys.select("key", F.col("key").alias("root"))
     # One document of every such set is read again for its shingles.
     chosen = rows.join(narrow_side(keys, 32), "key", "left_semi").groupBy("key")
-    chosen = cut_lineage(chosen.agg(F.min("doc_id").alias("id")).select("id").distinct())
+    chosen = settled(chosen.agg(F.min("doc_id").alias("id")).select("id").distinct())
     again = texts.join(
         narrow_side(chosen, 32), texts["doc_id"].eqNullSafe(chosen["id"]), "left_semi"
     )
-    sets = cut_lineage(
+    sets = settled(
         again.select("text").mapInArrow(_sets, _SETS)
         .join(narrow_side(keys, 32), "key", "left_semi")
-        .dropDuplicates(["key"])
+        .dropDuplicates(["key"]),
+        rows=2_000,
     )
+    links, apart = None, labels
     for turn in range(1, LEADER_ROUNDS + 1):
         pairs = shared.where("key != leader" + (" and root != leader_root" if turn > 1 else ""))
         pairs = pairs.select(F.col("key").alias("u"), F.col("leader").alias("v")).distinct()
-        labels = _merge(labels, _verified(pairs, sets))
-        shared = cut_lineage(_open_cells(shared, labels))
-        if shared.isEmpty():
-            return rows, labels
+        found = settled(_verified(pairs, sets))
+        links = found if links is None else settled(links.unionByName(found))
+        labels = _merge(labels, found, rounds=1)
+        shared = settled(_open_cells(shared, labels), 1_000_000)
         if turn < LEADER_ROUNDS:
             best = F.min(F.struct(F.xxhash64("key", F.lit(turn)), "key", "root"))
             first = best.over(Window.partitionBy("token"))
@@ -336,7 +341,9 @@ def link_classes(
         .select(F.greatest("a.key", "b.key").alias("u"), F.least("a.key", "b.key").alias("v"))
         .distinct()
     )
-    return rows, _merge(labels, _verified(cut_lineage(rest), sets))
+    if not shared.isEmpty():
+        links = links.unionByName(_verified(rest, sets))
+    return rows, _merge(apart, links)
 
 
 def near_duplicates(
