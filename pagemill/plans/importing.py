@@ -24,7 +24,7 @@ from pagemill.operators.keyed import keep_last
 from pagemill.operators.links import link_edges, links_in_scope, new_links
 from pagemill.operators.metrics import import_summary
 from pagemill.operators.records import extract_records, iso_utc
-from pagemill.operators.schema import conform
+from pagemill.operators.schema import conform, merge_schema
 from pagemill.operators.search import text_postings, write_postings
 from pagemill.operators.sitemaps import (
     parsed_sitemaps,
@@ -39,6 +39,10 @@ from pagemill.sources.responses import response_documents, with_content
 from pagemill.sources.tables import KeyedTable
 
 
+#: The root element of a sitemap or of an index of sitemaps.
+SITEMAP_ROOT = r"(?i)<(?:[\w.-]+:)?(?:urlset|sitemapindex)[\s>]"
+
+
 @dataclass(frozen=True)
 class ImportResult:
     matched_records: int
@@ -125,14 +129,21 @@ class ImportPlan:
 
     @cached_property
     def _extracted(self) -> DataFrame:
-        return extract_records(self._accepted, self.options)
+        """The extractor's rows; one without a key cannot be stored, so its response is skipped."""
+        rows = extract_records(self._accepted, self.options)
+        return rows.where(F.col(self.options.primary_key).isNotNull())
 
     @cached_property
     def records(self) -> DataFrame:
         """The rows to store, one per key, with the ``seq`` they come from."""
         if self._key_first:
             return extract_records(keep_last(self._accepted, "url"), self.options)
-        return keep_last(self._extracted, self.options.primary_key)
+        # One response may give a key twice, so ties of ``seq`` are broken by the row itself.
+        rows, key = self._extracted, self.options.primary_key
+        plain = [name for name, kind in rows.dtypes if "map<" not in kind]
+        order = F.struct("seq", F.xxhash64(*plain))
+        last = rows.groupBy(F.col(key).alias("_key")).agg(F.max_by(F.struct(*rows.columns), order).alias("_row"))
+        return last.select("_row.*")
 
     @cached_property
     def imported(self) -> DataFrame:
@@ -220,12 +231,6 @@ def _within_limit(documents: DataFrame, options: ImportOptions) -> DataFrame:
     return documents.where(F.coalesce(F.col("seq") <= reached.scalar(), F.lit(True)))
 
 
-def _unresolved(seeds: DataFrame, answered: DataFrame, options: ImportOptions) -> DataFrame:
-    """Seeds without a response; after a limited run they are still to fetch, not failed."""
-    missing = fr.unresolved_seeds(seeds, answered)
-    return missing if options.limit is None else missing.where(F.lit(False))
-
-
 def _split_sitemaps(
     documents: DataFrame, seeds: DataFrame, options: ImportOptions
 ) -> tuple[DataFrame, DataFrame]:
@@ -234,10 +239,9 @@ def _split_sitemaps(
     spelled = documents.withColumn("url", canonical_url(F.col("url")))
     robots = spelled.where(F.col("url").endswith("/robots.txt")).join(starts, "url", "left_semi")
     found = robots_sitemaps(with_content(robots), options.domain)
-    candidates = spelled.where(
-        ~F.col("url").endswith("/robots.txt") & F.col("content_type_lower").contains("xml")
-    )
-    parsed = parsed_sitemaps(with_content(candidates))
+    # Servers send sitemaps under any content type, so the content says which ones they are.
+    candidates = with_content(spelled.where(~F.col("url").endswith("/robots.txt")))
+    parsed = parsed_sitemaps(candidates.where(F.col("content").rlike(SITEMAP_ROOT)))
     hops = found.unionByName(sitemap_children(parsed, options.domain))
     reached = reachable_sitemaps(hops, starts).select("url")
     listed = sitemap_urls(
@@ -281,7 +285,8 @@ def commit(
     if options.primary_key != "seq":
         records = records.drop("seq")
     if options.schema is not None:
-        records = conform(records, options.schema)
+        # An explicit schema adds columns; what the extractor gives besides is kept.
+        records = conform(records, merge_schema(options.schema, records.schema, options.primary_key))
     elif options.extract is None:
         records = conform(records, PAGE_SCHEMA)
     written = True

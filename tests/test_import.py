@@ -1,5 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from builders import PAGE, response, responses
 from pagemill.operators import frontier as fr
@@ -244,3 +245,30 @@ def test_sitemap_run(spark, tmp_path):
     result, found = run(spark, tmp_path, rows, url="https://example.com", include_sitemap=True)
     assert found == {"https://example.com/": "done", "https://example.com/a": "pending"}
     assert result == ImportResult(1, 1, 0, 1, 1, 0)
+
+
+def test_rows_without_key_and_with_the_same_key(spark, tmp_path):
+    def explode(documents):
+        key = F.when(F.col("seq") != 2, F.col("url"))
+        pieces = F.explode(F.array(F.lit("x"), F.lit("y")))
+        return documents.select("seq", key.alias("url"), pieces.alias("part"), F.lit(1).alias("more"))
+
+    rows = [response(1, "https://e.com/a"), response(2, "https://e.com/b")]
+    plan = plan_import(responses(spark, *rows), ImportOptions(extract=explode))
+    assert [r.url for r in plan.records.collect()] == ["https://e.com/a"]
+    counts = plan.summary().first()
+    assert (counts.imported_records, counts.skipped_records) == (1, 1)
+    wanted = T.StructType([T.StructField("url", T.StringType(), False), T.StructField("title", T.StringType())])
+    table = str(tmp_path / "pages")
+    run_import(spark, responses(spark, *rows), table, options=ImportOptions(extract=explode, schema=wanted))
+    assert KeyedTable(spark, table, "url").current().columns == ["url", "title", "part", "more"]
+
+
+def test_sitemap_under_any_content_type(spark, tmp_path):
+    urlset = "<urlset><url><loc>https://example.com/a</loc></url></urlset>"
+    rows = [
+        response(1, "https://example.com/sitemap.xml", urlset, "text/plain"),
+        response(2, "https://example.com/", PAGE),
+    ]
+    _, found = run(spark, tmp_path, rows, url="https://example.com", include_sitemap=True)
+    assert found == {"https://example.com/": "done", "https://example.com/a": "pending"}
