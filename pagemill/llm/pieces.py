@@ -16,37 +16,43 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from pagemill.llm.common import Memo
-
 #: Characters of text that are cut together.
 WINDOW = 1 << 21
-#: Pieces kept in each half of a worker's memo.
-MEMO_PIECES = 500_000
+#: Pieces that a worker remembers; beyond that it begins anew.
+MEMO_PIECES = 1_000_000
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_LATIN = "ɐ"  # the first character after the Latin letters
 
 
 class PieceTable:
     """Values of texts from the values of their pieces.
 
-    ``value(text)`` works a text out in full, ``join(values)`` puts values of parts together; a
-    value of None is not known.
+    ``value(text)`` works a text out in full, ``join(values)`` puts values of parts together, and
+    ``many(texts)`` gives the values of pieces with their space or newline before them.
     """
 
-    def __init__(self, value: Callable, join: Callable):
+    def __init__(self, value: Callable, join: Callable, many: Callable | None = None):
         self._value, self._join = value, join
-        self._pieces = Memo(self._piece, MEMO_PIECES)
-        self._marks = {mark: value(mark) for mark in ".,"}
-
-    def _piece(self, piece: str):
-        """Of a piece after a space, or of one that a newline begins; False if the cut is unsafe."""
-        inside = piece[1:] if piece[:1] == "\n" else piece
-        if not inside or inside[0].isspace() or inside[-1].isspace():
-            return False
-        stem = piece[:-1]
-        if piece[-1] in self._marks and stem.isalpha() and max(stem) < _LATIN:
-            return self._join([self._pieces[stem], self._marks[piece[-1]]])
-        return self._value(piece if inside is not piece else " " + piece)
+        self._many = many or (lambda texts: list(map(value, texts)))
+        self._known: dict[str, object] = {}
+
+    def _values(self, pieces: list[str]) -> list:
+        """Of pieces after a space, or of those that a newline begins; False if a cut is unsafe."""
+        if len(self._known) > MEMO_PIECES:
+            self._known = {}
+        known = self._known
+        values = list(map(known.get, pieces))
+        fresh = []
+        for i in [i for i, value in enumerate(values) if value is None]:
+            piece = pieces[i]
+            inside = piece[1:] if piece[:1] == "\n" else piece
+            if not inside or inside[0].isspace() or inside[-1].isspace():
+                values[i] = known[piece] = False
+            else:
+                fresh.append(i)
+        texts = [pieces[i] if pieces[i][0] == "\n" else " " + pieces[i] for i in fresh]
+        for i, value in zip(fresh, self._many(texts) if texts else ()):
+            values[i] = known[pieces[i]] = value
+        return values
 
     def _first(self, piece: str):
         if piece and piece[-1].isspace():
@@ -68,9 +74,10 @@ class PieceTable:
         begins = cut.offsets.to_numpy().astype(np.int64)
         coded = cut.values.dictionary_encode()
         number = coded.indices.to_numpy().astype(np.int64)
-        pieces = coded.dictionary.to_pylist()
-        values = list(map(self._pieces.__getitem__, pieces))
-        unsafe = np.fromiter((value is False for value in values), dtype=bool, count=len(values))
+        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        values = self._values(pieces)
+        unsafe = np.zeros(len(values), dtype=bool)
+        unsafe[[i for i, value in enumerate(values) if value is False]] = True
         touched = np.concatenate(([0], np.cumsum(unsafe[number])))
         # The first piece of a text has no space before it, so it is worked out by itself.
         heads = number[begins[:-1]]
@@ -82,7 +89,7 @@ class PieceTable:
             value = False
             if not bad_rest[i]:
                 head = pieces[heads[i]]
-                value = self._pieces[head] if goes_on[i] else self._first(head)
+                value = values[heads[i]] if goes_on[i] else self._first(head)
                 if head[:1] == "\n":
                     value = False
             if value is False:
