@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Characters of text that are cut together.
-WINDOW = 1 << 21
+WINDOW = 1 << 22
 #: Pieces that a worker remembers; beyond that it begins anew.
 MEMO_PIECES = 1_000_000
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -41,14 +41,15 @@ class PieceTable:
             self._known = {}
         known = self._known
         values = list(map(known.get, pieces))
-        fresh = []
-        for i in [i for i, value in enumerate(values) if value is None]:
-            piece = pieces[i]
-            inside = piece[1:] if piece[:1] == "\n" else piece
-            if not inside or inside[0].isspace() or inside[-1].isspace():
-                values[i] = known[piece] = False
-            else:
-                fresh.append(i)
+        new = [i for i, value in enumerate(values) if value is None]
+        fresh = [i for i in new if pieces[i] and pieces[i] == pieces[i].strip()]
+        if len(fresh) < len(new):
+            for i in set(new).difference(fresh):
+                inside = pieces[i][1:] if pieces[i][:1] == "\n" else ""
+                if inside and inside == inside.strip():
+                    fresh.append(i)
+                else:
+                    values[i] = known[pieces[i]] = False
         texts = [pieces[i] if pieces[i][0] == "\n" else " " + pieces[i] for i in fresh]
         for i, value in zip(fresh, self._many(texts) if texts else ()):
             values[i] = known[pieces[i]] = value

@@ -13,7 +13,7 @@ from pagemill.llm.pieces import PieceTable, windows
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 #: Pieces that one call of the library is given.
-TOGETHER = 4096
+TOGETHER = 512
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
