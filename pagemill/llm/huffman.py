@@ -26,7 +26,7 @@ MAX_BITS = 20
 #: Tokens between two bit offsets.
 STRIDE = 256
 #: A block ends with the document that brings it to so many tokens.
-BLOCK_TOKENS = 1 << 17
+BLOCK_TOKENS = 1 << 18
 #: Tokens of a part, that is of one sorted file of blocks, on average.
 PART_TOKENS = 16 << 20
 _STAGE = "doc_id long, row long, n_tokens long, ids binary, chunk int, counters binary"
@@ -96,13 +96,23 @@ def decoding_table(lengths: np.ndarray, limit: int = MAX_BITS) -> tuple[np.ndarr
     return ids, sizes
 
 
+def left_aligned(codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Codes at the top of 64 bits."""
+    return codes << (np.uint64(64) - lengths.astype(np.uint64)) % np.uint64(64)  # unused ids have code 0
+
+
 def encode(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes, np.ndarray]:
     """(bits, bit offsets of every ``STRIDE``-th id)."""
+    return encode_aligned(ids, left_aligned(codes, lengths), lengths)
+
+
+def encode_aligned(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """``encode`` by ``left_aligned`` codes."""
     size = lengths[ids].astype(np.int64)
     ends = np.cumsum(size)
     starts = ends - size
-    word, shift = starts >> 5, 64 - (starts & 31) - size
-    value = codes[ids] << shift.astype(np.uint64)
+    word = starts >> 5
+    value = codes[ids] >> (starts & 31).astype(np.uint64)
     out = np.zeros(int(ends[-1] >> 5) + 2, dtype=np.uint64)
     first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
     out[word[first]] += np.add.reduceat(value >> np.uint64(32), first)
@@ -178,11 +188,11 @@ def _code(lengths: np.ndarray, bounds: list[tuple], vocabulary: int):
     narrow = "<u2" if vocabulary <= 1 << 16 else "<u4"
 
     def run(batches):
-        codes = canonical_codes(lengths)
+        codes = left_aligned(canonical_codes(lengths), lengths)
         for batch in batches:
             out = []
             for doc_id, row, n_tokens, raw in rows_of([batch], "doc_id", "row", "n_tokens", "ids"):
-                bits, offsets = encode(np.frombuffer(raw, dtype=narrow), codes, lengths)
+                bits, offsets = encode_aligned(np.frombuffer(raw, dtype=narrow), codes, lengths)
                 part = bisect_left(bounds, _place(doc_id, row))
                 out.append((part, doc_id, row, n_tokens, bits, offsets.astype("<u8").tobytes()))
             if out:

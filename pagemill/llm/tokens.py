@@ -68,7 +68,10 @@ class Encoder:
             starts = np.cumsum(sizes) - sizes
             lengths = sizes[number]
             ends = np.concatenate(([0], np.cumsum(lengths)))
-            source = np.repeat(starts[number] - ends[:-1], lengths) + np.arange(ends[-1])
+            # Places in ``flat`` rise by one within a piece and jump from its end to the next start.
+            narrow = np.int32 if max(int(ends[-1]), len(flat)) < 1 << 31 else np.int64
+            source = np.repeat((starts[number] - ends[:-1]).astype(narrow), lengths)
+            source += np.arange(ends[-1], dtype=narrow)
             ids = flat[source].tobytes()
             bounds = (4 * ends[begins]).tolist()
             for i, a, b in zip(which, bounds, bounds[1:]):
