@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.llm.common import counter_chunks, new_folder, rows_of, summed_counters
-from pagemill.llm.tokens import END_ID, as_ids, encoder, tokenizer_path
+from pagemill.llm.tokens import END_ID, as_ids, each_text, encoder, tokenizer_path
 
 #: Longest code; the decoding table has 2^MAX_BITS entries.
 MAX_BITS = 20
@@ -151,7 +151,7 @@ def _stage(path: str, end_id: int, vocabulary: int):
         end = int(end_id).to_bytes(4, "little")
         for batch in batches:
             ids, sizes, rows, blobs, fresh, held = batch.column(0).to_pylist(), [], [], [], [], 0
-            for raw in encode_texts(batch.column(1).to_pylist()):
+            for raw in encode_texts(each_text(batch.column(1))):
                 tokens = as_ids(raw + end)
                 fresh.append(tokens)
                 held += len(tokens)

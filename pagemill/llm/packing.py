@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.llm.common import cut_lineage
-from pagemill.llm.tokens import END_ID, encoder, tokenizer_path
+from pagemill.llm.tokens import END_ID, each_text, encoder, tokenizer_path
 
 CAPACITY = 2048
 #: Documents packed together, on average.
@@ -39,8 +39,7 @@ def _pieces(path: str, capacity: int, end_id: int):
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             out: list[tuple] = []
-            texts = batch.column(1).to_pylist()
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(texts)):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(each_text(batch.column(1)))):
                 raw = memoryview(ids + end)
                 total, start, piece = len(raw) // 4, 0, 0
                 length = total % capacity or capacity

@@ -3,106 +3,136 @@
 The pre-tokenizer's pattern starts anew at a single space, and around a single newline, between
 two characters that are not white space, whatever else stands around them.  So a text may be cut
 there, and what is worked out for a piece (its ids, its number of tokens) serves every text that
-holds the piece.  Texts are cut a few megabytes at a time by Arrow, which also numbers the distinct
-pieces; only those are looked up one by one, in a memo of bounded size.
+holds the piece.  Texts are cut a megabyte at a time by Arrow, which also numbers the distinct
+pieces and looks them up in a memo of bounded size; only those it lacks become Python strings.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Characters of text that are cut together.
-WINDOW = 1 << 22
-#: Pieces that a worker remembers; beyond that it begins anew.
-MEMO_PIECES = 1_000_000
+WINDOW = 1 << 20
+#: Pieces that a worker remembers, and bytes of them and their values; beyond either it forgets
+#: all but the half that it used last.
+MEMO_PIECES = 600_000
+MEMO_BYTES = 48 << 20
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
+def _may_join(piece: str) -> bool:
+    """Whether a piece after a space, or one that a newline begins, may be worked out by itself."""
+    inside = piece[1:] if piece[:1] == "\n" else piece
+    return bool(inside) and inside == inside.strip()
+
+
 class PieceTable:
-    """Values of texts from the values of their pieces.
+    """Values of texts from the values of their pieces; a value is an array of 32-bit numbers.
 
-    ``value(text)`` works a text out in full, ``join(values)`` puts values of parts together, and
-    ``many(texts)`` gives the values of pieces with their space or newline before them.
+    ``wholes(texts)`` works texts out in full, ``join(values)`` puts values of parts together, and
+    ``many(texts)`` gives the values of pieces with their space or newline before them, as one
+    array and the length of each.  The memo is columns, not objects: some thirty bytes a piece.
     """
 
-    def __init__(self, value: Callable, join: Callable, many: Callable | None = None):
-        self._value, self._join = value, join
-        self._many = many or (lambda texts: list(map(value, texts)))
-        self._known: dict[str, object] = {}
-
-    def _values(self, pieces: list[str]) -> list:
-        """Of pieces after a space, or of those that a newline begins; False if a cut is unsafe."""
-        if len(self._known) > MEMO_PIECES:
-            self._known = {}
-        known = self._known
-        values = list(map(known.get, pieces))
-        new = [i for i, value in enumerate(values) if value is None]
-        fresh = [i for i in new if pieces[i] and pieces[i] == pieces[i].strip()]
-        if len(fresh) < len(new):
-            for i in set(new).difference(fresh):
-                inside = pieces[i][1:] if pieces[i][:1] == "\n" else ""
-                if inside and inside == inside.strip():
-                    fresh.append(i)
-                else:
-                    values[i] = known[pieces[i]] = False
-        texts = [pieces[i] if pieces[i][0] == "\n" else " " + pieces[i] for i in fresh]
-        for i, value in zip(fresh, self._many(texts) if texts else ()):
-            values[i] = known[pieces[i]] = value
-        return values
-
-    def _first(self, piece: str):
-        if piece and piece[-1].isspace():
-            return False
-        return self._value(piece)
+    def __init__(self, wholes: Callable, join: Callable, many: Callable | None = None):
+        self._wholes, self._join, self._many = wholes, join, many or self._one_by_one
+        self._blank = join([])
+        # The empty piece is always known and stands for nothing.
+        self._keys = pa.array([""], pa.string())
+        self._flat, self._starts = self._blank, np.zeros(1, dtype=np.int64)
+        self._sizes = np.array([len(self._blank)], dtype=np.int64)
+        self._unsafe, self._used = np.ones(1, dtype=bool), np.zeros(1, dtype=np.int64)
+        self._now = 0
+
+    def _one_by_one(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        values = self._wholes(texts)
+        return np.concatenate([self._blank[:0], *values]), np.array(list(map(len, values)), dtype=np.int64)
+
+    def _forget(self) -> None:
+        """Keep the pieces used last, at most half of either bound."""
+        cost = pc.binary_length(self._keys).to_numpy() + 4 * self._sizes
+        order = np.argsort(-self._used[1:], kind="stable") + 1
+        order = order[np.cumsum(cost[order]) <= MEMO_BYTES // 2][: MEMO_PIECES // 2]
+        kept = np.concatenate(([0], np.sort(order)))
+        sizes = self._sizes[kept]
+        ends = np.cumsum(sizes)
+        inside = np.repeat(self._starts[kept] - (ends - sizes), sizes)
+        self._flat = self._flat[inside + np.arange(len(inside))]
+        self._keys, self._starts, self._sizes = self._keys.take(pa.array(kept)), ends - sizes, sizes
+        self._unsafe, self._used = self._unsafe[kept], self._used[kept]
+
+    def _learn(self, fresh: pa.Array) -> None:
+        pieces = fresh.to_pylist()
+        safe = np.fromiter(map(_may_join, pieces), dtype=bool, count=len(pieces))
+        texts = [p if p[0] == "\n" else " " + p for p, ok in zip(pieces, safe.tolist()) if ok]
+        flat, lengths = self._many(texts)
+        starts, sizes = np.zeros(len(pieces), dtype=np.int64), np.full(len(pieces), len(self._blank))
+        starts[safe], sizes[safe] = len(self._flat) + np.cumsum(lengths) - lengths, lengths
+        self._keys = pa.concat_arrays([self._keys, fresh])
+        self._flat = np.concatenate((self._flat, flat))
+        self._starts = np.concatenate((self._starts, starts))
+        self._sizes = np.concatenate((self._sizes, sizes))
+        self._unsafe = np.concatenate((self._unsafe, ~safe))
+        self._used = np.concatenate((self._used, np.zeros(len(pieces), dtype=np.int64)))
+
+    def _places(self, pieces: pa.Array) -> np.ndarray:
+        """Where the memo holds each of these distinct pieces; those not known are worked out."""
+        if len(self._keys) > MEMO_PIECES or self._keys.nbytes + self._flat.nbytes > MEMO_BYTES:
+            self._forget()
+        found = pc.index_in(pieces, value_set=self._keys)
+        new = found.is_null()
+        places, unknown = found.fill_null(0).to_numpy().astype(np.int64), new.to_numpy(zero_copy_only=False)
+        if unknown.any():
+            places[unknown] = np.arange(int(unknown.sum())) + len(self._keys)
+            self._learn(pieces.filter(new))
+        self._now += 1
+        self._used[places] = self._now
+        return places
 
     def careful(self, text: str, goes_on: bool = False):
         """Of a text with white space of any kind, cut only where that is safe."""
         first, *rest = _CUT.split(text)
-        head = self._value(" " + first if goes_on else first)
-        return self._join([head, *[self._value(" " + piece) for piece in rest]])
+        parts = [" " + first if goes_on else first, *(" " + piece for piece in rest)]
+        return self._join(self._wholes(parts))
 
-    def window(self, texts: list[str], goes_on: list[bool]) -> tuple[list, np.ndarray, np.ndarray]:
-        """(distinct values, their number for every piece, first piece of every text).
+    def window(self, texts: list[str], goes_on: list[bool]) -> tuple[np.ndarray, ...]:
+        """(values, start and size of each distinct one, their number for every piece, first piece
+        of every text, and an end).
 
         ``goes_on`` marks texts that continue after a space.
         """
         cut = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.string()), "\n", " \n"), " ")
         begins = cut.offsets.to_numpy().astype(np.int64)
         coded = cut.values.dictionary_encode()
-        number = coded.indices.to_numpy().astype(np.int64)
-        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        values = self._values(pieces)
-        unsafe = np.zeros(len(values), dtype=bool)
-        unsafe[[i for i, value in enumerate(values) if value is False]] = True
-        touched = np.concatenate(([0], np.cumsum(unsafe[number])))
+        number = self._places(coded.dictionary)[coded.indices.to_numpy()]
+        touched = np.concatenate(([0], np.cumsum(self._unsafe[number])))
         # The first piece of a text has no space before it, so it is worked out by itself.
-        heads = number[begins[:-1]]
         own_head = touched[begins[:-1] + 1] - touched[begins[:-1]]
         bad_rest = (touched[begins[1:]] - touched[begins[:-1]] - own_head) > 0
-        nothing = len(values)
-        values.append(self._join([]))
-        for i, text in enumerate(texts):
-            value = False
-            if not bad_rest[i]:
-                head = pieces[heads[i]]
-                value = values[heads[i]] if goes_on[i] else self._first(head)
-                if head[:1] == "\n":
-                    value = False
-            if value is False:
-                number[begins[i] : begins[i + 1]] = nothing
-                value = self.careful(text, goes_on[i])
-            number[begins[i]] = len(values)
-            values.append(value)
-        blank = self._join([])
-        return [blank if value is False else value for value in values], number, begins
-
-
-def windows(texts: list[str | None]) -> Iterator[tuple[list[int], list[str], list[bool]]]:
+        heads = coded.dictionary.take(coded.indices.take(pa.array(begins[:-1]))).to_pylist()
+        alone, hard = [], []
+        for i, head in enumerate(heads):
+            if bad_rest[i] or head[:1] == "\n" or (own_head[i] if goes_on[i] else head[-1:].isspace()):
+                hard.append(i)
+            elif not goes_on[i]:
+                alone.append(i)
+        for i in hard:
+            number[begins[i] : begins[i + 1]] = 0
+        extra = self._wholes([heads[i] for i in alone]) if alone else []
+        extra += [self.careful(texts[i], goes_on[i]) for i in hard]
+        number[begins[[*alone, *hard]]] = len(self._keys) + np.arange(len(extra))
+        lengths = np.array(list(map(len, extra)), dtype=np.int64)
+        flat = np.concatenate((self._flat, *extra))
+        starts = np.concatenate((self._starts, len(self._flat) + np.cumsum(lengths) - lengths))
+        return flat, starts, np.concatenate((self._sizes, lengths)), number, begins
+
+
+def windows(texts: Iterable[str | None]) -> Iterator[tuple[list[int], list[str], list[bool]]]:
     """Texts in groups of about ``WINDOW`` characters: (which texts, parts, whether they go on).
 
     A longer text is cut where that is safe; a part that follows begins after the space.

@@ -58,7 +58,7 @@ class Counter:
         self._special = re.compile("|".join(longest_first)) if specials else None
         self._pattern = regex.compile(public_tokenizers.PATTERN)
         self._words = Memo(self.merge, MEMO_WORDS)
-        self._table = PieceTable(self.whole, sum)
+        self._table = PieceTable(self._counts, lambda counts: np.array([np.sum(counts)], dtype=np.uint32))
 
     def merge(self, word: str) -> int:
         """Tokens of one piece of the pre-tokenizer."""
@@ -106,12 +106,15 @@ class Counter:
         parts = self._special.split(text)
         return len(parts) - 1 + sum(map(self.plain, parts))
 
+    def _counts(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array([self.whole(text)], dtype=np.uint32) for text in texts]
+
     def batch(self, texts: list[str | None]) -> np.ndarray:
         """The number of tokens of each text."""
         total = np.zeros(len(texts), dtype=np.int64)
         for which, parts, goes_on in windows(texts):
-            values, number, begins = self._table.window(parts, goes_on)
-            sums = np.concatenate(([0], np.cumsum(np.array(values, dtype=np.int64)[number])))
+            counts, starts, _, number, begins = self._table.window(parts, goes_on)
+            sums = np.concatenate(([0], np.cumsum(counts[starts[number]], dtype=np.int64)))
             np.add.at(total, which, sums[begins[1:]] - sums[begins[:-1]])
         return total
 

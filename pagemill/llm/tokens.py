@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import os
-from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
@@ -22,6 +21,10 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def _joined(values: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([np.zeros(0, dtype=np.uint32), *values])
+
+
 class Encoder:
     """The library's ids of whole texts, as little-endian unsigned 32-bit bytes."""
 
@@ -30,49 +33,46 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._table = PieceTable(self.whole, b"".join, self.pieces)
+        self._table = PieceTable(self.wholes, _joined, self.pieces)
         vocabulary = self._tokenizer.get_vocab()
         # In a byte-level vocabulary a space is written as Ġ and a newline as Ċ.
         self._begins = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
         self._begins[[i for token, i in vocabulary.items() if token[:1] in ("Ġ", "Ċ")]] = True
 
-    def whole(self, text: str) -> bytes:
-        """By one call of the library."""
-        return array("I", self._ids(text)).tobytes()
-
-    def _ids(self, text: str) -> list[int]:
-        return self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+    def wholes(self, texts: list[str]) -> list[np.ndarray]:
+        """Each by itself."""
+        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(one.ids, dtype=np.uint32) for one in found]
 
-    def pieces(self, texts: list[str]) -> list[bytes]:
+    def pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Of pieces that begin with their only space or newline and may be put together."""
-        out: list[bytes] = []
+        flat, sizes = [np.zeros(0, dtype=np.uint32)], [np.zeros(0, dtype=np.int64)]
         for first in range(0, len(texts), TOGETHER):
             group = texts[first : first + TOGETHER]
-            ids = np.array(self._ids("".join(group)), dtype="<u4")
+            ids = self.wholes(["".join(group)])[0]
             begins = np.flatnonzero(self._begins[ids])
-            if len(begins) != len(group):
-                out += map(self.whole, group)
-                continue
-            raw, bounds = ids.tobytes(), (4 * begins).tolist()
-            out += [raw[a:b] for a, b in zip(bounds, [*bounds[1:], len(raw)])]
-        return out
-
-    def batch(self, texts: list[str | None]) -> Iterator[bytes]:
+            if len(begins) == len(group):
+                flat.append(ids)
+                sizes.append(np.diff(begins, append=len(ids)))
+            else:
+                alone = self.wholes(group)
+                flat += alone
+                sizes.append(np.array(list(map(len, alone))))
+        return np.concatenate(flat), np.concatenate(sizes)
+
+    def batch(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """The ids of each text, in order."""
         waiting: list[bytes] = []
         current = 0
         for which, parts, goes_on in windows(texts):
-            values, number, begins = self._table.window(parts, goes_on)
-            sizes = np.fromiter(map(len, values), dtype=np.int64, count=len(values)) >> 2
-            flat = np.frombuffer(b"".join(values), dtype="<u4")
-            starts = np.cumsum(sizes) - sizes
+            flat, starts, sizes, number, begins = self._table.window(parts, goes_on)
             lengths = sizes[number]
             ends = np.concatenate(([0], np.cumsum(lengths)))
             # Places in ``flat`` rise by one within a piece and jump from its end to the next start.
             narrow = np.int32 if max(int(ends[-1]), len(flat)) < 1 << 31 else np.int64
             source = np.repeat((starts[number] - ends[:-1]).astype(narrow), lengths)
             source += np.arange(ends[-1], dtype=narrow)
-            ids = flat[source].tobytes()
+            ids = flat[source].astype("<u4", copy=False).tobytes()
             bounds = (4 * ends[begins]).tolist()
             for i, a, b in zip(which, bounds, bounds[1:]):
                 if i != current:
@@ -95,3 +95,8 @@ def encoder(path: str) -> Encoder:
 
 def as_ids(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, dtype="<u4")
+
+
+def each_text(column) -> Iterator[str | None]:
+    """The texts of an Arrow column one at a time, so that Python holds no more than a window."""
+    return (text.as_py() for text in column)

@@ -8,7 +8,7 @@ import pytest
 from conftest import words
 
 from pagemill.llm import huffman, packing, pieces, token_counts
-from pagemill.llm.tokens import as_ids, encoder, tokenizer_path
+from pagemill.llm.tokens import Encoder, as_ids, encoder, tokenizer_path
 
 
 @pytest.fixture(scope="module")
@@ -39,6 +39,20 @@ def test_long_texts_are_cut_in_windows(library, monkeypatch):
     assert counts.tolist() == [len(library(text)) for text in texts]
 
 
+@pytest.mark.parametrize("bound", [("MEMO_PIECES", 12), ("MEMO_BYTES", 300)])
+def test_forgotten_pieces_are_worked_out_again(library, monkeypatch, bound):
+    monkeypatch.setattr(pieces, "WINDOW", 60)
+    monkeypatch.setattr(pieces, *bound)
+    fresh, counter = Encoder(tokenizer_path()), token_counts.Counter(tokenizer_path())
+    texts = [" ".join(words(k % 9, 30)) + "\nnext  line\t." for k in range(40)] + ["z" * 500 + " a b"] * 2
+    want = [library(text) for text in texts]
+    assert [as_ids(raw).tolist() for raw in fresh.batch(texts)] == want
+    assert counter.batch(texts).tolist() == [len(ids) for ids in want]
+    fresh._table._forget()
+    assert len(fresh._table._keys) <= 1 + pieces.MEMO_PIECES // 2
+    assert fresh._table._keys.nbytes <= pieces.MEMO_BYTES + 64
+
+
 def test_memo_is_bounded_and_right():
     from pagemill.llm.common import Memo
 
