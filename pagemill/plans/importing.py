@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
+from py4j.java_gateway import is_instance_of
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +44,9 @@ from pagemill.sources.tables import KeyedTable
 #: The root element of a sitemap or of an index of sitemaps.
 SITEMAP_ROOT = r"(?i)<(?:[\w.-]+:)?(?:urlset|sitemapindex)[\s>]"
 
+#: Seconds to wait before each new attempt at a write that storage refused.
+WRITE_WAITS = (1, 2, 4)
+
 
 @dataclass(frozen=True)
 class ImportResult:
@@ -107,13 +112,14 @@ class ImportPlan:
         frontier: DataFrame | None,
         seeds: DataFrame | None,
         at: Column | str | None,
+        starts: DataFrame | None = None,
     ) -> None:
         documents, listed = response_documents(responses), None
         if options.include_sitemap and seeds is not None:
             documents, listed = _split_sitemaps(documents, seeds, options)
         if options.limit is not None:
             documents = _within_limit(documents, options)
-        self.options, self.seeds = options, seeds
+        self.options, self.seeds, self._starts = options, seeds, starts
         self._documents, self._listed, self._at = documents, listed, at
         self._stored = frontier is not None
         self._frontier = frontier if self._stored else _empty_frontier(responses.sparkSession)
@@ -164,6 +170,8 @@ class ImportPlan:
         known = fr.frontier_state(self._frontier).select("url")
         if self.seeds is not None:
             known = known.unionByName(self.seeds.select("url"))
+        if self._starts is not None:
+            known = known.unionByName(self._starts.select("url"))
         linking = self._documents.where(~has_failed() & is_textual(F.col("content_type")))
         content = with_content(linking, self.options.rare_charsets)
         edges = links_in_scope(link_edges(content), self.options.url_filter, self.options.domain)
@@ -196,6 +204,15 @@ class ImportPlan:
             updates = updates.unionByName(
                 fr.frontier_rows(self.unresolved, at), allowMissingColumns=True
             )
+        if self._starts is not None:
+            # A start URL that this run neither read nor gave up is still to fetch.
+            waiting = fr.insert_seeds(self._frontier, self._starts, at)
+            settled_urls = events.select("url")
+            if self.unresolved is not None:
+                settled_urls = settled_urls.unionByName(self.unresolved.select("url"))
+            updates = updates.unionByName(
+                waiting.join(settled_urls, "url", "left_anti"), allowMissingColumns=True
+            )
         updates = updates.select(*FRONTIER_SCHEMA.names)
         if self._stored and not self.options.replace_whole_row:
             updates = fr.carry_discovery(self._frontier, updates)
@@ -211,14 +228,16 @@ def plan_import(
     frontier: DataFrame | None = None,
     seeds: DataFrame | None = None,
     at: Column | str | None = None,
+    starts: DataFrame | None = None,
 ) -> ImportPlan:
     """Turn responses into page rows, outcomes, new links and frontier updates.
 
     ``frontier`` is the stored URL state, ``seeds`` (canonical ``url``) are the URLs this
     run set out to fetch, and ``at`` stamps the frontier rows (the newest fetch time of the
-    run by default).
+    run by default).  ``starts`` (canonical ``url``) enter the frontier as pending if the run
+    settles nothing about them.
     """
-    return ImportPlan(responses, options or ImportOptions(), frontier, seeds, at)
+    return ImportPlan(responses, options or ImportOptions(), frontier, seeds, at, starts)
 
 
 def _within_limit(documents: DataFrame, options: ImportOptions) -> DataFrame:
@@ -289,13 +308,7 @@ def commit(
         records = conform(records, merge_schema(options.schema, records.schema, options.primary_key))
     elif options.extract is None:
         records = conform(records, PAGE_SCHEMA)
-    written = True
-    try:
-        pages.append(records, batch_id)
-    except Exception as error:
-        if not _is_storage_error(error):
-            raise
-        written = False
+    written = _write_pages(pages, records, batch_id)
     if frontier is not None:
         updates = plan.frontier_updates
         if not written:
@@ -307,9 +320,33 @@ def commit(
     return written
 
 
-def _is_storage_error(error: Exception) -> bool:
-    text = str(error)
-    return "IOException" in text or "FileSystemException" in text
+def _write_pages(pages: KeyedTable, records: DataFrame, batch_id: int) -> bool:
+    """Append, again after each of ``WRITE_WAITS`` while storage refuses; whether it worked.
+
+    Any other failure (a source that cannot be read, a lost shuffle) is raised, so that the
+    run or the micro-batch is repeated and no page is given up for it.
+    """
+    for wait in (*WRITE_WAITS, None):
+        try:
+            pages.append(records, batch_id)
+            return True
+        except Exception as error:
+            if not _refused(error, f"{pages.path}/log"):
+                raise
+        if wait is not None:
+            time.sleep(wait)
+    return False
+
+
+def _refused(error: Exception, folder: str) -> bool:
+    """Whether ``error`` stems from an ``IOException`` about a path in ``folder``."""
+    cause = getattr(error, "java_exception", None) or getattr(error, "_origin", None)
+    gateway = None if cause is None else SparkSession.active().sparkContext._gateway
+    while cause is not None:
+        if is_instance_of(gateway, cause, "java.io.IOException") and folder in str(cause.getMessage()):
+            return True
+        cause = cause.getCause()
+    return False
 
 
 def run_import(
@@ -344,7 +381,7 @@ def run_import(
         seeds = work_seeds(known, starts, options)
         report(ImportProgress("frontier_loaded"))
     report(ImportProgress("started"))
-    plan = plan_import(responses, options, known, seeds if resume else starts)
+    plan = plan_import(responses, options, known, seeds if resume else starts, starts=starts if resume else None)
     batch_id = max(pages.next_batch(), states.next_batch() if states else 0)
     written = commit(plan, pages, states, batch_id, options)
     report(ImportProgress("batch_merged" if written else "batch_write_failed"))

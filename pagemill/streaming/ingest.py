@@ -49,6 +49,9 @@ def start_ingest(
     options = options or ImportOptions()
     if options.limit is not None:
         raise ValueError("limit applies to batch imports")
+    for name in ("include_sitemap", "retry_failed", "index_columns"):
+        if getattr(options, name):
+            raise ValueError(f"{name} applies to batch imports")
     table = table.rstrip("/")
     checkpoint = f"{table}__checkpoint"
     first = _first_batch(spark, table, checkpoint, options)

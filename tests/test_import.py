@@ -5,6 +5,7 @@ from pyspark.sql import types as T
 from builders import PAGE, response, responses
 from pagemill.operators import frontier as fr
 from pagemill.operators.records import page_records, pandas_extractor
+from pagemill.plans import importing
 from pagemill.plans.importing import ImportResult, plan_import, run_import
 from pagemill.schemas import FRONTIER_SCHEMA, ImportOptions
 from pagemill.sources.responses import response_documents
@@ -210,19 +211,40 @@ def test_worklist(spark):
     assert work(retry_failed=True, limit=1) == ["https://a/x"]
 
 
-def test_lost_write_marks_failed(spark, tmp_path, monkeypatch):
-    original = KeyedTable.append
+def test_refused_write_marks_failed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(importing, "WRITE_WAITS", (0, 0))
+    tries, original = [], KeyedTable.append
 
-    def refuse(self, rows, batch_id=None):
-        if not self.path.endswith("__frontier"):
-            raise RuntimeError("java.io.IOException: disk gone")
+    def count(self, rows, batch_id=None):
+        tries.append(self.path)
         return original(self, rows, batch_id)
 
-    monkeypatch.setattr(KeyedTable, "append", refuse)
+    monkeypatch.setattr(KeyedTable, "append", count)
     rows = [response(1, "https://example.com/"), response(2, "https://example.com/b", b"", "image/png")]
+    blocked = tmp_path / "pages"
+    blocked.mkdir()
+    (blocked / "log").write_text("a file where the table has its batches")
     result, found = run(spark, tmp_path, rows, [("https://example.com/", "pending")])
     assert found == {"https://example.com/": "failed", "https://example.com/b": "skipped"}
     assert (result.imported_records, result.skipped_records) == (0, 2)
+    assert [path.endswith("pages") for path in tries if not path.endswith("__frontier")] == [True] * 3
+
+
+def test_other_failures_are_raised(spark, tmp_path, monkeypatch):
+    def lost(self, rows, batch_id=None):
+        raise RuntimeError("java.io.IOException: a source could not be read")
+
+    rows = [response(1, "https://example.com/")]
+    monkeypatch.setattr(KeyedTable, "append", lost)
+    with pytest.raises(RuntimeError, match="could not be read"):
+        run(spark, tmp_path, rows)
+
+
+def test_start_url_that_a_limit_left_unread_stays_pending(spark, tmp_path):
+    rows = [response(1, "https://example.com/other", PAGE), response(2, "https://example.com/start", PAGE)]
+    result, found = run(spark, tmp_path, rows, url="https://example.com/start", limit=1)
+    assert result.imported_records == 1
+    assert (found["https://example.com/other"], found["https://example.com/start"]) == ("done", "pending")
 
 
 def test_frontier_shape(spark):
