@@ -17,6 +17,10 @@ BLOCK_TAGS = (
     "head", "header", "hr", "html", "li", "main", "nav", "ol", "p", "pre", "section", "table",
     "tbody", "td", "th", "thead", "title", "tr", "ul",
 )
+#: A block is boilerplate when it stands on more than ``MIN_PAGES`` pages of its host and on more
+#: than ``PERCENT`` of a hundred of them, so that the rule reads alike for ten pages and ten million.
+MIN_PAGES = 2
+PERCENT = 10
 _BLOCK_BREAK = r"(?i)</?(?:" + "|".join(BLOCK_TAGS) + r")(?:[\s/][^>]*)?>"
 
 
@@ -53,13 +57,29 @@ def block_counts(blocks: DataFrame) -> DataFrame:
     )
 
 
-def boilerplate_blocks(blocks: DataFrame, max_pages: int = 2) -> DataFrame:
-    """``host, block, block_key, pages`` of blocks on more than ``max_pages`` pages."""
-    return block_counts(blocks).where(F.col("pages") > max_pages)
+def _on_many(counts: DataFrame, blocks: DataFrame, min_pages: int, percent: int) -> DataFrame:
+    """The rows of ``counts`` (``host``, ``pages``, ...) above both limits; none without a host.
+
+    A host may have a large share of all blocks, so its number of pages is joined with care.
+    """
+    hosts = blocks.groupBy("host").agg(F.count("*").alias("_host_pages"))
+    often = counts.where(F.col("pages") > min_pages)
+    sized = lookup_join(often, hosts, "host", hosts.withColumnRenamed("_host_pages", "rows"))
+    return sized.where(F.col("pages") * 100 > F.col("_host_pages") * percent).drop("_host_pages")
+
+
+def boilerplate_blocks(
+    blocks: DataFrame, min_pages: int = MIN_PAGES, percent: int = PERCENT
+) -> DataFrame:
+    """``host, block, block_key, pages`` of blocks that many pages of their host repeat."""
+    return _on_many(block_counts(blocks), blocks, min_pages, percent)
 
 
 def clean_pages(
-    blocks: DataFrame, boilerplate: DataFrame | None = None, max_pages: int = 2
+    blocks: DataFrame,
+    boilerplate: DataFrame | None = None,
+    min_pages: int = MIN_PAGES,
+    percent: int = PERCENT,
 ) -> DataFrame:
     """``seq, url, text, dropped``: the blocks of each page that its host does not repeat.
 
@@ -71,9 +91,10 @@ def clean_pages(
     keyed = blocks.select("seq", F.posexplode(keys).alias("position", "block_key"))
     if boilerplate is None:
         # Keys alone are counted, each once per page: the block texts stay with their pages.
-        once = blocks.select(F.explode(F.array_distinct(keys)).alias("block_key"))
-        counts = once.groupBy("block_key").agg(F.count("*").alias("rows"))
-        repeated = counts.where(F.col("rows") > max_pages).select("block_key")
+        once = blocks.select("host", F.explode(F.array_distinct(keys)).alias("block_key"))
+        found = once.groupBy("host", "block_key").agg(F.count("*").alias("pages"))
+        repeated = _on_many(found, blocks, min_pages, percent).select("block_key")
+        counts = found.select("block_key", F.col("pages").alias("rows"))
     else:
         counts, repeated = None, boilerplate.select("block_key")
     drops = (

@@ -446,8 +446,10 @@ _BLOCKS = f"""blocks AS (
   FROM responses),
 placed AS (SELECT seq, host, unnest(blocks) AS block, unnest(range(1, len(blocks) + 1)) AS position
   FROM blocks),
-repeated AS (SELECT host, block, count(DISTINCT seq) AS pages FROM placed GROUP BY host, block
-  HAVING count(DISTINCT seq) > 2)"""
+hosts AS (SELECT host, count(*) AS host_pages FROM blocks GROUP BY host),
+repeated AS (SELECT host, block, pages FROM (
+    SELECT host, block, count(DISTINCT seq) AS pages FROM placed GROUP BY host, block)
+  JOIN hosts USING (host) WHERE pages > 2 AND pages * 100 > host_pages * 10)"""
 ORACLES["boilerplate_blocks"] = ctes(RESPONSES, _BLOCKS) + "SELECT * FROM repeated"
 ORACLES["clean_pages"] = ctes(RESPONSES, _BLOCKS) + """
 SELECT b.seq, b.url,

@@ -108,6 +108,24 @@ def test_clean_pages(spark):
         assert {r.seq: (r.text, r.dropped) for r in cleaned} == expected
 
 
+def test_boilerplate_is_a_share_of_the_pages_of_a_host(spark):
+    def pages_of(host, count, repeats):
+        return [
+            response(1000 * repeats + i, f"https://{host}/{i}", f"<p>Own {i}</p>" + "<p>Said thrice</p>" * (i < repeats), HTML)
+            for i in range(count)
+        ]
+
+    # 3 of 29 pages are 10.3 %, 4 of 30 are 13.3 %.
+    blocks = boilerplate.page_blocks(pages(spark, *pages_of("small", 29, 3), *pages_of("large", 30, 4)))
+    rows = boilerplate.boilerplate_blocks(blocks).collect()
+    assert sorted((r.host, r.pages) for r in rows) == [("large", 4), ("small", 3)]
+    rows = boilerplate.boilerplate_blocks(blocks, percent=11).collect()
+    assert [(r.host, r.pages) for r in rows] == [("large", 4)]
+    assert boilerplate.boilerplate_blocks(blocks, percent=14).count() == 0
+    dropped = boilerplate.clean_pages(blocks, percent=11).where("dropped > 0").collect()
+    assert {r.url.split("/")[2] for r in dropped} == {"large"} and len(dropped) == 4
+
+
 def test_search(spark, tmp_path):
     docs = spark.createDataFrame([(1, "Red fox, red"), (2, "blue FOX"), (3, "sea")], "id long, text string")
     postings = search.text_postings(docs, "id")
