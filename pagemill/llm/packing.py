@@ -2,9 +2,9 @@
 
 Documents are cut into pieces of at most one sequence; only numbers move on from there.  Pieces
 are dealt over groups by a hash and each group is packed by itself: best fit over falling lengths,
-then a local search among the bins that are not full moves a document or exchanges one for one
-or two for one whenever that raises the sum of squared fills, until bins are empty or nothing
-helps.  A group leaves at most a few bins short of full, so with thousands of bins a group the
+then a local search among all bins that are not full moves a document or exchanges one for one,
+one for two or two for one whenever that raises the sum of squared fills, until nothing helps.
+Partners are found by size, so every pair of bins counts.  A group leaves at most a few bins short of full, so with thousands of bins a group the
 loss against packing all at once is well below a thousandth.
 """
 
@@ -13,6 +13,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
@@ -25,10 +26,6 @@ from pagemill.llm.tokens import END_ID, each_text, encoder, tokenizer_path
 CAPACITY = 2048
 #: Documents packed together, on average.
 GROUP_DOCS = 20_000
-#: Passes of the local search over the bins that are not full.
-MAX_PASSES = 8
-#: Bins, the fullest first, that one bin is compared with in a pass.  Bounds the search, not the rows.
-COMPARED = 48
 PIECES = "doc_id long, row long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -96,63 +93,108 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def swap_search(lengths: list[int], bins: list[list[int]], capacity: int, passes: int = MAX_PASSES):
+class _Sizes:
+    """The open bins that hold each size, emptiest first; ``least`` has the smallest fill of each."""
+
+    NONE = 1 << 40
+
+    def __init__(self, capacity: int):
+        self.bins: list[list[tuple[int, int]]] = [[] for _ in range(capacity + 1)]
+        self.least = np.full(2 * capacity + 1, self.NONE, dtype=np.int64)
+
+    def add(self, sizes, fill: int, number: int) -> None:
+        for size in sizes:
+            insort(self.bins[size], (fill, number))
+            self.least[size] = self.bins[size][0][0]
+
+    def drop(self, sizes, fill: int, number: int) -> None:
+        for size in sizes:
+            held = self.bins[size]
+            held.pop(bisect_left(held, (fill, number)))
+            self.least[size] = held[0][0] if held else self.NONE
+
+
+def _sizes(lengths: list[int], items: list[int]) -> tuple[dict, dict]:
+    """(size -> one item, size -> two items) of a bin; of equal sizes one stands for all."""
+    equal: dict[int, list[int]] = {}
+    for i in items:
+        equal.setdefault(lengths[i], []).append(i)
+    one = {size: (held[0],) for size, held in equal.items()}
+    two = {2 * size: tuple(held[:2]) for size, held in equal.items() if len(held) > 1}
+    distinct = list(equal)
+    for k, size in enumerate(distinct):
+        for other in distinct[:k]:
+            two.setdefault(size + other, (equal[size][0], equal[other][0]))
+    return one, two
+
+
+def swap_search(lengths: list[int], bins: list[list[int]], capacity: int):
     """Better ``bins`` in place by moves and exchanges among those that are not full.
 
-    Each step takes an item of the emptier bin and lets the fuller bin gain: by the item, by the
-    item against a smaller one, or by the item against two smaller ones.  So the sum of squared
-    fills rises with every step and the search ends; ``passes`` bounds it earlier.
+    In each step a bin gains by an item of another, by one against one or two of its own, or by two
+    against one of its own, so that the sum of squared fills rises most.  The search ends when no
+    such step is left between any two bins; it must end, as the sum is a bounded whole number.
     """
-    fill = {b: sum(lengths[i] for i in bins[b]) for b in range(len(bins))}
-    open_bins = sorted((b for b in fill if fill[b] < capacity), key=lambda b: fill[b])
-    for _ in range(passes):
+    fill = [sum(lengths[i] for i in items) for items in bins]
+    ones, twos = _Sizes(capacity), _Sizes(capacity)
+    own: dict[int, tuple[dict, dict]] = {}  # of the bins that are open
+
+    def enter(b):
+        if bins[b] and fill[b] < capacity:
+            own[b] = _sizes(lengths, bins[b])
+            ones.add(own[b][0], fill[b], b)
+            twos.add(own[b][1], fill[b], b)
+
+    def leave(b):
+        ones.drop(own[b][0], fill[b], b)
+        twos.drop(own[b][1], fill[b], b)
+        return own.pop(b)
+
+    for b in range(len(bins)):
+        enter(b)
+    changed = True
+    while changed:
         changed = False
-        for giver in open_bins:
-            for taker in open_bins[: -COMPARED - 1 : -1]:  # the fullest first
-                if taker == giver or not bins[giver] or not bins[taker] or fill[taker] < fill[giver]:
-                    continue
-                while (step := _step(lengths, bins[giver], bins[taker], capacity - fill[taker])) is not None:
-                    item, back = step
-                    gain = lengths[item] - sum(lengths[i] for i in back)
-                    bins[giver].remove(item)
-                    bins[taker].append(item)
-                    for i in back:
-                        bins[taker].remove(i)
-                        bins[giver].append(i)
-                    fill[giver] -= gain
-                    fill[taker] += gain
-                    changed = True
-                    if not bins[giver] or fill[taker] == capacity:
-                        break
-        open_bins = sorted((b for b in open_bins if bins[b] and fill[b] < capacity), key=lambda b: fill[b])
-        if not changed or len(open_bins) < 2:
-            break
+        for taker in sorted(own, key=lambda b: -fill[b]):
+            while taker in own:
+                mine = leave(taker)
+                step = _step(ones, twos, mine, fill[taker], capacity)
+                if step is None:
+                    enter(taker)
+                    break
+                giver, count, size, back = step
+                given = leave(giver)[count - 1][size]
+                for i in given:
+                    bins[giver].remove(i)
+                for i in back:
+                    bins[taker].remove(i)
+                bins[taker] += given
+                bins[giver] += back
+                gain = size - sum(lengths[i] for i in back)
+                fill[taker] += gain
+                fill[giver] -= gain
+                enter(taker)
+                enter(giver)
+                changed = True
     return [b for b in bins if b]
 
 
-def _step(lengths, giver, taker, room):
-    """The exchange that fills ``room`` best: an item of ``giver`` for none, one or two of ``taker``."""
+def _step(ones: _Sizes, twos: _Sizes, mine: tuple[dict, dict], fill: int, capacity: int):
+    """(giver, items given, their size, items given back) of the best step of a bin, or None.
+
+    Of the bins that hold a size the emptiest gives, as that raises the sum of squares most.
+    """
+    one, two = mine
+    gains = np.arange(1, capacity - fill + 1)
     best, chosen = 0, None
-    own = sorted(taker, key=lambda i: lengths[i])
-    sizes = [lengths[i] for i in own]
-    for item in giver:
-        length = lengths[item]
-        if best < length <= room:
-            best, chosen = length, (item, ())
-        # One for one: the smallest item that may go back without overflow.
-        at = bisect_left(sizes, length - room)
-        if length > room and at < len(own) and best < length - sizes[at]:
-            best, chosen = length - sizes[at], (item, (own[at],))
-        # Two for one: for each item the smallest partner that may go back with it.
-        if length > room:
-            for i, size in enumerate(sizes[:-1]):
-                if size >= length:
-                    break
-                j = max(i + 1, bisect_left(sizes, length - room - size))
-                if j < len(own) and best < length - size - sizes[j]:
-                    best, chosen = length - size - sizes[j], (item, (own[i], own[j]))
-        if best == room:
-            break
+    for index, count, backs in ((ones, 1, [(0, ()), *one.items(), *two.items()]), (twos, 2, list(one.items()))):
+        wanted = np.array([size for size, _ in backs])[:, None] + gains
+        rise = gains * (fill + gains - index.least[wanted])
+        at = int(rise.argmax())
+        if rise.flat[at] > best:
+            best = int(rise.flat[at])
+            size = int(wanted.flat[at])
+            chosen = (index.bins[size][0][1], count, size, backs[at // len(gains)][1])
     return chosen
 
 

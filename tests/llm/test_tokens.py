@@ -139,6 +139,33 @@ def test_swaps_never_lower_the_squares():
         assert all(sum(lengths[i] for i in b) <= 100 for b in better)
 
 
+def test_swaps_go_on_until_no_pair_of_bins_helps():
+    import random
+    from itertools import combinations
+
+    rng = random.Random(1)
+    lengths = [rng.randint(450, 900) for _ in range(1_000)]
+    first = packing.best_fit(lengths, 2048)
+    better = packing.swap_search(lengths, [list(b) for b in first], 2048)
+    assert len(better) <= 0.98 * len(first)
+    assert sorted(i for b in better for i in b) == list(range(1_000))
+    assert all(sum(lengths[i] for i in b) <= 2048 for b in better)
+    small = [rng.randint(20, 60) for _ in range(60)]
+    left = packing.swap_search(small, packing.best_fit(small, 100), 100)
+    size = lambda items: sum(small[i] for i in items)
+    shapes = {(1, 0), (1, 1), (1, 2), (2, 1)}
+    for giver in left:
+        for taker in left:
+            if giver is taker:
+                continue
+            for given, back in shapes:
+                for out in combinations(giver, given):
+                    for into in combinations(taker, back):
+                        gain = size(out) - size(into)
+                        helps = 0 < gain <= 100 - size(taker) and size(taker) + gain > size(giver)
+                        assert not helps
+
+
 def test_code_lengths_are_optimal_and_limited():
     import heapq
     import random
