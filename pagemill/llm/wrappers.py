@@ -2,7 +2,9 @@
 
 A page is read as a tree of blocks and texts.  The pages of a host are aligned one after the other:
 children of one label that follow each other become a repeated group, those that only some pages
-have become optional, and texts that differ become slots.  The wrapper, with the text volume of its
+have become optional, and texts that differ become slots.  A text that stands at the same place of
+its path on every page, counted from the first or the last text there, is constant; copies of a
+page are one page as evidence for that.  The wrapper, with the text volume of its
 nodes, says which of its paths hold the main text; every page is then read along those paths.
 
 Wrappers are folded in the tasks that read the pages, then by salted host and last by host, so a
@@ -11,9 +13,11 @@ host with most of the pages never meets in one task.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import zlib
+from collections import Counter
 from difflib import SequenceMatcher
 from functools import lru_cache
 from html import unescape
@@ -29,7 +33,7 @@ from pagemill.llm.common import cut_lineage, narrow_side, rows_of
 HELD_HOSTS = 2_000
 #: Salts of the first merge of a host's wrappers.
 SALTS = 32
-#: Pages from which a text that never changes counts as part of the template.
+#: Distinct pages from which a text that never changes counts as part of the template.
 TEMPLATE_PAGES = 5
 #: Blocks nested deeper than this count as part of the block around them.
 MAX_DEPTH = 150
@@ -56,6 +60,8 @@ FURNITURE = frozenset(
     "recommendations share sharing social widget widgets toolbar pagination pager search form copyright".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Blocks of running text: no region by themselves, as a heading or a list may stand beside them.
+RUNNING = frozenset("p pre blockquote ul ol dl".split()) | HEADINGS
 CONTENT = frozenset("article post entry story content body main text".split())
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form "
@@ -200,25 +206,63 @@ def is_furniture(block: Block) -> bool:
     return any(word[5:] in ROLES for word in block.words if word.startswith("role="))
 
 
-# --- wrappers: [label, pages, characters, link characters, constant, repeated, content, children] ----
+# --- wrappers: [label, pages, characters, link characters, constant, repeated, content, children, seen]
+# constant: of a text, (checksum, place) of what every page has there, or None if nothing
+# seen: of a text, digests of distinct pages that have it, at most TEMPLATE_PAGES, the smallest
 
-_LABEL, _PAGES, _CHARS, _LINKS, _CONSTANT, _REPEATED, _KIND, _CHILDREN = range(8)
+_LABEL, _PAGES, _CHARS, _LINKS, _CONSTANT, _REPEATED, _KIND, _CHILDREN, _SEEN = range(9)
+
+
+def _placed(root: Block) -> list[tuple[Block, int, str, str, list[str]]]:
+    """(block, index in it, path, text, constants) of the texts outside furniture, in page order.
+
+    The constants name a text by its checksum and its place among the texts of its path, once
+    counted from the first and once from the last.
+    """
+    found, times = [], Counter()
+    stack: list[tuple] = [(root, -1, "/")]
+    while stack:
+        block, index, path = stack.pop()
+        if index >= 0:
+            found.append((block, index, path, times[path]))
+            times[path] += 1
+            continue
+        for i in range(len(block.children) - 1, -1, -1):
+            child = block.children[i]
+            if not isinstance(child, Block):
+                stack.append((block, i, path))
+            elif not is_furniture(child):
+                stack.append((child, -1, f"{path}/{child.label}"))
+    out = []
+    for block, index, path, place in found:
+        text = block.children[index][0]
+        code = zlib.crc32(text.encode())
+        out.append((block, index, path, text, [f"{code}+{place}", f"{code}-{times[path] - place}"]))
+    return out
 
 
 def wrap(block: Block) -> list:
     """The wrapper of one page's block, without furniture."""
+    digest, constants = hashlib.blake2b(digest_size=8), {}
+    for home, index, _, text, names in _placed(block):
+        digest.update(text.encode() + b"\n")
+        constants[id(home), index] = names
+    return _wrapped(block, constants, digest.hexdigest())
+
+
+def _wrapped(block: Block, constants: dict, page: str) -> list:
     children = []
-    for child in block.children:
+    for index, child in enumerate(block.children):
         if isinstance(child, Block):
             if not is_furniture(child):
-                children.append(wrap(child))
+                children.append(_wrapped(child, constants, page))
         else:
             text, links = child
-            children.append(["#", 1, len(text), links, zlib.crc32(text.encode()), 0, 0, []])
-    children = _folded(children)
+            children.append(["#", 1, len(text), links, sorted(constants[id(block), index]), 0, 0, [], [page]])
+    children = _folded(children, 1)
     return [
         block.label, 1, sum(c[_CHARS] for c in children), sum(c[_LINKS] for c in children),
-        None, 0, _kind(block), children,
+        None, 0, _kind(block), children, [],
     ]
 
 
@@ -231,8 +275,11 @@ def _kind(block: Block) -> int:
     return 3 if block.tag in ("div", "section", "td") and block.words & CONTENT else 4
 
 
-def _folded(nodes: list[list]) -> list[list]:
-    """Runs of equal labels, of one to three labels at a time, become repeated groups."""
+def _folded(nodes: list[list], pages: int) -> list[list]:
+    """Runs of equal labels, of one to three labels at a time, become repeated groups.
+
+    ``pages`` is the number of pages of the block that holds the nodes.
+    """
     for period in (1, 2, 3):
         out: list[list] = []
         for node in nodes:
@@ -243,35 +290,53 @@ def _folded(nodes: list[list]) -> list[list]:
                 last = out[-period:]
                 del out[-period:]
                 for k in range(period):
-                    merged = merge(out[k - period], last[k], same_page=True)
+                    merged = merge(out[k - period], last[k], same_pages=pages)
                     merged[_REPEATED] = 1
                     out[k - period] = merged
         nodes = out
     return nodes
 
 
-def merge(a: list, b: list, same_page: bool = False) -> list:
-    """One wrapper for two of one label; what only one of them has becomes optional."""
-    pages = max(a[_PAGES], b[_PAGES]) if same_page else a[_PAGES] + b[_PAGES]
-    constant = a[_CONSTANT] if a[_CONSTANT] == b[_CONSTANT] else None
+def merge(a: list, b: list, same_pages: int = 0) -> list:
+    """One wrapper for two of one label; what only one of them has becomes optional.
+
+    ``same_pages`` is given for two nodes of the same pages, so many in all, none of which need
+    have both.
+    """
+    pages = max(a[_PAGES], b[_PAGES]) if same_pages else a[_PAGES] + b[_PAGES]
+    constant, seen = _constant(a, b, same_pages)
     return [
         a[_LABEL], pages, a[_CHARS] + b[_CHARS], a[_LINKS] + b[_LINKS], constant,
-        a[_REPEATED] | b[_REPEATED], min(a[_KIND], b[_KIND]), _aligned(a[_CHILDREN], b[_CHILDREN], same_page),
+        a[_REPEATED] | b[_REPEATED], min(a[_KIND], b[_KIND]), _aligned(a[_CHILDREN], b[_CHILDREN], pages, same_pages),
+        seen,
     ]
 
 
-def _aligned(a: list[list], b: list[list], same_page: bool) -> list[list]:
+def _constant(a: list, b: list, same_pages: int) -> tuple[list | None, list]:
+    """What all pages of two texts have, and distinct pages that have it."""
+    # A node that all pages have keeps its own constants when others of these pages join it.
+    whole = [node for node in (a, b) if same_pages and node[_PAGES] == same_pages]
+    if whole:
+        constant = set().union(*(node[_CONSTANT] or () for node in whole))
+        seen = [page for node in whole for page in node[_SEEN]]
+    else:
+        constant = set(a[_CONSTANT] or ()) & set(b[_CONSTANT] or ())
+        seen = a[_SEEN] + b[_SEEN]
+    return (sorted(constant), sorted(set(seen))[:TEMPLATE_PAGES]) if constant else (None, [])
+
+
+def _aligned(a: list[list], b: list[list], pages: int, same_pages: int) -> list[list]:
     names_a, names_b = [x[_LABEL] for x in a], [x[_LABEL] for x in b]
     if names_a == names_b:
-        return [merge(x, y, same_page) for x, y in zip(a, b)]
+        return [merge(x, y, same_pages) for x, y in zip(a, b)]
     out = []
     for same, i, j, k, m in SequenceMatcher(None, names_a, names_b, autojunk=False).get_opcodes():
         if same == "equal":
-            out += [merge(x, y, same_page) for x, y in zip(a[i:j], b[k:m])]
+            out += [merge(x, y, same_pages) for x, y in zip(a[i:j], b[k:m])]
         else:
             out += a[i:j] + b[k:m]
     # An optional beside its like is a group that repeats.
-    return _folded(out)
+    return _folded(out, same_pages or pages)
 
 
 def rule_of(wrapper: list) -> dict:
@@ -286,8 +351,8 @@ def rule_of(wrapper: list) -> dict:
             named.append((node[_KIND], -node[_CHARS] / node[_PAGES], here))
         for child in node[_CHILDREN]:
             if child[_LABEL] == "#":
-                if child[_CONSTANT] is not None and child[_PAGES] >= TEMPLATE_PAGES and not child[_REPEATED]:
-                    template.append(f"{here}/#{child[_CONSTANT]}")
+                if child[_CONSTANT] is not None and len(child[_SEEN]) >= TEMPLATE_PAGES:
+                    template += [f"{here}/#{constant}" for constant in child[_CONSTANT]]
             else:
                 if child[_CHARS] and child[_LINKS] > MENU * child[_CHARS]:
                     template.append(f"{here}/{child[_LABEL]}")
@@ -299,7 +364,9 @@ def rule_of(wrapper: list) -> dict:
         running = lambda x: x[_CHARS] - x[_LINKS]
         blocks = [child for child in node[_CHILDREN] if child[_LABEL] != "#"]
         best = max(blocks, key=running, default=None)
-        if best is None or best[_REPEATED] or running(best) < 0.6 * max(1, running(node)):
+        if best is None or best[_REPEATED] or best[_LABEL].split(".")[0] in RUNNING:
+            break
+        if running(best) < 0.6 * max(1, running(node)):
             break
         node, path = best, f"{path}/{best[_LABEL]}"
     ranked = [here for _, _, here in sorted(named)]
@@ -320,29 +387,38 @@ def main_text(root: Block, rule: dict) -> str:
             if isinstance(child, Block) and not is_furniture(child):
                 stack.append((child, f"{path}/{child.label}"))
     template = frozenset(rule["template"])
-    for place in sorted(homes):
-        skip = template if place >= len(named) else None
-        texts = [text for home in homes[place] for text in _texts(*home, skip)]
-        if texts:
-            return " ".join(texts)
+    constant = {
+        (id(block), index)
+        for block, index, path, _, names in (_placed(root) if template else ())
+        if any(f"{path}/#{name}" in template for name in names)
+    }
+    # What belongs to the template goes unless the page has nothing else.
+    for skip in (template, frozenset()):
+        for place in sorted(homes):
+            own = (skip, constant if skip else ()) if place >= len(named) else (None, ())
+            texts = [text for home in homes[place] for text in _texts(*home, *own)]
+            if texts:
+                return " ".join(texts)
     return ""
 
 
-def _texts(block: Block, path: str, skip: frozenset | None):
-    """The texts of a block in page order; ``skip`` names the template of an unnamed region."""
+def _texts(block: Block, path: str, skip: frozenset | None, constant):
+    """The texts of a block in page order; ``skip`` names the menus of an unnamed region and
+    ``constant`` its template texts."""
     stack: list[tuple] = [(block, path)]
     while stack:
         child, here = stack.pop()
         if not isinstance(child, Block):
             yield child
             continue
-        for inner in reversed(child.children):
+        for index in range(len(child.children) - 1, -1, -1):
+            inner = child.children[index]
             if isinstance(inner, Block):
                 below = f"{here}/{inner.label}"
                 menu = skip is not None and (below in skip or inner.links > MENU * inner.chars)
                 if not menu and not is_furniture(inner):
                     stack.append((inner, below))
-            elif not skip or f"{here}/#{zlib.crc32(inner[0].encode())}" not in skip:
+            elif not constant or (id(child), index) not in constant:
                 stack.append((inner[0], here))
 
 

@@ -255,3 +255,32 @@ def test_template_texts_go_where_no_block_has_a_name(spark):
     rows = [(i, f"http://t.example/{i}", page.format(i)) for i in range(8)]
     got = wrappers.extract_main_text(pages(spark, rows)).collect()
     assert all("begins" in r.text for r in got)
+    assert not any("Welcome" in r.text for r in got)
+
+
+def test_copies_of_a_page_are_no_evidence_for_a_template(spark):
+    short = "<div><h1>T</h1><p>Only paragraph</p></div>"
+    long = "<body><div><h1>Title</h1><p>One lone paragraph.</p><ul><li>x<li>y</ul></div></body>"
+    own = "<body><div><section><p>Welcome here</p><p>Own {0} text of some length.</p></section></div></body>"
+    rows = [(i, f"http://s.example/{i}", short) for i in range(7)]
+    rows += [(10 + i, f"http://l.example/{i}", long) for i in range(7)]
+    rows += [(20 + i, f"http://l.example/own{i}", own.format(i)) for i in range(6)]
+    rows += [(30, "http://l.example/bare", own.split("<p>Own")[0] + "</section></div></body>")]
+    got = {r.page_id: r.text for r in wrappers.extract_main_text(pages(spark, rows)).collect()}
+    assert {got[i] for i in range(7)} == {"T Only paragraph"}
+    assert {got[10 + i] for i in range(7)} == {"Title One lone paragraph. x y"}
+    assert [got[20 + i] for i in range(6)] == [f"Own {i} text of some length." for i in range(6)]
+    assert got[30] == "Welcome here"  # nothing else is on that page
+
+
+def test_only_what_all_pages_have_at_one_place_is_constant():
+    page = "<div><p>{}</p><p>{}</p><p>{}</p></div>"
+    trees = [
+        wrappers.parse(page.format("Hello", f"own {i}", "yes") if i % 2 else page.format("Hello", "yes", f"own {i}"))
+        for i in range(8)
+    ]
+    wrapper = wrappers.wrap(trees[0])
+    for tree in trees[1:]:
+        wrapper = wrappers.merge(wrapper, wrappers.wrap(tree))
+    rule = wrappers.rule_of(wrapper)
+    assert [wrappers.main_text(tree, rule) for tree in trees[:2]] == ["yes own 0", "own 1 yes"]
