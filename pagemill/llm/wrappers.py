@@ -110,7 +110,16 @@ def _label(tag: str, attributes: str) -> tuple[str, frozenset]:
 def parse(html: str) -> Block:
     """The block tree of a page; scripts, styles and comments are left out as they are read."""
     root = Block("", "", frozenset())
-    stack, text, links, in_link, at, end = [root], [], 0, 0, 0, len(html)
+    stack, text, links, in_link, at, end, deepest = [root], [], 0, 0, 0, len(html), 0
+    places: dict[str, list[int]] = {}  # where in the stack the blocks of a tag are
+
+    def innermost(tags):
+        return max((places[tag][-1] for tag in tags if places.get(tag)), default=0)
+
+    def close(depth):
+        for block in stack[depth:]:
+            places[block.tag].pop()
+        del stack[depth:]
 
     def flush():
         nonlocal links
@@ -140,11 +149,9 @@ def parse(html: str) -> Block:
             continue
         flush()
         if closing:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == tag:
-                    del stack[depth:]
-                    in_link = 0
-                    break
+            if (depth := innermost((tag,))) > 0:
+                close(depth)
+                in_link = 0
             continue
         if tag in RAW:
             stop = re.compile(rf"</{tag}\b[^>]*>?", re.IGNORECASE).search(html, at)
@@ -153,25 +160,39 @@ def parse(html: str) -> Block:
         if tag in VOID:
             continue
         if tag in CLOSES_P and stack[-1].tag == "p":
-            stack.pop()
+            close(len(stack) - 1)
         if tag in CLOSES:
             closes, stops = CLOSES[tag]
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag in stops:
-                    break
-                if stack[depth].tag in closes:
-                    del stack[depth:]
-                    break
-        if len(stack) > MAX_DEPTH:
-            continue
+            if (depth := innermost(closes)) > innermost(stops):
+                close(depth)
         block = Block(tag, *_label(tag, found[3] or found[6] or ""))
         stack[-1].children.append(block)
+        places.setdefault(tag, []).append(len(stack))
         stack.append(block)
+        deepest = max(deepest, len(stack))
     flush()
     _spread(root)
+    if deepest > MAX_DEPTH + 1:
+        _flatten(root)
     return root
 
 
+def _flatten(root: Block) -> None:
+    """Give what blocks below ``MAX_DEPTH`` hold to the block around them; furniture stays a block."""
+    level = [root]
+    for _ in range(MAX_DEPTH):
+        level = [child for block in level for child in block.children if isinstance(child, Block)]
+    for block in level:
+        children, waiting = [], block.children[::-1]
+        while waiting:
+            child = waiting.pop()
+            if isinstance(child, Block) and not is_furniture(child):
+                waiting += child.children[::-1]
+            else:
+                children.append(child)
+        block.children = children
+
+
 def _spread(root: Block) -> None:
     """Tell every block what it holds: a main element, a heading, characters, and those in links."""
     order, stack = [], [root]

@@ -284,3 +284,20 @@ def test_only_what_all_pages_have_at_one_place_is_constant():
         wrapper = wrappers.merge(wrapper, wrappers.wrap(tree))
     rule = wrappers.rule_of(wrapper)
     assert [wrappers.main_text(tree, rule) for tree in trees[:2]] == ["yes own 0", "own 1 yes"]
+
+
+def test_deep_nests_close_only_themselves(spark):
+    deep = "<div>" * 160 + "{}" + "</div>" * 160
+    page = "<body><div id=page><article><p>first</p>" + deep + "<p>rest</p></article><p>after</p></div></body>"
+    rows = [
+        (1, "http://d.example/1", page.format("quoted")),
+        (2, "http://d.example/2", page.format("a<nav>menu</nav><form>mail</form><aside>x</aside><div class=ad>y</div>b")),
+        (3, "http://d.example/3", page.format("<ul><li>x<li>y</ul></section></p>" + "<table>" * 50)),
+        (4, "http://d.example/4", page.format("<div>" * 3_000 + "low" + "</div>" * 3_000)),
+        (5, "http://d.example/5", "<article>one" + "<blockquote>" * 400 + "two</article><aside>no</aside>"),
+        (6, "http://d.example/6", "<article>" + "<div>" * 20_000 + "<li></li></p></ul>" * 20_000 + "end</article>"),
+    ]
+    got = {r.page_id: r.text for r in wrappers.extract_main_text(pages(spark, rows)).collect()}
+    assert got == {
+        1: "first quoted rest", 2: "first a b rest", 3: "first x y rest", 4: "first low rest", 5: "one two", 6: "end",
+    }
