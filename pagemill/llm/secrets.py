@@ -44,11 +44,28 @@ PLACEHOLDERS = re.compile(r"(?i)example|changeme|placeholder|dummy|sample|your|x
 
 _NAME = r"[A-Za-z_][A-Za-z0-9_]*+(?:[.\-][A-Za-z_][A-Za-z0-9_]*+)*+"
 _START = r"(?<![A-Za-z0-9_])(?<![A-Za-z0-9_][.\-])"  # not within a name
-_PAIR = re.compile(rf"{_START}({_NAME})[\"']?\]?[ \t]*(?::=|=>|=(?!=)|:(?![:/]))[ \t]*")
+# A declared type: names with paths, up to three levels of arguments, references and unions.
+_ARGUMENTS = r"[<\[][^<>\[\]=;\n]*+[>\]]"
+for _ in range(2):
+    _ARGUMENTS = rf"[<\[](?:[^<>\[\]=;\n]++|{_ARGUMENTS})*+[>\]]"
+_ATOM = (
+    r"[&*]*+(?:'[A-Za-z_]++[ \t]++)?(?:(?:mut|dyn|const|readonly|unique)[ \t]++)?"
+    rf"[A-Za-z_][A-Za-z0-9_]*+(?:(?:\.|::)[A-Za-z_][A-Za-z0-9_]*+)*+(?:{_ARGUMENTS})*+[?!]?"
+)
+_TYPE = rf"{_ATOM}(?:[ \t]*+[|&][ \t]*+{_ATOM})*+"
+_PAIR = re.compile(
+    rf"{_START}({_NAME})(?:[\"']?\]?[?!]?[ \t]*+:[ \t]*+({_TYPE})[ \t]*+=(?![=>])"
+    r"|[\"']?\]?[ \t]*(?::=|=>|=(?!=)|:(?![:/])))[ \t]*"
+)
 _STRING = re.compile(r"[bruf]{0,2}(?:\"((?:[^\"\\\n]|\\.)*+)\"|'((?:[^'\\\n]|\\.)*+)'|`([^`\n]*+)`)")
 _REFERENCE = re.compile(rf"\$?\{{?({_NAME})\}}?(?![A-Za-z0-9_(\"'])")
 _BARE = re.compile(r"[A-Za-z0-9+/_.=@!#%^&*~-]+")
 _JOIN = re.compile(r"[ \t]*(?:\+|\.\.)[ \t]*")
+#: Types that hold text; another plain name before the equals sign may be the name assigned to.
+TEXT_TYPES = frozenset(
+    "str string String bytes bytearray ByteArray ByteString AnyStr Text LiteralString object Object any Any unknown "
+    "CharSequence NSString Substring Data Final ClassVar auto char Character SecretStr SecretBytes".split()
+)
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 Span = tuple[int, int, str]
 
@@ -88,7 +105,8 @@ def assignments(text: str) -> Iterator[tuple[str, list[Span], list[Span]]]:
     """(name, literals, names used) of every name-value pair, in text order.
 
     A value is a sum of string literals and names, or one bare word of configuration syntax.
-    Literals are (start, end, value) without their quotes, names (start, end, name).
+    Literals are (start, end, value) without their quotes, names (start, end, name).  A declaration
+    ``name: type = value`` is one pair; in ``word: name = value`` the value goes to both.
     """
     for pair in _PAIR.finditer(text):
         at, literals, used = pair.end(), [], []
@@ -110,6 +128,8 @@ def assignments(text: str) -> Iterator[tuple[str, list[Span], list[Span]]]:
                 break
             at = joined.end()
         if literals or used:
+            if pair[2] and re.fullmatch(_NAME, pair[2]) and pair[2] not in TEXT_TYPES:
+                yield pair[2], literals, used
             yield pair[1], literals, used
 
 
@@ -122,10 +142,15 @@ def _whole(text: str, at: int, name: re.Match) -> bool:
 class _Held:
     """What a name holds: its own literals, and what the names in its value held then."""
 
-    __slots__ = ("literals", "others", "score")
+    __slots__ = ("literals", "others", "score", "joined")
+
+    def __init__(self, literals: list[Span], others: list[_Held], joined: str):
+        self.literals, self.others, self.score, self.joined = literals, others, 0, joined
+
 
-    def __init__(self, literals: list[Span], others: list[_Held]):
-        self.literals, self.others, self.score = literals, others, 0
+def _is_secret(score: int, value: str) -> bool:
+    strength = literal_score(value)
+    return bool(strength) and score + strength >= MIN_SCORE
 
 
 def lexed_spans(text: str) -> list[Span]:
@@ -136,10 +161,11 @@ def lexed_spans(text: str) -> list[Span]:
     held: dict[str, _Held] = {}
     found: set[Span] = set()
     for name, literals, used in assignments(text):
+        joined = "".join(literal[2] for literal in literals) if len(literals) > 1 else ""
         # A name that holds nothing so far may be a bare literal of configuration syntax.
         literals = literals or [word for word in used if word[2] not in held]
         others = [held[word[2]] for word in used if word[2] in held]
-        held[name] = holder = _Held(literals, others)
+        held[name] = holder = _Held(literals, others, joined)
         score = name_score(name)
         if score < 2:
             continue
@@ -150,10 +176,11 @@ def lexed_spans(text: str) -> list[Span]:
                 continue
             holder.score = score
             waiting += holder.others
-            for start, end, value in holder.literals:
-                strength = literal_score(value)
-                if strength and score + strength >= MIN_SCORE:
-                    found.add((start, end, "literal"))
+            secret = [literal for literal in holder.literals if _is_secret(score, literal[2])]
+            # Fragments that are none by themselves may be one secret together.
+            if not secret and _is_secret(score, holder.joined):
+                secret = [literal for literal in holder.literals if literal[2]]
+            found.update((start, end, "literal") for start, end, _ in secret)
     return list(found)
 
 

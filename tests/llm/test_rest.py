@@ -188,6 +188,40 @@ def test_lexer_follows_names():
     assert literals("x = x + x\n" * 200 + 'pwd = x\nx = "9fG2kLmQ7zX1"') == set()
 
 
+@pytest.mark.parametrize(
+    "harmless, secret",
+    [
+        ('region: str = "Prod-West-Server-0193"', 'client_secret: str = "9fG2kLmQ7zX1aa"'),
+        ('region: Optional[str] = "Prod-West-Server-0193"', 'auth_pass: str | None = "9fG2kLmQ7zX1aa"'),
+        ('let region: string = "Prod-West-Server-0193";', 'private authToken?: string | undefined = "9fG2kLmQ7zX1aa";'),
+        ('val region: String = "Prod-West-Server-0193"', 'val authToken: String? = "9fG2kLmQ7zX1aa"'),
+        ("const REGION: &str = \"Prod-West-Server-0193\";", "const CLIENT_SECRET: &'static str = \"9fG2kLmQ7zX1aa\";"),
+        ('let m: Map<String, List<String>> = "Prod-West-Server-0193"', 'let clientCredentials: Option<Box<str>> = "9fG2kLmQ7zX1aa"'),
+        ('region: str = "Prod-West-Server-0193"\nclient_secret: str', 'INFO: clientCredentials = "9fG2kLmQ7zX1aa"'),
+        ('log: k = "9fG2kLmQ7zX1aa"', "clientSecret = k"),
+    ],
+)
+def test_lexer_reads_declared_types(harmless, secret):
+    assert literals(f"{harmless}\n{secret}\n") == {"9fG2kLmQ7zX1aa"}
+    assert literals('region: str = "Prod-West-Server-0193"\ndef f(client_secret: str, n: int): ...') == set()
+
+
+def test_lexer_joins_fragments():
+    assert literals('clientCredentials = "9fG2kL" + "mQ7zX1" + "aB"') == {"9fG2kL", "mQ7zX1", "aB"}
+    assert literals('clientCredentials: str = "9fG2kL" + "mQ7zX1"') == {"9fG2kL", "mQ7zX1"}
+    assert literals('title = "9fG2kL" + "mQ7zX1"') == set()
+    assert literals("clientCredentials = dbUserX + suffix4") == set()
+
+
+def test_lexer_is_linear_in_odd_types():
+    import time
+
+    for text in ("a:b[" * 30_000, "a:b|" * 30_000, "a: " + "b|" * 60_000, "a:b<" + "a:b,c:d " * 15_000, "a:b::" * 20_000):
+        started = time.time()
+        secrets.all_spans(text)
+        assert time.time() - started < 5
+
+
 def test_lexer_leaves_clean_text():
     for text in (
         "He said: the password was long, the token: a coin.", 'name = "Alexander Hamilton"', 'pwd = "changeme-please1"',
