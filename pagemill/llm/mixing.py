@@ -2,9 +2,11 @@
 
 Each source serves its documents in a shuffled order, round after round.  A copy of a
 document finishes at virtual time ``words of its source so far / target of its source``, so
-every source has served its target at time 1.  The copies are sorted by that time over all
-sources and cut where the total budget is spent, which is time 1; the copy in service then is
-taken in part.
+every source has served its target at time 1.  The targets add up to the total budget, so a sort
+of the copies by that time over all sources, cut where the budget is spent, is cut at time 1 in
+every source.  The cut is therefore made per source, at its rounded target, without that sort; the
+copy in service then is taken in part.  Only the rows returned are sorted over all sources, by the
+finish time of their first copy.
 """
 
 from __future__ import annotations
