@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pagemill.llm import (
-    exact, huffman, jaccard, mixing, packing, quality, secrets, sharding, token_counts, wrappers,
+    exact, fpsearch, huffman, jaccard, mixing, packing, quality, runs, secrets, sharding, token_counts, toxicity,
+    wrappers,
 )
 from pagemill.llm.common import documents, pages
 
@@ -57,16 +58,31 @@ def op10_heap_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir))
 
 
+def op11_nearest_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+def op12_pattern_matching_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_digests(documents(spark, sf_dir))
+
+
+def op13_fp_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fpsearch.rank_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         op1_html_wrappers, op2_fair_queueing_mix, op3_parity_sketch_join, op4_line_frequency_rules,
         op5_swap_packing, op6_huffman_token_files, op7_differencing_shards, op8_heavy_hitter_dedup,
-        op9_assignment_secrets, op10_heap_token_counts,
+        op9_assignment_secrets, op10_heap_token_counts, op11_nearest_toxicity, op12_pattern_matching_runs,
+        op13_fp_tree_search,
     )
 }
 
 _WORD = r"[^\x20\x09-\x0D]+"
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 ORACLES: dict[str, str] = {
     # The pages of these tables hold their main text in one article; the references in it are five.
@@ -185,4 +201,30 @@ from measured""",
 select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
        doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
 from documents window same as (partition by coalesce(text, ''))""",
+    "op13_fp_tree_search": rf"""
+with docs as (
+  select row_number() over () as id, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                      'abcdefghijklmnopqrstuvwxyz'), '{_TERM}') as terms
+  from documents),
+sizes as (select id, doc_id, len(terms)::bigint as n from docs where len(terms) > 0),
+overall as (select count(*)::bigint as texts, sum(n)::bigint as total from sizes),
+counts as (
+  select id, term, count(*)::bigint as tf from (select id, unnest(terms) as term from docs) group by id, term),
+weights as (
+  select term, floor(1000 * ln((2 * texts + 2)::double / (2 * df + 1)::double))::bigint as w
+  from (select term, count(*)::bigint as df from counts group by term), overall),
+asked as (
+  select distinct item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                     'abcdefghijklmnopqrstuvwxyz'), '{_TERM}')) as term
+  from benchmark),
+measured as (select id, doc_id, 10 + (90 * n * texts) // total as m from sizes, overall),
+scored as (
+  select a.item_id, d.doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::bigint as score
+  from asked a join weights using (term) join counts c using (term) join measured d using (id)
+  group by a.item_id, d.id, d.doc_id),
+ranked as (
+  select *, row_number() over (partition by item_id order by score desc, doc_id nulls last) as place
+  from scored where score > 0)
+select item_id, place::int as rank, doc_id, score from ranked where place <= 10""",
 }
