@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import codecs
-from collections.abc import Collection
+from collections.abc import Collection, Iterator
+from contextlib import contextmanager
 
-import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from pagemill.functions.binding import over
 
@@ -37,7 +35,7 @@ WHITESPACE_CHARS = "".join(
 
 # What the default filter accepts as text.
 _TEXT_MARKS = ("text/", "html", "xml", "json")
-# Names of the charsets the JVM decodes here without a worker.
+# Names of the two charsets that nearly all pages have.
 _UTF8_NAMES = ("utf-8", "utf8", "utf_8", "u8")
 _LATIN1_NAMES = ("iso-8859-1", "iso8859-1", "iso_8859-1", "latin-1", "latin1", "l1", "8859")
 
@@ -93,36 +91,65 @@ def charset(kind: Column) -> Column:
     return F.when(named == "", F.lit("utf-8")).otherwise(named)
 
 
-@F.pandas_udf(StringType())
-def _decode_other(body: pd.Series, name: pd.Series) -> pd.Series:
-    def decode(raw, label):
-        if raw is None:
-            return None
-        try:
-            codecs.lookup(label)
-            return bytes(raw).decode(label, errors="replace")
-        except (LookupError, UnicodeError):
-            return bytes(raw).decode("utf-8", errors="replace")
+def _java_names() -> dict[str, str]:
+    """Java's charset by label, where labels are in lower case without ``-``, ``_`` and spaces."""
+    names = {f"iso8859{n}": f"ISO-8859-{n}" for n in (*range(2, 10), 13, 15, 16)}
+    names |= {f"latin{n}": f"ISO-8859-{part}" for n, part in ((2, 2), (3, 3), (4, 4), (5, 9), (9, 15))}
+    for n in range(1250, 1259):
+        names |= {f"windows{n}": f"windows-{n}", f"cp{n}": f"windows-{n}"}
+    for n in (437, 850, 852, 855, 857, 866):
+        names |= {f"ibm{n}": f"IBM{n}", f"cp{n}": f"IBM{n}"}
+    for name in ("EUC-JP", "EUC-KR", "GB2312", "GBK", "GB18030", "Big5", "Big5-HKSCS", "ISO-2022-JP", "ISO-2022-KR",
+                 "Shift_JIS", "KOI8-R", "KOI8-U", "TIS-620", "US-ASCII", "UTF-16BE", "UTF-16LE", "UTF-32BE",
+                 "UTF-32LE"):
+        names[name.lower().replace("-", "").replace("_", "")] = name
+    return names | {
+        "ascii": "US-ASCII", "sjis": "Shift_JIS", "xsjis": "Shift_JIS", "cp932": "windows-31j", "cp936": "GBK",
+        "cp949": "x-windows-949", "macintosh": "x-MacRoman", "xmacroman": "x-MacRoman", "macroman": "x-MacRoman",
+    }
 
-    return pd.Series([decode(raw, label) for raw, label in zip(body, name)])
 
+_JAVA_NAMES = _java_names()
 
-def decode_body(body: Column, kind: Column, rare_charsets: bool = True) -> Column:
-    """The body as text; bytes that do not decode become U+FFFD.
 
-    UTF-8 and Latin-1 stay on the JVM.  Other charsets go through one Arrow batch
-    function that sees NULL for every other row; unknown names count as UTF-8.
-    ``rare_charsets=False`` leaves that function out for data known to need none.
+@contextmanager
+def any_charset(spark: SparkSession) -> Iterator[None]:
+    """While a plan is built, ``decode`` takes any of Java's charsets and replaces bad bytes.
+
+    Spark fixes both in the expression when it analyses it, so the session keeps its settings.
+    """
+    names = ("spark.sql.legacy.javaCharsets", "spark.sql.legacy.codingErrorAction")
+    before = {name: spark.conf.get(name, None) for name in names}
+    try:
+        for name in names:
+            spark.conf.set(name, "true")
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def decode_body(body: Column, kind: Column) -> Column:
+    """The body as text; bytes that do not decode become U+FFFD, unknown charsets are UTF-8.
+
+    For a plan built under :func:`any_charset`.  All of it runs on the JVM.  UTF-16 and UTF-32
+    without a byte order mark are little-endian.
     """
-    name = F.lower(charset(kind))
+    label = F.lower(charset(kind))
+    plain = F.regexp_replace(label, "[-_ ]", "")
+    table = F.create_map(*(F.lit(part) for pair in _JAVA_NAMES.items() for part in pair))
+    marked = F.hex(F.substring(body, 1, 4))
+    wide = F.when(
+        plain == "utf16", F.when(marked.rlike("^(FEFF|FFFE)"), F.lit("UTF-16")).otherwise("UTF-16LE")
+    ).when(plain == "utf32", F.when(marked.rlike("^(0000FEFF|FFFE0000)$"), F.lit("UTF-32")).otherwise("UTF-32LE"))
+    java = F.coalesce(wide, F.try_element_at(table, plain))
     utf8 = F.make_valid_utf8(body.cast("string"))
-    text = F.when(name.isin(*_UTF8_NAMES), utf8).when(
-        name.isin(*_LATIN1_NAMES), F.decode(body, "ISO-8859-1")
+    return (
+        F.when(label.isin(*_UTF8_NAMES), utf8)
+        .when(label.isin(*_LATIN1_NAMES), F.decode(body, "ISO-8859-1"))
+        .when(java.isNotNull(), F.call_function("decode", body, java))
+        .otherwise(utf8)
     )
-    if not rare_charsets:
-        return text.otherwise(utf8)
-    rare = ~name.isin(*_UTF8_NAMES, *_LATIN1_NAMES)
-    return text.otherwise(_decode_other(F.when(rare, body), F.when(rare, name)))
 
 
 def strip_scripts(text: Column) -> Column:

@@ -14,6 +14,9 @@ from pagemill.schemas import FRONTIER_SCHEMA
 
 # The states of a URL from least to most settled; others rank below them.
 STATUSES = ("pending", "failed", "skipped", "done")
+# The message and type that mark a seed nothing answered.
+UNANSWERED = "request finished without response callback"
+UNANSWERED_TYPE = "crawler_no_callback"
 
 
 def status_rank(status: Column) -> Column:
@@ -121,9 +124,8 @@ def unresolved_seeds(seeds: DataFrame, events: DataFrame) -> DataFrame:
     return seeds.select("url").distinct().join(events.select("url"), "url", "left_anti").select(
         "url",
         F.lit("failed").alias("status"),
-        # The message and type that mark such a seed.
-        F.lit("request finished without response callback").alias("error"),
-        F.lit("crawler_no_callback").alias("failure_type"),
+        F.lit(UNANSWERED).alias("error"),
+        F.lit(UNANSWERED_TYPE).alias("failure_type"),
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.functions.binding import bind, literal, over
@@ -45,11 +45,10 @@ IGNORED_EXTENSIONS = (
 _LEVELS_PER_CUT = 16
 
 
-def link_edges(
-    pages: DataFrame, ignored_extensions: Sequence[str] = IGNORED_EXTENSIONS
-) -> DataFrame:
-    """``seq, source_url, link_url, target_url, link_domain`` of the links of pages with
-    ``content``.
+def page_links(
+    url: Column, content: Column, ignored_extensions: Sequence[str] = IGNORED_EXTENSIONS
+) -> Column:
+    """The links of a page as an array of ``link_url, target_url, link_domain, path``.
 
     ``link_url`` is absolute and percent-encoded, ``target_url`` its canonical form; a page
     names each link once.  Only URLs with an authority are links.  Links are built and
@@ -73,9 +72,34 @@ def link_edges(
         base,
         f"filter(transform(array_distinct(f.links.links), href -> {link}), {kept})",
     )
-    found = F.struct("url", link_references(F.col("content")).alias("links"))
+    found = F.struct(url.alias("url"), link_references(content).alias("links"))
+    return over(found, "f", edges)
+
+
+def scoped_links(
+    links: Column, url: Column, url_filter: str | Sequence[str] | None = None, domain: str | None = None
+) -> Column:
+    """Of :func:`page_links` the targets on the given host, by default that of the page's ``url``."""
+    patterns = [url_filter] if isinstance(url_filter, str) else list(url_filter or ())
+    found = " OR ".join(f"edge.link_url RLIKE {literal(pattern)}" for pattern in patterns) or "true"
+    home = url_domain(F.lit(domain) if domain is not None else url)
+    return over(
+        F.struct(links.alias("links"), home.alias("home")),
+        "f",
+        f"""transform(filter(f.links, edge -> edge.link_domain = f.home AND ({found})),
+            edge -> edge.target_url)""",
+    )
+
+
+def link_edges(
+    pages: DataFrame, ignored_extensions: Sequence[str] = IGNORED_EXTENSIONS
+) -> DataFrame:
+    """``seq, source_url, link_url, target_url, link_domain`` of the links of pages with
+    ``content``, as :func:`page_links` finds them.
+    """
+    links = page_links(F.col("url"), F.col("content"), ignored_extensions)
     return pages.select(
-        "seq", F.col("url").alias("source_url"), F.explode(over(found, "f", edges)).alias("edge")
+        "seq", F.col("url").alias("source_url"), F.explode(links).alias("edge")
     ).select("seq", "source_url", "edge.link_url", "edge.target_url", "edge.link_domain")
 
 

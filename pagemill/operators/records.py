@@ -40,33 +40,26 @@ def page_records(documents: DataFrame, options: ImportOptions | None = None) ->
     text always comes from the stripped content.
     """
     options = options or ImportOptions()
-    pages = documents
-    if "content" not in documents.columns:
-        pages = with_content(documents, options.rare_charsets)
+    pages = documents if "content" in documents.columns else with_content(documents)
+    return with_stripped(pages, options).select("seq", "url", *record_columns(options))
+
+
+def with_stripped(pages: DataFrame, options: ImportOptions) -> DataFrame:
+    """Pages with ``content`` and ``_stripped``, what the strip steps leave of it."""
+    stripped = strip_html(F.col("content"), F.col("content_type"), options.kinds)
+    return pages.withColumn("_stripped", stripped)
+
+
+def record_columns(options: ImportOptions) -> list[Column]:
+    """``date, content_type, text, images`` over the columns of :func:`with_stripped`."""
     kind = F.col("content_type")
-    stripped = strip_html(F.col("content"), kind, options.kinds)
-    pages = pages.withColumn("_stripped", stripped)
     source = F.col("_stripped" if options.order == "before-links" else "content")
-    return pages.select(
-        "seq",
-        "url",
+    return [
         iso_utc(F.col("fetched_at")).alias("date"),
-        "content_type",
+        kind,
         formatted_text(F.col("_stripped"), kind, options.content_format).alias("text"),
         page_images(source, kind).alias("images"),
-    )
-
-
-def extract_records(documents: DataFrame, options: ImportOptions) -> DataFrame:
-    """Rows of the default or the caller's extractor; each keeps the ``seq`` of its response."""
-    if options.extract is None:
-        return page_records(documents, options)
-    rows = options.extract(documents)
-    if options.primary_key not in rows.columns:
-        raise ValueError(f"extract must return primary key column {options.primary_key!r}")
-    if "seq" not in rows.columns:
-        raise ValueError("extract must keep column 'seq'")
-    return rows
+    ]
 
 
 def pandas_extractor(

@@ -82,8 +82,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def contents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with decoded ``content``; the derived charsets are UTF-8 only."""
-    return with_content(documents(spark, sf_dir), rare_charsets=False)
+    """Documents with decoded ``content``."""
+    return with_content(documents(spark, sf_dir))
 
 
 def frontier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,10 +8,10 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from py4j.java_gateway import is_instance_of
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.functions.content import is_textual
+from pagemill.functions.content import any_charset, is_textual
 from pagemill.functions.urls import canonical_url, seed_url, sitemap_seeds, url_matches
 from pagemill.operators import frontier as fr
 from pagemill.operators.filters import (
@@ -23,20 +23,19 @@ from pagemill.operators.filters import (
     response_predicate,
 )
 from pagemill.operators.keyed import keep_last
-from pagemill.operators.links import link_edges, links_in_scope, new_links
+from pagemill.operators.links import new_links, page_links, scoped_links
 from pagemill.operators.metrics import import_summary
-from pagemill.operators.records import extract_records, iso_utc
+from pagemill.operators.records import iso_utc, record_columns, with_stripped
 from pagemill.operators.schema import conform, merge_schema
-from pagemill.operators.search import text_postings, write_postings
+from pagemill.operators.search import TermIndex
 from pagemill.operators.sitemaps import (
     parsed_sitemaps,
-    reachable_sitemaps,
     robots_sitemaps,
     sitemap_children,
     sitemap_urls,
 )
 from pagemill.schemas import FRONTIER_SCHEMA, PAGE_SCHEMA, ImportOptions
-from pagemill.session import cut_lineage
+from pagemill.session import cut_lineage, new_workspace, remove_folder
 from pagemill.sources.responses import response_documents, with_content
 from pagemill.sources.tables import KeyedTable
 
@@ -60,33 +59,38 @@ class ImportResult:
 
 @dataclass(frozen=True)
 class ImportProgress:
-    """What the progress callback receives after each stage."""
+    """What the progress callback receives after each stage: the counts of the run so far.
+
+    ``pending_records`` are pages read and not yet stored, ``rows`` what the stage itself
+    counted; the counters come from ``Observation`` of the writes, so none costs a scan.
+    """
 
     stage: str
     result: ImportResult | None = None
+    matched_records: int = 0
+    imported_records: int = 0
+    skipped_records: int = 0
+    pages_read: int = 0
+    pending_records: int = 0
+    rows: int = 0
 
 
-def response_outcomes(
-    documents: DataFrame, options: ImportOptions, extracted: DataFrame | None = None
-) -> DataFrame:
-    """One row per response: what became of it and, for failures, why.
+ProgressCallback = Callable[[ImportProgress], None]
 
-    ``outcome`` is done, skipped, failed, or NULL for a page outside the URL filter.  It is
-    decided within the row from narrow columns, unless the response filter asks for more;
-    only a caller's extractor adds a join with the rows it gave.
-    """
+
+def _judged(options: ImportOptions) -> tuple[Column, list[Column]]:
+    """The outcome of a response document, and what went wrong with a failure."""
     outcome = (
         F.when(has_failed(), "failed")
         .when(~url_matches(F.col("url"), options.url_filter), None)
         .when(response_predicate(options.response_filter), "done")
         .otherwise("skipped")
     )
-    details = [value.alias(name) for name, value in failure_details().items()]
-    judged = documents.select(
-        "seq", "request_url", "url", "redirect_urls", "fetched_at", outcome.alias("outcome"), *details
-    )
-    if extracted is None:
-        return judged
+    return outcome, [value.alias(name) for name, value in failure_details().items()]
+
+
+def _dropped_without_row(judged: DataFrame, extracted: DataFrame) -> DataFrame:
+    """Outcomes where a page that gave no row counts as skipped."""
     kept = extracted.select("seq").distinct().withColumn("_kept", F.lit(True))
     dropped = (F.col("outcome") == "done") & F.col("_kept").isNull()
     return (
@@ -96,89 +100,219 @@ def response_outcomes(
     )
 
 
+def response_outcomes(
+    documents: DataFrame, options: ImportOptions, extracted: DataFrame | None = None
+) -> DataFrame:
+    """One row per response: what became of it and, for failures, why.
+
+    ``outcome`` is done, skipped, failed, or NULL for a page outside the URL filter.  It is
+    decided within the row from narrow columns, unless the response filter asks for more;
+    only a caller's extractor adds a join with the rows it gave.
+    """
+    outcome, details = _judged(options)
+    judged = documents.select(
+        "seq", "request_url", "url", "redirect_urls", "fetched_at", outcome.alias("outcome"), *details
+    )
+    return judged if extracted is None else _dropped_without_row(judged, extracted)
+
+
 def _empty_frontier(spark: SparkSession) -> DataFrame:
     """No rows, in a form the optimizer recognizes, so that joins with it vanish."""
     nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in FRONTIER_SCHEMA.fields]
     return spark.range(1).where(F.lit(False)).select(*nothing)
 
 
+@dataclass(frozen=True)
+class StoredFrontier:
+    """The URL states at rest, as of the batches before ``before``."""
+
+    table: KeyedTable
+    before: int | None = None
+
+    def rows_of(self, urls: DataFrame) -> DataFrame | None:
+        """The states of all spellings of these canonical URLs; only their buckets are read."""
+        rows = self.table.slice(urls, self.before)
+        return None if rows is None else rows.select(*FRONTIER_SCHEMA.names)
+
+
 class ImportPlan:
-    """The DataFrames of one run, each built when first asked for and computed when used."""
+    """The DataFrames of one run, each built when first asked for and computed when used.
+
+    All of them derive from ``read``, one row per response with what the run needs of it, so
+    after :meth:`settle` has stored that, no response is read again.
+    """
 
     def __init__(
         self,
         responses: DataFrame,
         options: ImportOptions,
-        frontier: DataFrame | None,
+        frontier: DataFrame | StoredFrontier | None,
         seeds: DataFrame | None,
         at: Column | str | None,
         starts: DataFrame | None = None,
+        follow: bool = True,
     ) -> None:
         documents, listed = response_documents(responses), None
         if options.include_sitemap and seeds is not None:
             documents, listed = _split_sitemaps(documents, seeds, options)
         if options.limit is not None:
             documents = _within_limit(documents, options)
-        self.options, self.seeds, self._starts = options, seeds, starts
+        self.options, self.seeds, self._starts, self._follow = options, seeds, starts, follow
         self._documents, self._listed, self._at = documents, listed, at
-        self._stored = frontier is not None
-        self._frontier = frontier if self._stored else _empty_frontier(responses.sparkSession)
-        # The key is known before extraction, so only the winners need to be extracted.
-        self._key_first = options.extract is None and options.primary_key == "url"
-        if not self._key_first:
-            self._extracted  # noqa: B018 - a bad extractor fails now
+        self._frontier, self._spark = frontier, responses.sparkSession
+        self._folders: list[str] = []
+        if options.extract is not None:
+            self._extracting = self._extraction()
+
+    def _at_rest(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written to the shared folder and read back."""
+        folder = new_workspace(self._spark, name)
+        self._folders.append(folder)
+        df.write.option("compression", "zstd").parquet(folder)
+        return self._spark.read.schema(df.schema).parquet(folder)
+
+    def settle(self) -> dict[str, int]:
+        """Read every response once and store what the run needs; the counts of what was read."""
+        counted = Observation()
+        kind = F.col("outcome")
+        observed = self.read.observe(
+            counted,
+            F.count_if(kind.isin("done", "skipped")).alias("pages_read"),
+            F.count_if(kind == "skipped").alias("filtered"),
+            F.count_if(kind == "failed").alias("failed"),
+        )
+        self.read = self._at_rest(observed, "read")
+        return counted.get
+
+    def release(self) -> None:
+        """Delete what :meth:`settle` and an extractor stored."""
+        for folder in self._folders:
+            remove_folder(self._spark, folder)
+        self._folders.clear()
 
     @cached_property
-    def _accepted(self) -> DataFrame:
-        pages = matching_pages(self._documents, self.options.url_filter)
-        return accepted_pages(pages, self.options.response_filter)
+    def read(self) -> DataFrame:
+        """One row per response: its outcome, the page record and the links of its page.
+
+        ``record`` is the default record of pages that are done, ``links`` the targets in scope
+        of every page that was read, also of those the filters leave out.
+        """
+        options = self.options
+        outcome, details = _judged(options)
+        linking = ~has_failed() & is_textual(F.col("content_type"))
+        # Every column of a response may be asked for by the response filter, so it is judged first.
+        judged = self._documents.withColumn("outcome", outcome).withColumn("_linking", linking)
+        recorded = F.col("outcome") == "done" if options.extract is None else F.lit(False)
+        pages = with_content(judged, F.col("_linking") | recorded)
+        record = F.struct(*record_columns(options))
+        links = page_links(F.col("url"), F.col("content"))
+        scoped = scoped_links(links, F.col("url"), options.url_filter, options.domain)
+        columns = ["seq", "request_url", "url", "redirect_urls", "fetched_at", "outcome", *details]
+        if options.extract is None:
+            columns.append(F.when(F.col("outcome") == "done", record).alias("record"))
+        if self._follow:
+            columns.append(F.when(F.col("_linking"), scoped).alias("links"))
+        return with_stripped(pages, options).select(*columns)
+
+    def _extraction(self) -> DataFrame:
+        """The rows of the caller's extractor, still to be computed."""
+        accepted = matching_pages(self._documents, self.options.url_filter)
+        accepted = accepted_pages(accepted, self.options.response_filter)
+        with any_charset(self._spark):
+            rows = self.options.extract(accepted)
+        for name in (self.options.primary_key, "seq"):
+            if name not in rows.columns:
+                what = "return primary key column" if name != "seq" else "keep column"
+                raise ValueError(f"extract must {what} {name!r}")
+        return rows
 
     @cached_property
     def _extracted(self) -> DataFrame:
-        """The extractor's rows; one without a key cannot be stored, so its response is skipped."""
-        rows = extract_records(self._accepted, self.options)
+        """Rows to choose from, with ``seq``; without a key a row cannot be stored.
+
+        An extractor runs once: its rows are stored with a number each.
+        """
+        if self.options.extract is None:
+            done = self.read.where(F.col("outcome") == "done")
+            rows = done.select("seq", "url", "record.*")
+        else:
+            # Parquet has no column without a type.
+            typed = [
+                F.col(f.name).cast("string") if f.dataType.typeName() == "void" else F.col(f.name)
+                for f in self._extracting.schema
+            ]
+            rows = self._extracting.select(*typed, F.monotonically_increasing_id().alias("_row"))
+            rows = self._at_rest(rows, "extracted")
         return rows.where(F.col(self.options.primary_key).isNotNull())
 
     @cached_property
     def records(self) -> DataFrame:
-        """The rows to store, one per key, with the ``seq`` they come from."""
-        if self._key_first:
-            return extract_records(keep_last(self._accepted, "url"), self.options)
-        # One response may give a key twice, so ties of ``seq`` are broken by the row itself.
+        """The rows to store, one per key, with the ``seq`` they come from.
+
+        The last response of a key counts, and of several rows from it one that the rows alone
+        decide.  Winners are found from narrow columns.
+        """
         rows, key = self._extracted, self.options.primary_key
-        plain = [name for name, kind in rows.dtypes if "map<" not in kind]
-        order = F.struct("seq", F.xxhash64(*plain))
-        last = rows.groupBy(F.col(key).alias("_key")).agg(F.max_by(F.struct(*rows.columns), order).alias("_row"))
-        return last.select("_row.*")
+        if self.options.extract is None:
+            return keep_last(rows, key) if key != "seq" else rows
+        content = F.xxhash64(F.to_json(F.struct(*(c for c in rows.columns if c != "_row"))))
+        order = F.struct(F.col("seq"), content, F.col("_row"))
+        winners = rows.groupBy(key).agg(F.max_by("_row", order).alias("_row")).select("_row")
+        return rows.join(winners, "_row", "left_semi").drop("_row")
 
     @cached_property
     def imported(self) -> DataFrame:
         """One row per stored key."""
-        if self._key_first:
-            return self._accepted.select("url").distinct()
         return self._extracted.select(self.options.primary_key).distinct()
 
     @cached_property
     def outcomes(self) -> DataFrame:
-        """One row per response with its ``outcome``."""
-        extracted = None if self._key_first else self._extracted
-        return response_outcomes(self._documents, self.options, extracted)
+        """One row per response with its ``outcome``; without a row from its page it is skipped."""
+        judged = self.read.drop("record", "links")
+        if self.options.extract is None and self.options.primary_key in ("url", "seq"):
+            return judged
+        return _dropped_without_row(judged, self._extracted)
+
+    @cached_property
+    def _edges(self) -> DataFrame:
+        """``seq, source_url, target_url`` of the links in scope, those of sitemaps too."""
+        if not self._follow:
+            return self._spark.createDataFrame([], "seq long, source_url string, target_url string")
+        edges = self.read.select("seq", F.col("url").alias("source_url"), F.explode("links").alias("target_url"))
+        if self._listed is not None:
+            edges = edges.unionByName(self._listed.select(*edges.columns))
+        return edges
+
+    @cached_property
+    def _stored(self) -> bool:
+        """Whether there are URL states at all."""
+        if isinstance(self._frontier, StoredFrontier):
+            return self._frontier.table.schema(self._frontier.before) is not None
+        return self._frontier is not None
+
+    @cached_property
+    def _known(self) -> DataFrame:
+        """The stored states this run may touch: one read of the buckets of its URLs."""
+        if not self._stored:
+            return _empty_frontier(self._spark)
+        if not isinstance(self._frontier, StoredFrontier):
+            return self._frontier
+        touched = fr.page_identities(self.outcomes).select("url")
+        touched = touched.unionByName(self._edges.select(F.col("target_url").alias("url")))
+        for urls in (self.seeds, self._starts):
+            if urls is not None:
+                touched = touched.unionByName(urls.select("url"))
+        return cut_lineage(self._frontier.rows_of(cut_lineage(touched.distinct())))
 
     @cached_property
     def discovered(self) -> DataFrame:
         """Links to URLs that neither the frontier nor the seeds know."""
-        known = fr.frontier_state(self._frontier).select("url")
+        known = fr.frontier_state(self._known).select("url")
         if self.seeds is not None:
             known = known.unionByName(self.seeds.select("url"))
         if self._starts is not None:
             known = known.unionByName(self._starts.select("url"))
-        linking = self._documents.where(~has_failed() & is_textual(F.col("content_type")))
-        content = with_content(linking, self.options.rare_charsets)
-        edges = links_in_scope(link_edges(content), self.options.url_filter, self.options.domain)
-        edges = edges.drop("link_domain")
-        if self._listed is not None:
-            edges = edges.unionByName(self._listed)
-        return new_links(edges, known)
+        return new_links(self._edges, known)
 
     @cached_property
     def unresolved(self) -> DataFrame | None:
@@ -186,16 +320,16 @@ class ImportPlan:
         if self.seeds is None or self.options.limit is not None:
             return None
         answered = fr.page_identities(self.outcomes).select("url").distinct()
-        return fr.unresolved_seeds(self.seeds, fr.expand_aliases(answered, self._frontier))
+        return fr.unresolved_seeds(self.seeds, fr.expand_aliases(answered, self._known))
 
     @cached_property
     def frontier_updates(self) -> DataFrame:
         """One row per URL whose state this run changes."""
         at = self._at
         if at is None:
-            at = self._documents.agg(iso_utc(F.max("fetched_at"))).scalar()
+            at = self.read.agg(iso_utc(F.max("fetched_at"))).scalar()
         events = fr.outcome_events(self.outcomes.where(F.col("outcome").isNotNull()))
-        settled = fr.expand_aliases(events, self._frontier)
+        settled = fr.expand_aliases(events, self._known)
         pending = fr.discovered_rows(self.discovered, at)
         updates = fr.frontier_rows(settled, at).unionByName(
             pending.join(events.select("url"), "url", "left_anti")
@@ -206,7 +340,7 @@ class ImportPlan:
             )
         if self._starts is not None:
             # A start URL that this run neither read nor gave up is still to fetch.
-            waiting = fr.insert_seeds(self._frontier, self._starts, at)
+            waiting = fr.insert_seeds(self._known, self._starts, at)
             settled_urls = events.select("url")
             if self.unresolved is not None:
                 settled_urls = settled_urls.unionByName(self.unresolved.select("url"))
@@ -214,9 +348,15 @@ class ImportPlan:
                 waiting.join(settled_urls, "url", "left_anti"), allowMissingColumns=True
             )
         updates = updates.select(*FRONTIER_SCHEMA.names)
-        if self._stored and not self.options.replace_whole_row:
-            updates = fr.carry_discovery(self._frontier, updates)
-        return updates
+        if not self._stored:
+            return updates
+        if not self.options.replace_whole_row:
+            updates = fr.carry_discovery(self._known, updates)
+        # Spellings that lag behind the state their canonical URL had before.
+        raised = fr.reconcile_aliases(self._known).withColumnRenamed("status", "_status")
+        lagging = self._known.join(raised, "url").join(updates.select("url"), "url", "left_anti")
+        lagging = lagging.withColumns({"status": F.col("_status"), "updated_at": F.lit(at) if isinstance(at, str) else at})
+        return updates.unionByName(lagging.select(*FRONTIER_SCHEMA.names))
 
     def summary(self) -> DataFrame:
         return import_summary(self.outcomes, self.imported, self.discovered, self.unresolved)
@@ -225,19 +365,20 @@ class ImportPlan:
 def plan_import(
     responses: DataFrame,
     options: ImportOptions | None = None,
-    frontier: DataFrame | None = None,
+    frontier: DataFrame | StoredFrontier | None = None,
     seeds: DataFrame | None = None,
     at: Column | str | None = None,
     starts: DataFrame | None = None,
+    follow: bool = True,
 ) -> ImportPlan:
     """Turn responses into page rows, outcomes, new links and frontier updates.
 
-    ``frontier`` is the stored URL state, ``seeds`` (canonical ``url``) are the URLs this
-    run set out to fetch, and ``at`` stamps the frontier rows (the newest fetch time of the
-    run by default).  ``starts`` (canonical ``url``) enter the frontier as pending if the run
-    settles nothing about them.
+    ``frontier`` is the URL state, ``seeds`` (canonical ``url``) are the URLs this run set out to
+    fetch, and ``at`` stamps the frontier rows (the newest fetch time of the run by default).
+    ``starts`` (canonical ``url``) enter the frontier as pending if the run settles nothing about
+    them.  Without ``follow`` no links are taken.
     """
-    return ImportPlan(responses, options or ImportOptions(), frontier, seeds, at, starts)
+    return ImportPlan(responses, options or ImportOptions(), frontier, seeds, at, starts, follow)
 
 
 def _within_limit(documents: DataFrame, options: ImportOptions) -> DataFrame:
@@ -253,23 +394,46 @@ def _within_limit(documents: DataFrame, options: ImportOptions) -> DataFrame:
 def _split_sitemaps(
     documents: DataFrame, seeds: DataFrame, options: ImportOptions
 ) -> tuple[DataFrame, DataFrame]:
-    """The responses that are not robots files or sitemaps, and the links those list."""
-    starts = cut_lineage(sitemap_seeds(seeds).select(F.col("sitemap_url").alias("url")))
-    spelled = documents.withColumn("url", canonical_url(F.col("url")))
-    robots = spelled.where(F.col("url").endswith("/robots.txt")).join(starts, "url", "left_semi")
-    found = robots_sitemaps(with_content(robots), options.domain)
-    # Servers send sitemaps under any content type, so the content says which ones they are.
-    candidates = with_content(spelled.where(~F.col("url").endswith("/robots.txt")))
-    parsed = parsed_sitemaps(candidates.where(F.col("content").rlike(SITEMAP_ROOT)))
-    hops = found.unionByName(sitemap_children(parsed, options.domain))
-    reached = reachable_sitemaps(hops, starts).select("url")
-    listed = sitemap_urls(
-        parsed.join(reached, "url", "left_semi"), options.url_filter, options.domain
+    """The responses that are not robots files or sitemaps, and the links those list.
+
+    Robots files name sitemaps and sitemaps name others: hop by hop only the responses with the
+    URLs of the hop are decoded, whatever their content type says.
+    """
+    named = cut_lineage(
+        documents.where(F.coalesce(F.col("status") < 400, F.lit(False))).select(
+            "seq", canonical_url(F.col("url")).alias("_canonical")
+        )
+    )
+
+    def fetched(urls: DataFrame) -> DataFrame:
+        hop = named.join(urls.select(F.col("url").alias("_canonical")), "_canonical", "left_semi")
+        found = documents.join(hop, "seq").withColumn("url", F.col("_canonical"))
+        return with_content(found)
+
+    starts = cut_lineage(sitemap_seeds(seeds).select(F.col("sitemap_url").alias("url")).distinct())
+    robots = F.col("url").endswith("/robots.txt")
+    listed = robots_sitemaps(fetched(starts.where(robots)), options.domain)
+    reached = starts.where(robots)
+    hop = cut_lineage(
+        starts.where(~robots).unionByName(listed.select(F.col("sitemap_url").alias("url"))).distinct()
     )
-    others = documents.withColumn("_canonical", canonical_url(F.col("url"))).join(
-        reached.withColumnRenamed("url", "_canonical"), "_canonical", "left_anti"
+    links = None
+    while not hop.isEmpty():
+        reached = reached.unionByName(hop)
+        # Servers send sitemaps under any content type, so the content says which ones they are.
+        sitemaps = fetched(hop).where(F.col("content").rlike(SITEMAP_ROOT))
+        parsed = cut_lineage(parsed_sitemaps(sitemaps))
+        found = sitemap_urls(parsed, options.url_filter, options.domain)
+        links = found if links is None else links.unionByName(found)
+        children = sitemap_children(parsed, options.domain).select(F.col("sitemap_url").alias("url"))
+        hop = cut_lineage(children.distinct().join(reached, "url", "left_anti"))
+    sitemap_pages = canonical_url(F.col("url")).alias("_canonical")
+    others = documents.withColumn("_canonical", sitemap_pages).join(
+        reached.select(F.col("url").alias("_canonical")), "_canonical", "left_anti"
     )
-    return others.drop("_canonical"), listed
+    if links is None:
+        links = sitemap_urls(parsed_sitemaps(fetched(hop)), options.url_filter, options.domain)
+    return others.drop("_canonical"), links
 
 
 def canonical_seeds(urls: DataFrame) -> DataFrame:
@@ -288,54 +452,140 @@ def work_seeds(
     return fr.resume_worklist(frontier, options.retry_failed, options.url_filter, options.limit)
 
 
+@dataclass
+class Counters:
+    """The counts of a run so far, reported with each stage."""
+
+    report: ProgressCallback
+    matched: int = 0
+    imported: int = 0
+    skipped: int = 0
+    pending: int = 0
+    discovered: int = 0
+    failed: int = 0
+
+    def stage(self, name: str, rows: int = 0, result: ImportResult | None = None) -> None:
+        self.report(
+            ImportProgress(
+                name, result, self.matched, self.imported, self.skipped, self.matched, self.pending, rows
+            )
+        )
+
+    def result(self) -> ImportResult:
+        return ImportResult(
+            self.matched, self.imported, self.skipped, self.matched, self.discovered, self.failed
+        )
+
+
 def commit(
     plan: ImportPlan,
     pages: KeyedTable,
     frontier: KeyedTable | None,
     batch_id: int,
     options: ImportOptions,
+    counters: Counters | None = None,
+    index: TermIndex | None = None,
 ) -> bool:
-    """Write page rows, then the URL states that depend on them.
+    """Read the responses once, write page rows, then the URL states that depend on them.
 
     When storage refuses the page rows for good, their URLs are marked failed instead and
     the run goes on.  Returns whether the pages were written.
     """
-    records = plan.records
+    counters = counters or Counters(lambda _: None)
+    try:
+        return _commit(plan, pages, frontier, batch_id, options, counters, index)
+    finally:
+        plan.release()
+
+
+def _commit(plan, pages, frontier, batch_id, options, counters, index) -> bool:
+    _check_index(plan, options)
+    counts = plan.settle()
+    counters.matched, counters.failed = counts["pages_read"], counts["failed"]
+    counters.skipped = counts["filtered"]
+    for stage, rows in (("page_scraped", counters.matched), ("request_failed", counters.failed),
+                        ("response_filtered", counters.skipped)):
+        if rows:
+            counters.stage(stage, rows)
+    if options.extract is not None:
+        # Narrow rows at rest; nothing is read or extracted again.
+        left = plan.outcomes.where(F.col("outcome") == "skipped").count()
+        if left > counters.skipped:
+            dropped, counters.skipped = left - counters.skipped, left
+            counters.stage("record_skipped", dropped)
+    counters.pending = counters.matched - counters.skipped
+    if counters.pending:
+        counters.stage("record_extracted", counters.pending)
+    records = _conformed(plan.records, options)
+    stored = _write_pages(pages, records, batch_id)
+    written = stored is not None
+    if written and index is not None:
+        index.append(records, batch_id)
+    lost, counters.pending = 0 if written else counters.pending, 0
+    counters.imported, counters.skipped = stored or 0, counters.skipped + lost
+    counters.stage("batch_merged" if written else "batch_write_failed", stored or lost)
+    if frontier is None:
+        if plan.unresolved is not None:
+            counters.failed += plan.unresolved.count()
+        return written
+    updates = plan.frontier_updates
+    if not written:
+        done = F.col("status") == "done"
+        lost = fr.write_failed_rows(updates.where(done).withColumn("seq", F.lit(0)))
+        lost = fr.frontier_rows(lost.drop("seq"), updates.agg(F.max("updated_at")).scalar())
+        updates = updates.where(~done).unionByName(lost)
+    settled = Observation()
+    # New links have a source; a waiting start URL has none.
+    discovered = (F.col("status") == "pending") & F.col("source_url").isNotNull()
+    unanswered = F.col("failure_type") == fr.UNANSWERED_TYPE
+    frontier.append(
+        updates, batch_id, settled,
+        {"discovered": F.count_if(discovered), "unanswered": F.count_if(unanswered)},
+    )
+    counters.discovered = settled.get["discovered"]
+    counters.failed += settled.get["unanswered"]
+    if counters.discovered:
+        counters.stage("frontier_discovered", counters.discovered)
+    return written
+
+
+def _conformed(records: DataFrame, options: ImportOptions) -> DataFrame:
     if options.primary_key != "seq":
         records = records.drop("seq")
     if options.schema is not None:
         # An explicit schema adds columns; what the extractor gives besides is kept.
-        records = conform(records, merge_schema(options.schema, records.schema, options.primary_key))
-    elif options.extract is None:
-        records = conform(records, PAGE_SCHEMA)
-    written = _write_pages(pages, records, batch_id)
-    if frontier is not None:
-        updates = plan.frontier_updates
-        if not written:
-            done = F.col("status") == "done"
-            lost = fr.write_failed_rows(updates.where(done).withColumn("seq", F.lit(0)))
-            lost = fr.frontier_rows(lost.drop("seq"), updates.agg(F.max("updated_at")).scalar())
-            updates = updates.where(~done).unionByName(lost)
-        frontier.append(updates, batch_id)
-    return written
+        return conform(records, merge_schema(options.schema, records.schema, options.primary_key))
+    return conform(records, PAGE_SCHEMA) if options.extract is None else records
 
 
-def _write_pages(pages: KeyedTable, records: DataFrame, batch_id: int) -> bool:
-    """Append, again after each of ``WRITE_WAITS`` while storage refuses; whether it worked.
+def _check_index(plan: ImportPlan, options: ImportOptions) -> None:
+    """An index column the page rows lack is an error before anything is read or written."""
+    if not options.indexed:
+        return
+    columns = set(PAGE_SCHEMA.names) if options.extract is None else set(plan._extracting.columns)
+    columns |= set(options.schema.names) if options.schema is not None else set()
+    for name in options.indexed:
+        if name not in columns:
+            raise ValueError(f"index_columns names {name!r}, which the page rows do not have")
+
+
+def _write_pages(pages: KeyedTable, records: DataFrame, batch_id: int) -> int | None:
+    """Append, again after each of ``WRITE_WAITS`` while storage refuses; the rows, None if it failed.
 
     Any other failure (a source that cannot be read, a lost shuffle) is raised, so that the
     run or the micro-batch is repeated and no page is given up for it.
     """
     for wait in (*WRITE_WAITS, None):
+        stored = Observation()
         try:
-            pages.append(records, batch_id)
-            return True
+            pages.append(records, batch_id, stored, {"rows": F.count("*")})
+            return stored.get["rows"]
         except Exception as error:
             if not _refused(error, f"{pages.path}/log"):
                 raise
         if wait is not None:
             time.sleep(wait)
-    return False
+    return None
 
 
 def _refused(error: Exception, folder: str) -> bool:
@@ -357,7 +607,7 @@ def run_import(
     options: ImportOptions | None = None,
     resume: bool = False,
     frontier_table: str | None = None,
-    progress: Callable[[ImportProgress], None] | None = None,
+    progress: ProgressCallback | None = None,
     **settings,
 ) -> ImportResult:
     """Import captured responses into the table folder ``table``; the batch entry point.
@@ -367,47 +617,38 @@ def run_import(
     arguments are :class:`ImportOptions` fields.
     """
     options = options or ImportOptions(**settings)
-    report = progress or (lambda _: None)
-    pages = KeyedTable(spark, table, options.primary_key)
-    states = None
-    known = seeds = None
+    counters = Counters(progress or (lambda _: None))
+    table = table.rstrip("/")
+    pages = page_table_at(spark, table, options)
+    states = known = seeds = None
     starts = None if url is None else canonical_seeds(spark.createDataFrame([(url,)], ["url"]))
     if resume:
-        report(ImportProgress("loading_frontier"))
-        states = KeyedTable(spark, frontier_table or f"{table.rstrip('/')}__frontier", "url", "status")
+        counters.stage("loading_frontier")
+        states = frontier_table_at(spark, frontier_table or f"{table}__frontier", options)
+        # The worklist folds all spellings of a URL to the highest state of any.
         known = states.current()
-        if known is not None:
-            known = _reconciled(known)
         seeds = work_seeds(known, starts, options)
-        report(ImportProgress("frontier_loaded"))
-    report(ImportProgress("started"))
-    plan = plan_import(responses, options, known, seeds if resume else starts, starts=starts if resume else None)
+        seeds = None if seeds is None else cut_lineage(seeds)
+        counters.stage("frontier_loaded", 0 if seeds is None else seeds.count())
+    counters.stage("started")
+    plan = plan_import(
+        responses, options, StoredFrontier(states) if resume else None, seeds if resume else starts,
+        starts=starts if resume else None, follow=resume,
+    )
     batch_id = max(pages.next_batch(), states.next_batch() if states else 0)
-    written = commit(plan, pages, states, batch_id, options)
-    report(ImportProgress("batch_merged" if written else "batch_write_failed"))
-    counts = plan.summary().first().asDict()
-    if not resume:
-        counts["discovered_urls"] = 0
-    if not written:
-        counts["skipped_records"] += counts["imported_records"]
-        counts["imported_records"] = 0
+    index = TermIndex(spark, f"{table}__terms", options.primary_key) if options.indexed else None
+    written = commit(plan, pages, states, batch_id, options, counters, index)
     for stored in filter(None, (pages if written else None, states)):
-        if stored.maybe_compact(options.optimize_every):
-            report(ImportProgress("optimized"))
-    if "text" in options.indexed and written:
-        postings = text_postings(pages.current(), options.primary_key)
-        write_postings(postings, f"{table.rstrip('/')}__terms")
-    result = ImportResult(**counts)
-    report(ImportProgress("completed", result))
+        if stored.maybe_compact(options.optimize_every, lambda: counters.stage("optimizing")):
+            counters.stage("optimized")
+    result = counters.result()
+    counters.stage("completed", result=result)
     return result
 
 
-def _reconciled(known: DataFrame) -> DataFrame:
-    """The stored frontier with its aliases raised to the status of their canonical URL."""
-    raised = fr.reconcile_aliases(known).withColumnRenamed("status", "_status")
-    return known.join(raised, "url", "left").select(
-        *(
-            F.coalesce("_status", "status").alias("status") if name == "status" else F.col(name)
-            for name in FRONTIER_SCHEMA.names
-        )
-    )
+def page_table_at(spark: SparkSession, path: str, options: ImportOptions) -> KeyedTable:
+    return KeyedTable(spark, path, options.primary_key, None, options.buckets, options.batch_size)
+
+
+def frontier_table_at(spark: SparkSession, path: str, options: ImportOptions) -> KeyedTable:
+    return KeyedTable(spark, path, "url", "status", options.buckets, options.frontier_batch_size)

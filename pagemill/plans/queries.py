@@ -16,7 +16,7 @@ from pagemill.plans import corpus
 from pagemill.plans.importing import plan_import, response_outcomes
 from pagemill.schemas import ImportOptions
 from pagemill.session import new_workspace
-from pagemill.sources.responses import lower_header_names, spread, stream_responses
+from pagemill.sources.responses import lower_header_names, spread, stream_responses, with_content
 from pagemill.sources.tables import KeyedTable
 from pagemill.streaming.ingest import start_ingest
 
@@ -300,7 +300,8 @@ def decode_body(spark, sf_dir):
         ("text/html", "text/html; charset=ISO-8859-1", "text/html; charset=utf-16-le",
          "text/html; charset=no-such-charset"),
     )
-    return pages.select("page_id", ct.decode_body(body, label).alias("text"))
+    captured = pages.select("page_id", body.alias("body"), label.alias("content_type"))
+    return with_content(captured).select("page_id", F.col("content").alias("text"))
 
 
 def _stripped(spark, sf_dir, step):

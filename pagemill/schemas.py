@@ -119,8 +119,10 @@ class ImportOptions:
 
     ``extract`` maps the accepted responses to rows (a response without a row is
     skipped); ``response_filter`` is a SQL predicate or a Column and replaces the
-    default textual-content filter.  ``rare_charsets=False`` leaves out the Python decoder
-    for data known to hold UTF-8 and Latin-1 only.
+    default textual-content filter.  ``batch_size`` and ``frontier_batch_size`` bound the rows of
+    a file of the page table and of the URL states; ``max_batch_bytes`` bounds what a micro-batch
+    reads (whole files), ``max_batch_delay`` is the time between two.  ``buckets`` counts for
+    tables that the import creates.
     """
 
     domain: str | None = None
@@ -134,22 +136,21 @@ class ImportOptions:
     strip_order: str = "before-links"
     clean: str | None = None
     limit: int | None = None
-    batch_size: int = 100
-    max_batch_bytes: int | None = 16 * 1024 * 1024
+    batch_size: int | None = None
+    max_batch_bytes: int | None = None
     max_batch_delay: float | None = 60
-    frontier_batch_size: int = 500
+    frontier_batch_size: int | None = None
     include_sitemap: bool = False
     retry_failed: bool = False
     index_columns: Sequence[str] | None = None
     optimize_every: int | None = 5000
+    buckets: int = 16
     replace_whole_row: bool = False
-    rare_charsets: bool = True
 
     def __post_init__(self) -> None:
-        for name in ("batch_size", "frontier_batch_size"):
-            if getattr(self, name) <= 0:
-                raise ValueError(f"{name} must be greater than zero")
-        for name in ("max_batch_bytes", "max_batch_delay", "optimize_every"):
+        if self.buckets <= 0:
+            raise ValueError("buckets must be greater than zero")
+        for name in ("batch_size", "frontier_batch_size", "max_batch_bytes", "max_batch_delay", "optimize_every"):
             value = getattr(self, name)
             if value is not None and value <= 0:
                 raise ValueError(f"{name} must be greater than zero or None")

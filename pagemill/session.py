@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -33,6 +34,26 @@ def new_workspace(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/pagemill/{name}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def numbered_paths(spark: SparkSession, root: str, pattern: str) -> list[tuple[int, ...]]:
+    """The numbers in the paths below ``root`` that match, as ``log/batch_id=*``; one listing."""
+    escaped = re.sub(r"([\\{}\[\]*?])", r"\\\1", root)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{escaped}/{pattern}")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    depth = pattern.count("/") + 1
+    tails = ["/".join(entry.getPath().toString().split("/")[-depth:]) for entry in found or ()]
+    return sorted(tuple(map(int, re.findall(r"=(\d+)", tail))) for tail in tails)
+
+
+def finished_numbers(spark: SparkSession, root: str, label: str) -> list[int]:
+    """The numbers of the folders ``label=N`` below ``root`` whose write finished."""
+    return [n for (n,) in numbered_paths(spark, root, f"{label}=*/_SUCCESS")]
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialize ``df`` reliably, so that a lost executor does not replay its history."""
     context = df.sparkSession.sparkContext

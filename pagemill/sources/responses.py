@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.functions.binding import bind, over
-from pagemill.functions.content import content_type, decode_body
+from pagemill.functions.content import any_charset, content_type, decode_body
 from pagemill.schemas import RESPONSE_SCHEMA
 
 
@@ -61,8 +61,8 @@ def response_documents(responses: DataFrame) -> DataFrame:
     )
 
 
-def with_content(documents: DataFrame, rare_charsets: bool = True) -> DataFrame:
-    """Add ``content``, the decoded body."""
-    return documents.withColumn(
-        "content", decode_body(F.col("body"), F.col("content_type"), rare_charsets)
-    )
+def with_content(documents: DataFrame, needed: Column | None = None) -> DataFrame:
+    """Add ``content``, the decoded body (of rows that are ``needed``, NULL in others)."""
+    content = decode_body(F.col("body"), F.col("content_type"))
+    with any_charset(documents.sparkSession):
+        return documents.withColumn("content", content if needed is None else F.when(needed, content))

@@ -9,6 +9,7 @@ from builders import PAGE
 from pagemill import schemas
 from pagemill.functions import content, html
 from pagemill.plans import corpus
+from pagemill.sources.responses import with_content
 
 PAGES = "/root/testdata/sf0.001"
 
@@ -142,9 +143,27 @@ def test_charset_and_decoding(spark):
         ("é".encode("cp1252"), "text/html; charset=windows-1252; x=1", "é"),
         (None, "text/html; charset=windows-1252", None),
     ]
-    df = spark.createDataFrame(rows, "body binary, kind string, expected string")
-    got = df.select("expected", content.decode_body(F.col("body"), F.col("kind")).alias("got"))
-    assert [r for r in got.collect() if r.expected != r.got] == []
+    df = spark.createDataFrame(rows, "body binary, content_type string, expected string")
+    got = with_content(df)
+    assert [r for r in got.collect() if r.expected != r.content] == []
+    assert "Python" not in got._jdf.queryExecution().executedPlan().toString()
+    assert spark.conf.get("spark.sql.legacy.javaCharsets") == "false"
+
+
+def test_charsets_as_python_decodes_them(spark):
+    names = ("utf-16", "UTF-16LE", "utf_16_be", "utf-32", "utf-32-be", "windows-1251", "cp1250", "koi8-r", "gbk",
+             "gb18030", "big5", "euc-jp", "euc-kr", "iso-8859-2", "ISO_8859-15", "latin2", "ibm866", "us-ascii",
+             "iso-2022-jp")
+    rows = []
+    for name in names:
+        for text in ("plain", "Привет", "žluť", "日本語", "한국", "中文", "é€", ""):
+            try:
+                rows.append((text.encode(name), f"text/html; charset={name}", text))
+            except UnicodeEncodeError:
+                continue
+    rows += [(b"a\xff", "text/html; charset=us-ascii", "a\ufffd"), (b"a\x00b", "text/html; charset=utf-16-le", "a\ufffd")]
+    df = spark.createDataFrame(rows, "body binary, content_type string, expected string")
+    assert len(rows) > 60 and [r for r in with_content(df).collect() if r.expected != r.content] == []
 
 
 def test_kinds(column):

@@ -4,6 +4,7 @@ from pyspark.sql import types as T
 
 from builders import PAGE, response, responses
 from pagemill.operators import frontier as fr
+from pagemill.operators.search import TermIndex
 from pagemill.operators.records import page_records, pandas_extractor
 from pagemill.plans import importing
 from pagemill.plans.importing import ImportResult, plan_import, run_import
@@ -128,7 +129,7 @@ def test_discovery_and_done(spark, tmp_path):
     table = str(tmp_path / "pages")
     row = KeyedTable(spark, f"{table}__frontier", "url").current().where("status = 'pending'").first()
     assert (row.source_url, row.discovered_at) == ("https://example.com/", "2026-01-01T00:00:01Z")
-    assert spark.read.parquet(f"{table}__terms").where("term = 'n'").count() == 1
+    assert TermIndex(spark, f"{table}__terms", "url").postings().where("term = 'n'").count() == 1
     stages = []
     again = run_import(
         spark, responses(spark, response(2, "https://example.com/next")), table, "example.com",
@@ -140,7 +141,8 @@ def test_discovery_and_done(spark, tmp_path):
         "2026-01-01T00:00:01Z", "https://example.com/"
     )
     assert stages == [
-        "loading_frontier", "frontier_loaded", "started", "batch_merged", "optimized", "optimized", "completed"
+        "loading_frontier", "frontier_loaded", "started", "page_scraped", "record_extracted", "batch_merged",
+        "optimizing", "optimized", "optimizing", "optimized", "completed",
     ]
 
 
@@ -215,9 +217,9 @@ def test_refused_write_marks_failed(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(importing, "WRITE_WAITS", (0, 0))
     tries, original = [], KeyedTable.append
 
-    def count(self, rows, batch_id=None):
+    def count(self, *given):
         tries.append(self.path)
-        return original(self, rows, batch_id)
+        return original(self, *given)
 
     monkeypatch.setattr(KeyedTable, "append", count)
     rows = [response(1, "https://example.com/"), response(2, "https://example.com/b", b"", "image/png")]
@@ -231,7 +233,7 @@ def test_refused_write_marks_failed(spark, tmp_path, monkeypatch):
 
 
 def test_other_failures_are_raised(spark, tmp_path, monkeypatch):
-    def lost(self, rows, batch_id=None):
+    def lost(self, *given):
         raise RuntimeError("java.io.IOException: a source could not be read")
 
     rows = [response(1, "https://example.com/")]

@@ -103,7 +103,7 @@ def test_limit(spark, monkeypatch):
 
 
 def test_keyed_table(spark, tmp_path):
-    table = KeyedTable(spark, str(tmp_path / "t"), "url", "status")
+    table = KeyedTable(spark, str(tmp_path / "t"), "url", "status", buckets=1)
     assert table.current() is None
 
     def rows(*values):
