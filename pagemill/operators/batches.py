@@ -1,215 +1,36 @@
-"""Write batches bounded by rows and bytes, cut exactly as a single writer would cut them.
-
-A writer adds rows in order, closes the open batch before a row that would take it over
-the byte limit, and after the row that fills its row limit.  Where a batch starts depends
-on all rows before it.  Most groups are simply followed in order, many groups to a task.
-A group that holds a large share of all rows is cut into chunks of consecutive order
-values: each chunk states what it would do for every way the open batch may enter it, the
-short statements are followed in order, and every chunk then numbers its own rows.
-"""
+"""Rows at rest in files of a bounded size."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Rows a chunk of a large group holds when its order values are evenly spread.
-CHUNK_ROWS = 1 << 16
-#: Groups of more rows are cut into chunks.
-HOT_ROWS = 4_000_000
-#: At most this many groups are cut; any other holds less than this share of the rows.
-HOT_GROUPS = 1_000
-
-
-class _Writer:
-    """The open batch of a writer: its number, rows and bytes."""
-
-    def __init__(self, rows: int, octets: int, batch: int = 0, count: int = 0, held: int = 0):
-        self.rows, self.octets = rows, octets
-        self.batch, self.count, self.held = batch, count, held
-
-    def add(self, size: int) -> int:
-        """Take a row and return the batch it belongs to."""
-        if self.count and self.held + size > self.octets:
-            self.batch, self.count, self.held = self.batch + 1, 0, 0
-        batch = self.batch
-        self.count, self.held = self.count + 1, self.held + size
-        if self.count >= self.rows:
-            self.batch, self.count, self.held = self.batch + 1, 0, 0
-        return batch
-
 
-def _next_starts(sizes: np.ndarray, rows: int, octets: int) -> tuple[np.ndarray, np.ndarray]:
-    """For a batch starting at each row: where the next one starts, and the running sums.
+def write_batches(df: DataFrame, path: str, group: str, rows_per_file: int, order: str = "seq") -> None:
+    """Write the rows under ``path``, a folder per value of ``group``, in files of bounded length.
 
-    A batch the chunk does not close starts its successor past the end (``n + 1``).
+    Rows of a group are sorted by ``order`` within a task.  A group that is large in bytes is cut
+    over several tasks by adaptive execution, and small ones share a task.
     """
-    n = len(sizes)
-    sums = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-    starts = np.arange(n)
-    by_octets = np.maximum(np.searchsorted(sums, sums[:-1] + octets, side="right") - 1, starts + 1)
-    by_octets = np.where(by_octets >= n, n + 1, by_octets)
-    by_rows = np.where(starts + rows <= n, starts + rows, n + 1)
-    return np.minimum(by_octets, by_rows), sums
-
-
-def _statement(sizes: np.ndarray, rows: int, octets: int) -> tuple[np.ndarray, ...]:
-    """What a chunk does when its first new batch starts at row 0, 1, ... of it.
-
-    Gives the leading sizes and, per such start, the batches closed and the rows and bytes
-    left open at the end.
-    """
-    n = len(sizes)
-    following, sums = _next_starts(sizes, rows, octets)
-    closed = np.zeros(n + 1, np.int64)
-    last = np.full(n + 1, n, np.int64)
-    for start in range(n - 1, -1, -1):
-        after = following[start]
-        closed[start] = 0 if after > n else closed[after] + 1
-        last[start] = start if after > n else last[after]
-    entries = np.arange(min(n, rows) + 1)
-    tail = last[entries]
-    return sizes[: len(entries) - 1], closed[entries], n - tail, sums[n] - sums[tail]
-
-
-def write_batches(
-    records: DataFrame,
-    group: str,
-    order: str = "seq",
-    size: str = "record_bytes",
-    batch_size: int = 100,
-    max_batch_bytes: int | None = 16 * 1024 * 1024,
-    chunk_rows: int = CHUNK_ROWS,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """``<group>, <order>, <size>, batch`` with batches numbered from 0 in each group.
-
-    ``order`` is unique within a group.
-    """
-    if batch_size <= 0:
-        raise ValueError("batch_size must be greater than zero")
-    if max_batch_bytes is not None and max_batch_bytes <= 0:
-        raise ValueError("max_batch_bytes must be greater than zero or None")
-    octets = int(max_batch_bytes) if max_batch_bytes is not None else 2**62
-    kind = records.schema[group].dataType.simpleString()
-    keys = [group, "_chunk"]
-    narrow = records.select(
-        group, F.col(order).cast("long").alias(order), F.col(size).cast("long").alias(size)
-    )
-    # At most HOT_GROUPS rows: a bounded broadcast.
-    hot = (
-        narrow.groupBy(group)
-        .agg(F.count("*").alias("_rows"), F.min(order).alias("_low"), F.max(order).alias("_high"))
-        .where(F.col("_rows") > hot_rows)
-        .orderBy(F.desc("_rows"), group)
-        .limit(HOT_GROUPS)
-        .select(
-            group,
-            F.ceil((F.col("_high") - F.col("_low") + 1) * F.lit(chunk_rows) / F.col("_rows")).alias("_width"),
-        )
+    (
+        df.hint("rebalance", group)
+        .sortWithinPartitions(group, order)
+        .write.mode("overwrite")
+        .option("maxRecordsPerFile", rows_per_file)
+        .option("compression", "zstd")
+        .partitionBy(group)
+        .parquet(path)
     )
-    chunk = F.floor(F.col(order) / F.col("_width")).cast("long")
-    rows = narrow.join(F.broadcast(hot), group, "left").select(
-        group, F.when(F.col("_width").isNotNull(), chunk).alias("_chunk"), order, size
-    )
-
-    def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = [*keys, "_head", "_closed", "_count", "_held"]
-        current, parts = None, []
 
-        def statement() -> tuple:
-            return (*current, *_statement(np.concatenate(parts), batch_size, octets))
-
-        for batch in batches:
-            found = []
-            names, chunks = (batch[key].to_numpy() for key in keys)
-            values = batch[size].to_numpy(np.int64)
-            changes = (names[1:] != names[:-1]) | (chunks[1:] != chunks[:-1])
-            edges = [0, *(np.flatnonzero(changes) + 1), len(values)]
-            for low, high in zip(edges[:-1], edges[1:]):
-                key = (names[low], chunks[low])
-                if parts and key != current:
-                    found.append(statement())
-                    parts = []
-                current = key
-                parts.append(values[low:high])
-            yield pd.DataFrame(found, columns=columns)
-        if parts:
-            yield pd.DataFrame([statement()], columns=columns)
-
-    # One statement per chunk of a large group.
-    statements = (
-        rows.where(F.col("_chunk").isNotNull())
-        .repartition(*keys)
-        .sortWithinPartitions(*keys, order)
-        .mapInPandas(
-            describe,
-            f"`{group}` {kind}, _chunk long, _head array<long>, _closed array<long>, "
-            "_count array<long>, _held array<long>",
-        )
-    )
 
-    def follow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, writer = None, None
-        for batch in batches:
-            entered = []
-            for name, chunk, head, closed, count, held in batch.itertuples(index=False):
-                if name != current:
-                    current, writer = name, _Writer(batch_size, octets)
-                entered.append((name, chunk, writer.batch, writer.count, writer.held))
-                before, taken = writer.batch, 0
-                while writer.count and taken < len(head):
-                    # The open batch takes rows until it closes, before or after one.
-                    if writer.add(int(head[taken])) != before:
-                        break
-                    taken += 1
-                if writer.batch == before and writer.count:
-                    continue
-                writer.batch = before + int(taken > 0 or writer.batch > before) + int(closed[taken])
-                writer.count, writer.held = int(count[taken]), int(held[taken])
-            yield pd.DataFrame(entered, columns=[*keys, "_batch", "_open", "_held"])
+def batch_files(stored: DataFrame, group: str, *sums: str) -> DataFrame:
+    """``<group>, rows, largest`` of what :func:`write_batches` wrote, and the ``sums``.
 
-    # The statements of a group are streamed in order; the state is three numbers.
-    states = (
-        statements.repartition(group)
-        .sortWithinPartitions(*keys)
-        .mapInPandas(follow, f"`{group}` {kind}, _chunk long, _batch long, _open long, _held long")
-    )
-
-    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, writer = None, None
-        for batch in batches:
-            marks = []
-            for name, chunk, value, *state in batch[
-                [group, "_chunk", size, "_batch", "_open", "_held"]
-            ].itertuples(index=False):
-                if (name, chunk) != current:
-                    current, writer = (name, chunk), _Writer(batch_size, octets, *map(int, state))
-                marks.append(writer.add(value))
-            yield batch[[group, order, size]].assign(batch=np.array(marks, np.int64))
-
-    none = F.lit(0).cast("long")
-    return (
-        rows.join(states, keys, "left")
-        .select(
-            group,
-            F.coalesce("_chunk", F.lit(-1).cast("long")).alias("_chunk"),
-            order,
-            size,
-            *(F.coalesce(name, none).alias(name) for name in ("_batch", "_open", "_held")),
-        )
-        .repartition(*keys)
-        .sortWithinPartitions(*keys, order)
-        .mapInPandas(number, f"`{group}` {kind}, `{order}` long, `{size}` long, batch long")
+    ``largest`` is the number of rows in the longest file of the group.
+    """
+    by_file = stored.groupBy(group, F.col("_metadata.file_path").alias("file")).agg(
+        F.count("*").alias("rows"), *(F.sum(name).alias(name) for name in sums)
     )
-
-
-def batch_totals(batches: DataFrame, group: str, size: str = "record_bytes") -> DataFrame:
-    """``<group>, batch, rows, octets`` per write batch."""
-    return batches.groupBy(group, "batch").agg(
-        F.count("*").alias("rows"), F.sum(size).alias("octets")
+    return by_file.groupBy(group).agg(
+        F.sum("rows").alias("rows"), F.max("rows").alias("largest"), *(F.sum(name).alias(name) for name in sums)
     )

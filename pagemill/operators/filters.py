@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.functions.content import is_textual
 from pagemill.functions.urls import url_matches
+from pagemill.session import cut_lineage
 
-#: Limits up to this many rows are found by a top-k over the order column.
-TOP_K_LIMIT = 100_000
-_SPAN = 1 << 16
+#: Parts into which a round of :func:`nth_value` cuts a range, and the size at which it sorts it.
+CUTS = 256
+SLICE = 10_000
 
 
 def has_failed() -> Column:
@@ -62,29 +63,44 @@ def limit_pages(pages: DataFrame, limit: int | None, order: str = "seq") -> Data
     """The first ``limit`` pages by ``order``, whose values are unique.
 
     Only order values are ranked; the pages themselves are filtered in place, so no task
-    receives them all.  Large limits are located through counts per span of values.
+    receives them all.
     """
     if limit is None:
         return pages
-    if limit == 0:
-        return pages.where(F.lit(False))
-    values = pages.select(F.col(order).cast("long").alias("value"))
-    if limit <= TOP_K_LIMIT:
-        last = values.orderBy("value").limit(limit).agg(F.max("value"))
-        return pages.where(F.col(order) <= last.scalar())
-    return pages.where(F.col(order) <= _nth_value(values, limit).scalar())
-
-
-def _nth_value(values: DataFrame, n: int) -> DataFrame:
-    """One row with the n-th smallest value (the largest one when there are fewer)."""
-    span = F.floor(F.col("value") / _SPAN)
-    counts = values.groupBy(span.alias("span")).agg(F.count("*").alias("rows"))
-    running = counts.withColumn("upto", F.sum("rows").over(Window.orderBy("span")))
-    before = running.where(F.col("upto") < n).agg(F.coalesce(F.max("upto"), F.lit(0)))
-    target = running.where(F.col("upto") >= n).agg(F.min("span"))
-    # At most _SPAN distinct values share a span.
-    ranked = values.where(span == target.scalar()).select(
-        "value", F.row_number().over(Window.orderBy("value")).alias("rank")
-    )
-    found = ranked.where(F.col("rank") == F.lit(n) - before.scalar()).agg(F.max("value").alias("v"))
-    return found.unionByName(values.agg(F.max("value").alias("v"))).agg(F.min("v"))
+    last = nth_value(pages.select(F.col(order).cast("long").alias("value")), limit) if limit > 0 else None
+    if last is None:
+        return pages.where(F.lit(limit > 0))
+    return pages.where(F.col(order) <= last)
+
+
+def nth_value(values: DataFrame, n: int) -> int | None:
+    """The ``n``-th smallest (from 1) of the longs in ``value``; None when there are fewer.
+
+    Each round cuts the range that holds it at approximate quantiles and counts the values
+    between the cuts, which are combined before the shuffle; the range then shrinks to one
+    part.  So no task gets more than ``CUTS`` counts, or at last ``SLICE`` values, however
+    the values are spread.
+    """
+    values = cut_lineage(values.where(F.col("value").isNotNull()))
+    rank, count = n, values.count()
+    if count < n:
+        return None
+    while count > SLICE:
+        shares = [k / CUTS for k in range(1, CUTS)]
+        cuts = values.select(F.percentile_approx("value", shares, 10 * CUTS).alias("cuts")).first()["cuts"]
+        cuts = sorted(set(cuts))
+        # A value belongs to the first cut that is not below it.
+        bounds = F.array(*map(F.lit, cuts))
+        place = F.size(F.filter(bounds, lambda cut: cut < F.col("value")))
+        counts = values.groupBy(place.alias("part")).agg(
+            F.count("*").alias("rows"), F.min("value").alias("low"), F.max("value").alias("high")
+        )
+        for row in sorted(counts.collect(), key=lambda row: row["part"]):
+            if rank <= row["rows"]:
+                break
+            rank -= row["rows"]
+        if row["low"] == row["high"]:
+            return row["low"]
+        values = values.where(F.col("value").between(row["low"], row["high"]))
+        count = row["rows"]
+    return values.orderBy("value").limit(rank).agg(F.max("value")).first()[0]

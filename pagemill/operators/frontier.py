@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from pagemill.functions.urls import canonical_url, url_matches
 from pagemill.operators.keyed import keep_last, upsert
-from pagemill.operators.skew import lookup_join
 from pagemill.schemas import FRONTIER_SCHEMA
 
 # The states of a URL from least to most settled; others rank below them.
@@ -70,7 +69,8 @@ def reconcile_aliases(frontier: DataFrame) -> DataFrame:
     final = frontier_state(frontier).where(F.col("status").isin("done", "skipped"))
     spellings = frontier_aliases(frontier).where(F.col("url") != F.col("canonical"))
     final = final.select(F.col("url").alias("canonical"), F.col("status").alias("final_status"))
-    raised = lookup_join(spellings, final, "canonical")
+    # Canonical URLs are unique in ``final``; adaptive execution splits one with very many spellings.
+    raised = spellings.join(final, "canonical")
     return raised.where(
         status_rank(F.col("status")) < status_rank(F.col("final_status"))
     ).select("url", F.col("final_status").alias("status"))
@@ -83,9 +83,8 @@ def expand_aliases(events: DataFrame, frontier: DataFrame) -> DataFrame:
     """
     spellings = frontier_aliases(frontier).where(F.col("url") != F.col("canonical"))
     spellings = spellings.select("canonical", F.col("url").alias("_spelling"))
-    others = lookup_join(
-        spellings, events.withColumnRenamed("url", "canonical"), "canonical"
-    ).withColumnRenamed("_spelling", "url")
+    others = spellings.join(events.withColumnRenamed("url", "canonical"), "canonical")
+    others = others.withColumnRenamed("_spelling", "url")
     return events.unionByName(others.select(*events.columns))
 
 

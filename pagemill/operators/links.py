@@ -18,8 +18,7 @@ from pagemill.functions.urls import (
     url_domain,
     url_matches,
 )
-from pagemill.operators.skew import lookup_join
-from pagemill.session import cut_lineage
+from pagemill.session import cut_lineage, drop_checkpoint, kept_by
 
 # Path endings a crawl does not follow.
 IGNORED_EXTENSIONS = (
@@ -43,6 +42,9 @@ IGNORED_EXTENSIONS = (
 
 
 _LEVELS_PER_CUT = 16
+#: Edges that a partition may hold, and the number of sources that may have a large share of all.
+_EDGES_PER_PART = 1_000_000
+_LARGE_SOURCES = 1_000
 
 
 def page_links(
@@ -139,25 +141,56 @@ def new_links(edges: DataFrame, known: DataFrame) -> DataFrame:
 def crawl_depth(edges: DataFrame, seeds: DataFrame, max_depth: int | None = None) -> DataFrame:
     """``url, depth``: the least number of links from any seed (column ``url``).
 
-    Each level joins the last one with the edges and is written to a reliable checkpoint,
-    so the plan stays small and a lost executor does not replay earlier levels.
+    Semi-naive: only the last level meets the edges.  Edges are stored partitioned by their
+    source, what is reached by its URL, and both stay where they are; a level shuffles itself
+    and its targets.  Sources with a large share of the edges are split by target.  Levels are
+    checkpoints, so the plan stays small and a lost executor does not replay earlier ones.
     """
-    edges = cut_lineage(edges.select("source_url", "target_url").distinct())
-    counts = cut_lineage(edges.groupBy("source_url").agg(F.count("*").alias("rows")))
-    reached = cut_lineage(seeds.select("url").distinct().withColumn("depth", F.lit(0)))
-    level, depth = reached, 0
+    plain = cut_lineage(edges.select("source_url", "target_url").where("source_url IS NOT NULL").distinct())
+    total = plain.count()
+    parts = max(int(plain.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // _EDGES_PER_PART))
+    large = max(_EDGES_PER_PART // 10, total // _LARGE_SOURCES)
+    hot = cut_lineage(
+        plain.groupBy("source_url").agg(F.count("*").alias("rows")).where(F.col("rows") > large).select(
+            "source_url", F.ceil(F.col("rows") / large).cast("int").alias("salts")
+        )
+    )
+    # At most _LARGE_SOURCES sources have that many edges, so the hint is bounded.
+    salted = plain.join(F.broadcast(hot), "source_url", "left").select(
+        "source_url",
+        "target_url",
+        F.coalesce(F.pmod(F.xxhash64("target_url"), "salts").cast("int"), F.lit(0)).alias("salt"),
+    )
+    kept = kept_by(salted, parts, "source_url", "salt")
+    drop_checkpoint(plain)
+    level = kept_by(seeds.select("url").distinct().withColumn("depth", F.lit(0)), parts, "url")
+    reached, spent, depth = level, [level], 0
     while max_depth is None or depth < max_depth:
         depth += 1
-        step = lookup_join(
-            edges, level.select(F.col("url").alias("source_url")), "source_url", counts
-        )
-        targets = step.select(F.col("target_url").alias("url")).distinct()
-        level = cut_lineage(
-            targets.join(reached, "url", "left_anti").withColumn("depth", F.lit(depth))
-        )
+        level = kept_by(next_level(level, kept, hot, reached, parts, depth), parts, "url")
         if level.isEmpty():
+            drop_checkpoint(level)
             break
+        spent.append(level)
         reached = reached.unionByName(level)
         if depth % _LEVELS_PER_CUT == 0:
-            reached = cut_lineage(reached)
+            reached = kept_by(reached, parts, "url")
+            for old in spent[:-1]:
+                drop_checkpoint(old)
+            spent = [level, reached]
+    drop_checkpoint(kept)
     return reached
+
+
+def next_level(
+    level: DataFrame, kept: DataFrame, hot: DataFrame, reached: DataFrame, parts: int, depth: int
+) -> DataFrame:
+    """``url, depth`` of the targets of ``level`` that are not reached yet."""
+    sources = (
+        level.select(F.col("url").alias("source_url"))
+        .join(F.broadcast(hot), "source_url", "left")
+        .select("source_url", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)).alias("salt"))
+    )
+    targets = kept.join(sources, ["source_url", "salt"], "left_semi").select(F.col("target_url").alias("url"))
+    once = targets.repartition(parts, "url").distinct()
+    return once.join(reached.select("url"), "url", "left_anti").withColumn("depth", F.lit(depth))

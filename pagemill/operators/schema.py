@@ -30,11 +30,6 @@ def merge_schema(
     return union
 
 
-def missing_columns(stored: T.StructType, wanted: T.StructType) -> list[T.StructField]:
-    """The fields a stored table lacks."""
-    return [field for field in wanted.fields if field.name not in stored.names]
-
-
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """``df`` with exactly the columns of ``schema``; absent ones are NULL.
 

@@ -33,6 +33,7 @@ MARKUP = (
 FIRST_FETCH = 1767225600
 STATUSES = ("pending", "failed", "skipped", "done")
 SEED_STAMP = "2026-01-01T00:00:00Z"
+SITEMAP_SEQ, ROBOTS_SEQ = 10**12, 2 * 10**12
 
 
 def by_remainder(number: Column, values: tuple[str, ...]) -> Column:
@@ -174,6 +175,31 @@ def robots_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def captured_sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sitemaps of all pages, and robots files that name them, as captured responses."""
+    maps = sitemap_responses(spark, sf_dir)
+    robots = maps.select(
+        (F.col("seq") + ROBOTS_SEQ).alias("seq"),
+        F.concat(url_origin(F.col("url")), F.lit("/robots.txt")).alias("url"),
+        F.lit(200).alias("status"),
+        F.lit("text/plain").alias("kind"),
+        F.concat(F.lit("User-agent: *\nSitemap: "), "url").alias("content"),
+    )
+    maps = maps.select((F.col("seq") + SITEMAP_SEQ).alias("seq"), "url", "status", F.lit("text/xml").alias("kind"), "content")
+    return maps.unionByName(robots).select(
+        "seq",
+        F.col("url").alias("request_url"),
+        "url",
+        F.array().cast("array<string>").alias("redirect_urls"),
+        F.col("status").cast("int").alias("status"),
+        F.create_map(F.lit("Content-Type"), "kind").alias("headers"),
+        F.col("content").cast("binary").alias("body"),
+        F.lit(None).cast("string").alias("error"),
+        F.lit(None).cast("string").alias("failure_type"),
+        F.timestamp_seconds(F.lit(FIRST_FETCH)).alias("fetched_at"),
+    )
+
+
 def chain_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``source_url, target_url``: each page to its first link, each link to the next."""
     pages = spread(table(spark, sf_dir, "pages"))

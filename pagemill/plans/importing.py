@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -18,8 +18,8 @@ from pagemill.operators.filters import (
     accepted_pages,
     failure_details,
     has_failed,
-    limit_pages,
     matching_pages,
+    nth_value,
     response_predicate,
 )
 from pagemill.operators.keyed import keep_last
@@ -43,9 +43,6 @@ from pagemill.sources.tables import KeyedTable
 #: The root element of a sitemap or of an index of sitemaps.
 SITEMAP_ROOT = r"(?i)<(?:[\w.-]+:)?(?:urlset|sitemapindex)[\s>]"
 
-#: Seconds to wait before each new attempt at a write that storage refused.
-WRITE_WAITS = (1, 2, 4)
-
 
 @dataclass(frozen=True)
 class ImportResult:
@@ -385,10 +382,9 @@ def _within_limit(documents: DataFrame, options: ImportOptions) -> DataFrame:
     """The responses up to the page that reaches the limit; later ones were never fetched."""
     if options.limit == 0:
         return documents.where(F.lit(False))
-    wanted = matching_pages(documents, options.url_filter).select("seq")
-    first = limit_pages(wanted, options.limit)
-    reached = first.agg(F.when(F.count("*") >= options.limit, F.max("seq")))
-    return documents.where(F.coalesce(F.col("seq") <= reached.scalar(), F.lit(True)))
+    wanted = matching_pages(documents, options.url_filter)
+    reached = nth_value(wanted.select(F.col("seq").alias("value")), options.limit)
+    return documents if reached is None else documents.where(F.col("seq") <= reached)
 
 
 def _split_sitemaps(
@@ -517,7 +513,7 @@ def _commit(plan, pages, frontier, batch_id, options, counters, index) -> bool:
     if counters.pending:
         counters.stage("record_extracted", counters.pending)
     records = _conformed(plan.records, options)
-    stored = _write_pages(pages, records, batch_id)
+    stored = _write_pages(pages, records, batch_id, options.write_waits)
     written = stored is not None
     if written and index is not None:
         index.append(records, batch_id)
@@ -569,13 +565,15 @@ def _check_index(plan: ImportPlan, options: ImportOptions) -> None:
             raise ValueError(f"index_columns names {name!r}, which the page rows do not have")
 
 
-def _write_pages(pages: KeyedTable, records: DataFrame, batch_id: int) -> int | None:
-    """Append, again after each of ``WRITE_WAITS`` while storage refuses; the rows, None if it failed.
+def _write_pages(
+    pages: KeyedTable, records: DataFrame, batch_id: int, waits: Sequence[float]
+) -> int | None:
+    """Append, again after each of ``waits`` while storage refuses; the rows, None if it failed.
 
     Any other failure (a source that cannot be read, a lost shuffle) is raised, so that the
     run or the micro-batch is repeated and no page is given up for it.
     """
-    for wait in (*WRITE_WAITS, None):
+    for wait in (*waits, None):
         stored = Observation()
         try:
             pages.append(records, batch_id, stored, {"rows": F.count("*")})

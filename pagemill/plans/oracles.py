@@ -308,23 +308,10 @@ SELECT seq, (3 + 4 + 12 + 4 + 6 + strlen(url) + strlen(date) + strlen(content_ty
   + coalesce(list_sum(list_transform(images,
       lambda i: 6 + strlen(i.src) + coalesce(strlen(i.alt), 0))), 0))::BIGINT AS record_bytes
 FROM records"""
-ORACLES["write_batches"] = ctes(
-    f"""sized AS (
-  SELECT {host('url')} AS host, page_id AS seq, strlen(html) AS size,
-    row_number() OVER (PARTITION BY {host('url')} ORDER BY page_id) AS n FROM pages)""",
-    f"""walk AS (
-  SELECT host, seq, size, n, 0::BIGINT AS batch, 1 AS held_rows, size AS held FROM sized WHERE n = 1
-  UNION ALL
-  SELECT s.host, s.seq, s.size, s.n,
-    CASE WHEN w.held_rows >= {queries.BATCH_ROWS} OR w.held + s.size > {queries.BATCH_OCTETS}
-      THEN w.batch + 1 ELSE w.batch END,
-    CASE WHEN w.held_rows >= {queries.BATCH_ROWS} OR w.held + s.size > {queries.BATCH_OCTETS}
-      THEN 1 ELSE w.held_rows + 1 END,
-    CASE WHEN w.held_rows >= {queries.BATCH_ROWS} OR w.held + s.size > {queries.BATCH_OCTETS}
-      THEN s.size ELSE w.held + s.size END
-  FROM walk w JOIN sized s ON s.host = w.host AND s.n = w.n + 1)""",
-    recursive=True,
-) + "SELECT host, seq, size AS record_bytes, batch FROM walk"
+ORACLES["write_batches"] = f"""
+SELECT {host('url')} AS host, count(*) AS rows, least(count(*), {queries.BATCH_ROWS}) AS largest,
+  sum(strlen(html))::BIGINT AS record_bytes
+FROM pages GROUP BY 1"""
 
 # --- URLs --------------------------------------------------------------------------------
 
@@ -585,3 +572,61 @@ ORACLES["stream_resume"] = ctes(RESPONSES, _ALL, IDENTITIES, EVENTS, TEXT_EDGES,
 SELECT url, status FROM events
 UNION ALL
 SELECT DISTINCT target_url, 'pending' FROM scoped WHERE target_url NOT IN (SELECT url FROM events)"""
+
+_NOW = "(SELECT max(fetched_at) FROM responses)"
+_UNANSWERED = "'request finished without response callback', 'crawler_no_callback'"
+ORACLES["import_seeded"] = ctes(
+    RESPONSES, _ALL, IDENTITIES, EVENTS, FRONTIER, ALIASES, _EXPANDED, TEXT_EDGES, SCOPED
+) + f"""
+SELECT x.url, e.status, coalesce(f.discovered_at, {_NOW}) AS discovered_at, {_NOW} AS updated_at,
+  f.source_url, e.error, e.failure_type, e.http_status, e.final_url, e.content_type
+FROM expanded x JOIN events e ON e.url = x.canonical LEFT JOIN frontier f ON f.url = x.url
+UNION ALL
+SELECT target_url, 'pending', {_NOW}, {_NOW}, arg_min(source_url, seq), NULL, NULL, NULL, NULL, NULL
+FROM scoped WHERE target_url NOT IN (SELECT url FROM events)
+  AND target_url NOT IN (SELECT canonical FROM aliases) GROUP BY target_url
+UNION ALL
+SELECT {origin('url')} || '/gone/' || page_id, 'failed', {q(corpus.SEED_STAMP)}, {_NOW}, NULL,
+  {_UNANSWERED}, NULL, NULL, NULL
+FROM pages"""
+_LISTED = f"""listed AS (
+  SELECT {canon('u')} AS target_url FROM (SELECT unnest({_ENTRY}) AS u FROM maps WHERE seq % 5 > 1))"""
+ORACLES["import_sitemap"] = ctes(
+    RESPONSES, _ALL, IDENTITIES, EVENTS, TEXT_EDGES, SCOPED, _SITEMAPS, _LISTED
+) + f"""
+SELECT url, status FROM events
+UNION ALL
+SELECT p.url, e.status FROM (SELECT DISTINCT url, {canon('url')} AS canonical FROM pages) p
+JOIN events e ON e.url = p.canonical WHERE p.url <> p.canonical
+UNION ALL
+SELECT target_url, 'pending' FROM (SELECT target_url FROM scoped UNION SELECT target_url FROM listed)
+WHERE target_url NOT IN (SELECT url FROM events)"""
+# A later import replaces the whole row: what it does not know of the page is NULL.
+ORACLES["import_schema"] = ctes(RESPONSES, _ALL, _TEXT_RECORDS) + """
+SELECT url, regexp_extract(content, '(?s)<title>(.*?)</title>', 1) AS title, NULL::DOUBLE AS rating,
+  NULL::VARCHAR AS content_type, NULL::VARCHAR AS text
+FROM outcomes WHERE outcome = 'done' AND seq % 2 = 0 AND seq % 3 <> 0
+UNION ALL
+SELECT url, NULL, NULL, content_type, text FROM records
+WHERE seq % 3 = 0 AND seq IN (SELECT seq FROM outcomes WHERE outcome = 'done')"""
+ORACLES["import_write_failed"] = ctes(RESPONSES, _ALL, IDENTITIES, EVENTS, TEXT_EDGES, SCOPED) + """
+SELECT url, CASE status WHEN 'done' THEN 'failed' ELSE status END AS status,
+  CASE status WHEN 'done' THEN 'dataset write failed after retries' ELSE error END AS error,
+  CASE status WHEN 'done' THEN 'dataset_write_failed' ELSE failure_type END AS failure_type
+FROM events
+UNION ALL
+SELECT DISTINCT target_url, 'pending', NULL, NULL FROM scoped WHERE target_url NOT IN (SELECT url FROM events)"""
+ORACLES["import_progress"] = ctes(RESPONSES, _ALL, IDENTITIES, EVENTS, TEXT_EDGES, SCOPED, """counts AS (SELECT count(*) FILTER (outcome IN ('done', 'skipped')) AS matched,
+    count(*) FILTER (outcome = 'failed') AS failed, count(*) FILTER (outcome = 'skipped') AS skipped,
+    count(*) FILTER (outcome = 'done') AS done, count(DISTINCT url) FILTER (outcome = 'done') AS imported
+  FROM outcomes)""") + """
+SELECT s.stage, s.rows, s.imported FROM (SELECT unnest([
+    {'stage': 'loading_frontier', 'rows': 0, 'imported': 0}, {'stage': 'frontier_loaded', 'rows': 0, 'imported': 0},
+    {'stage': 'started', 'rows': 0, 'imported': 0}, {'stage': 'page_scraped', 'rows': matched, 'imported': 0},
+    {'stage': 'request_failed', 'rows': failed, 'imported': 0},
+    {'stage': 'response_filtered', 'rows': skipped, 'imported': 0},
+    {'stage': 'record_extracted', 'rows': done, 'imported': 0},
+    {'stage': 'batch_merged', 'rows': imported, 'imported': imported},
+    {'stage': 'frontier_discovered', 'imported': imported, 'rows': (SELECT count(DISTINCT target_url)
+      FROM scoped WHERE target_url NOT IN (SELECT url FROM events))},
+    {'stage': 'completed', 'rows': 0, 'imported': imported}]) AS s FROM counts)"""

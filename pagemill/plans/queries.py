@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagemill.functions import content as ct
 from pagemill.functions import html, urls
@@ -13,7 +14,7 @@ from pagemill.operators import batches, boilerplate, filters, keyed, links, metr
 from pagemill.operators import frontier as fr
 from pagemill.operators import search, sitemaps
 from pagemill.plans import corpus
-from pagemill.plans.importing import plan_import, response_outcomes
+from pagemill.plans.importing import plan_import, response_outcomes, run_import
 from pagemill.schemas import ImportOptions
 from pagemill.session import new_workspace
 from pagemill.sources.responses import lower_header_names, spread, stream_responses, with_content
@@ -28,7 +29,7 @@ URL_PATTERNS = (r"/en/\d+5", r"\.html$")
 SCOPE = "https://m.ththth.example.net/en"
 PAGE_LIMIT = 120
 SEARCH_TERMS = ("the", "que", "und")
-BATCH_ROWS, BATCH_OCTETS = 4, 12_000
+BATCH_ROWS = 4
 ALL_STEPS = "scripts,css,whitespace,image-data-urls"
 
 
@@ -139,8 +140,13 @@ def text_postings(spark, sf_dir):
 
 @query
 def term_search(spark, sf_dir):
+    """Search in a stored index whose second batch replaces a third of the first."""
     docs = spread(corpus.table(spark, sf_dir, "documents"))
-    return search.term_search(search.text_postings(docs, "doc_id"), SEARCH_TERMS, docs, "doc_id")
+    index = search.TermIndex(spark, new_workspace(spark, "terms"), "doc_id")
+    old = F.when(F.col("doc_id") % 3 == 0, F.lit("the old text und que")).otherwise(F.col("text"))
+    index.append(docs.select("doc_id", old.alias("text")), 0)
+    index.append(docs.where("doc_id % 3 = 0"), 1)
+    return index.search(SEARCH_TERMS)
 
 
 def _text_records(spark, sf_dir):
@@ -157,14 +163,15 @@ def record_bytes(spark, sf_dir):
 
 @query
 def write_batches(spark, sf_dir):
+    """Pages written in files of few rows, and how long the files became."""
     pages = corpus.table(spark, sf_dir, "pages").select(
         urls.url_domain(F.col("url")).alias("host"),
         F.col("page_id").alias("seq"),
         F.octet_length("html").cast("long").alias("record_bytes"),
     )
-    return batches.write_batches(
-        pages, "host", batch_size=BATCH_ROWS, max_batch_bytes=BATCH_OCTETS, chunk_rows=8, hot_rows=16
-    )
+    path = new_workspace(spark, "batches")
+    batches.write_batches(pages, path, "host", BATCH_ROWS)
+    return batches.batch_files(spark.read.parquet(path), "host", "record_bytes")
 
 
 # --- URLs --------------------------------------------------------------------------------
@@ -576,3 +583,69 @@ def stream_resume(spark, sf_dir):
         source = source.option("pathGlobFilter", half).parquet(path)
         start_ingest(spark, source, table, options, available_now=True).awaitTermination()
     return KeyedTable(spark, f"{table}__frontier", "url").current().select("url", "status")
+
+
+_TEXT = {"content_format": "text", "strip": "scripts,image-data-urls", "optimize_every": None}
+
+
+@query
+def import_seeded(spark, sf_dir):
+    """A resumed import over stored URL states; the states afterwards."""
+    table = new_workspace(spark, "seeded")
+    pages = corpus.table(spark, sf_dir, "pages")
+    gone = pages.select(F.concat(urls.url_origin(F.col("url")), F.lit("/gone/"), "page_id").alias("url"))
+    gone = fr.frontier_rows(gone.withColumn("status", F.lit("pending")), corpus.SEED_STAMP)
+    states = KeyedTable(spark, f"{table}__frontier", "url", "status")
+    states.append(corpus.frontier(spark, sf_dir).unionByName(gone))
+    run_import(spark, corpus.responses(spark, sf_dir), table, resume=True, **_TEXT)
+    return states.current()
+
+
+@query
+def import_sitemap(spark, sf_dir):
+    """An import that takes robots files and sitemaps from among the responses; the URL states."""
+    table = new_workspace(spark, "mapped")
+    pages = corpus.table(spark, sf_dir, "pages").select("url").distinct()
+    states = KeyedTable(spark, f"{table}__frontier", "url", "status")
+    states.append(fr.frontier_rows(pages.withColumn("status", F.lit("pending")), corpus.SEED_STAMP))
+    given = corpus.responses(spark, sf_dir).unionByName(corpus.captured_sitemaps(spark, sf_dir))
+    run_import(spark, given, table, resume=True, include_sitemap=True, **_TEXT)
+    return states.current().select("url", "status")
+
+
+@query
+def import_schema(spark, sf_dir):
+    """Two imports into one table: an extractor with a schema of its own, then page records."""
+    table = new_workspace(spark, "evolving")
+    given = corpus.responses(spark, sf_dir)
+
+    def titles(documents: DataFrame) -> DataFrame:
+        title = F.regexp_extract(F.col("body").cast("string"), "(?s)<title>(.*?)</title>", 1)
+        return documents.select("seq", "url", title.alias("title")).where("seq % 2 = 0")
+
+    wanted = T.StructType.fromDDL("url string, title string, rating double")
+    run_import(spark, given, table, extract=titles, schema=wanted, optimize_every=1)
+    run_import(spark, given.where("seq % 3 = 0"), table, **_TEXT)
+    return KeyedTable(spark, table, "url").current().select("url", "title", "rating", "content_type", "text")
+
+
+@query
+def import_write_failed(spark, sf_dir):
+    """An import whose page table storage refuses; the URL states say so."""
+    table = new_workspace(spark, "refused")
+    # A file stands where the table has its batches.
+    block = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/log")
+    block.getFileSystem(spark._jsc.hadoopConfiguration()).create(block).close()
+    run_import(spark, corpus.responses(spark, sf_dir), table, resume=True, write_waits=(0,), **_TEXT)
+    states = KeyedTable(spark, f"{table}__frontier", "url").current()
+    return states.select("url", "status", "error", "failure_type")
+
+
+@query
+def import_progress(spark, sf_dir):
+    """The stages of an import and what each counted."""
+    seen = []
+    run_import(spark, corpus.responses(spark, sf_dir), new_workspace(spark, "watched"), resume=True,
+               progress=seen.append, **_TEXT)
+    rows = [(p.stage, p.rows, p.imported_records) for p in seen]
+    return spark.createDataFrame(rows, "stage string, rows long, imported long")

@@ -122,7 +122,8 @@ class ImportOptions:
     default textual-content filter.  ``batch_size`` and ``frontier_batch_size`` bound the rows of
     a file of the page table and of the URL states; ``max_batch_bytes`` bounds what a micro-batch
     reads (whole files), ``max_batch_delay`` is the time between two.  ``buckets`` counts for
-    tables that the import creates.
+    tables that the import creates; ``write_waits`` are the seconds before each new attempt at a
+    write that storage refused.
     """
 
     domain: str | None = None
@@ -145,6 +146,7 @@ class ImportOptions:
     index_columns: Sequence[str] | None = None
     optimize_every: int | None = 5000
     buckets: int = 16
+    write_waits: Sequence[float] = (1, 2, 4)
     replace_whole_row: bool = False
 
     def __post_init__(self) -> None:

@@ -60,3 +60,26 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def kept_by(df: DataFrame, parts: int, *keys: str) -> DataFrame:
+    """``df`` materialized reliably in ``parts`` partitions by ``keys``, which later plans know of.
+
+    Joins and groupings by the keys then need no exchange of it, nor of a union of such tables.
+    Only a plan fixed in advance remembers its partitioning, so adaptive execution is off for the
+    write.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.adaptive.enabled"
+    before = conf.get(name)
+    conf.set(name, "false")
+    try:
+        return cut_lineage(df.repartition(parts, *keys).sortWithinPartitions(*keys))
+    finally:
+        conf.set(name, before)
+
+
+def drop_checkpoint(df: DataFrame) -> None:
+    """Delete the files of a table that :func:`cut_lineage` or :func:`kept_by` made."""
+    file = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+    if file.isDefined():
+        remove_folder(df.sparkSession, file.get())

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,8 +11,9 @@ from pagemill.operators.records import page_records, pandas_extractor
 from pagemill.plans import importing
 from pagemill.plans.importing import ImportResult, plan_import, run_import
 from pagemill.schemas import FRONTIER_SCHEMA, ImportOptions
-from pagemill.sources.responses import response_documents
+from pagemill.sources.responses import read_responses, response_documents
 from pagemill.sources.tables import KeyedTable
+from pagemill.streaming.ingest import micro_batch_writer
 
 
 def frontier(spark, *rows):
@@ -214,7 +217,6 @@ def test_worklist(spark):
 
 
 def test_refused_write_marks_failed(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(importing, "WRITE_WAITS", (0, 0))
     tries, original = [], KeyedTable.append
 
     def count(self, *given):
@@ -226,7 +228,7 @@ def test_refused_write_marks_failed(spark, tmp_path, monkeypatch):
     blocked = tmp_path / "pages"
     blocked.mkdir()
     (blocked / "log").write_text("a file where the table has its batches")
-    result, found = run(spark, tmp_path, rows, [("https://example.com/", "pending")])
+    result, found = run(spark, tmp_path, rows, [("https://example.com/", "pending")], write_waits=(0, 0))
     assert found == {"https://example.com/": "failed", "https://example.com/b": "skipped"}
     assert (result.imported_records, result.skipped_records) == (0, 2)
     assert [path.endswith("pages") for path in tries if not path.endswith("__frontier")] == [True] * 3
@@ -296,3 +298,139 @@ def test_sitemap_under_any_content_type(spark, tmp_path):
     ]
     _, found = run(spark, tmp_path, rows, url="https://example.com", include_sitemap=True)
     assert found == {"https://example.com/": "done", "https://example.com/a": "pending"}
+
+
+def body_scans(df):
+    """The parquet scans of a plan that read the body of a response."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "ReadSchema" in line and "body" in line]
+
+
+def test_responses_are_read_and_extracted_once(spark, tmp_path, monkeypatch):
+    source = str(tmp_path / "captured")
+    rows = [response(n, f"https://e.com/{n}", f'<title>T{n}</title><a href="/{n + 1}">n</a>') for n in range(1, 7)]
+    responses(spark, *rows).write.parquet(source)
+    calls = spark.sparkContext.accumulator(0)
+
+    def titles(batch):
+        calls.add(len(batch))
+        title = batch.body.str.decode("utf-8").str.extract("<title>(.*?)</title>")[0]
+        return batch.assign(title=title)[["seq", "url", "title"]]
+
+    extract = pandas_extractor(titles, "seq long, url string, title string")
+    plans, original = [], importing.ImportPlan._at_rest
+
+    def watch(self, df, name):
+        plans.append((name, len(body_scans(df))))
+        return original(self, df, name)
+
+    monkeypatch.setattr(importing.ImportPlan, "_at_rest", watch)
+    table = str(tmp_path / "pages")
+    captured = read_responses(spark, source)
+    result = run_import(spark, captured, table, resume=True, extract=extract)
+    assert calls.value == 6 and result == ImportResult(6, 6, 0, 6, 1, 0)
+    assert plans == [("read", 1), ("extracted", 1)]
+    plans.clear()
+    result = run_import(spark, captured, f"{table}2", resume=True)
+    assert plans == [("read", 1)] and result == ImportResult(6, 6, 0, 6, 1, 0)
+
+
+def test_what_was_read_is_stored_narrow_and_removed(spark, tmp_path):
+    rows = [response(1, "https://e.com/1", '<a href="/2">n</a><a href="https://o.org/">o</a>'),
+            response(2, "https://e.com/x", b"x", "image/png"), response(3, "https://e.com/3", status=500)]
+    plan = plan_import(responses(spark, *rows))
+    assert plan.settle() == {"pages_read": 2, "filtered": 1, "failed": 1}
+    assert "Python" not in plan.read._jdf.queryExecution().executedPlan().toString()
+    stored = {r.seq: (r.outcome, r.record and r.record.text, r.links) for r in plan.read.collect()}
+    assert stored == {
+        1: ("done", "[n](/2)[o](https://o.org/)\n", ["https://e.com/2"]), 2: ("skipped", None, None),
+        3: ("failed", None, None),
+    }
+    (folder,) = plan._folders
+    assert os.path.isdir(folder)
+    plan.release()
+    assert not os.path.isdir(folder)
+
+
+def test_the_default_plan_stays_on_the_jvm(spark):
+    plan = plan_import(responses(spark, response(1, "https://e.com/1")))
+    for df in (plan.records, plan.outcomes, plan.discovered, plan.frontier_updates, plan.read):
+        assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_read_of_the_stored_states(spark, tmp_path, monkeypatch):
+    sliced, original = [], KeyedTable.current
+
+    def watch(self, before=None, buckets=None, keys=None, hidden=False):
+        sliced.append((self.path, buckets is not None))
+        return original(self, before, buckets, keys, hidden)
+
+    monkeypatch.setattr(KeyedTable, "current", watch)
+    table = str(tmp_path / "pages")
+    write = micro_batch_writer(spark, table, ImportOptions(buckets=64, optimize_every=None))
+    write(responses(spark, response(1, "https://e.com/1", '<a href="/2">n</a>')), 0)
+    sliced.clear()
+    write(responses(spark, response(2, "https://e.com/2", '<a href="/3">n</a>')), 1)
+    assert sliced == [(f"{table}__frontier", True)]
+    assert states(KeyedTable(spark, f"{table}__frontier", "url").current()) == {
+        "https://e.com/1": "done", "https://e.com/2": "done", "https://e.com/3": "pending"
+    }
+
+
+def test_stages_carry_counters(spark, tmp_path):
+    rows = [response(1, "https://e.com/1", '<a href="/9">n</a>'), response(2, "https://e.com/2", b"", "image/png"),
+            response(3, "https://e.com/3", status=500), response(4, "https://e.com/4", "<p>no title</p>")]
+
+    def linked(documents):
+        return documents.where(F.col("body").cast("string").contains("href")).select("seq", "url")
+
+    seen = []
+    run(spark, tmp_path, rows, extract=linked, progress=seen.append, optimize_every=None)
+    assert [(p.stage, p.rows) for p in seen] == [
+        ("loading_frontier", 0), ("frontier_loaded", 0), ("started", 0), ("page_scraped", 3), ("request_failed", 1),
+        ("response_filtered", 1), ("record_skipped", 1), ("record_extracted", 1), ("batch_merged", 1),
+        ("frontier_discovered", 1), ("completed", 0),
+    ]
+    by_stage = {p.stage: (p.matched_records, p.imported_records, p.skipped_records, p.pending_records) for p in seen}
+    assert by_stage["page_scraped"] == (3, 0, 1, 0) and by_stage["record_extracted"] == (3, 0, 2, 1)
+    assert by_stage["completed"] == (3, 1, 2, 0) and seen[-1].result == ImportResult(3, 1, 2, 3, 1, 1)
+
+
+def test_counts_of_a_run_without_rows(spark, tmp_path):
+    nothing = responses(spark, response(1, "https://e.com/1")).where("false")
+    table = str(tmp_path / "none")
+    assert run_import(spark, nothing, table, resume=True) == ImportResult(0, 0, 0, 0, 0, 0)
+    assert run_import(spark, nothing, f"{table}2", url="e.com") == ImportResult(0, 0, 0, 0, 0, 1)
+
+
+def test_rows_that_differ_only_in_a_map(spark, tmp_path):
+    def twice(documents):
+        kinds = F.explode(F.array(F.lit("b"), F.lit("a"), F.lit("c"))).alias("kind")
+        found = documents.select("seq", "url", kinds)
+        return found.select("seq", "url", F.create_map(F.lit("k"), "kind").alias("m"), F.lit(None).alias("note"))
+
+    rows = [response(1, "https://e.com/a"), response(2, "https://e.com/a")]
+    found = {
+        tuple(plan_import(responses(spark, *rows).repartition(n), ImportOptions(extract=twice)).records.select("seq", "m.k").first())
+        for n in (1, 2, 3)
+    }
+    assert len(found) == 1 and found.pop()[0] == 2
+
+
+def test_an_index_column_the_rows_lack_fails_before_anything_is_written(spark, tmp_path):
+    def keyed(documents):
+        return documents.select("seq", "url", F.lit("x").alias("title"))
+
+    table = str(tmp_path / "pages")
+    with pytest.raises(ValueError, match="'text'"):
+        run(spark, tmp_path, [response(1, "https://e.com/a")], extract=keyed, index_columns=("text",))
+    assert not os.path.exists(table) and not os.path.exists(f"{table}__terms")
+
+
+def test_lagging_spellings_are_raised_when_a_run_touches_their_url(spark, tmp_path):
+    known = [("https://e.com/a", "done"), ("https://e.com/a#x", "pending"), ("https://e.com/b#y", "pending"),
+             ("https://e.com/b", "skipped")]
+    rows = [response(1, "https://e.com/c", '<a href="/a">a</a>')]
+    _, found = run(spark, tmp_path, rows, known)
+    assert found == {"https://e.com/a": "done", "https://e.com/a#x": "done", "https://e.com/b": "skipped",
+                     "https://e.com/b#y": "pending", "https://e.com/c": "done"}

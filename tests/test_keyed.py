@@ -27,7 +27,6 @@ def test_schema_evolution(spark):
     merged = schema.merge_schema(old, new.schema, "url")
     assert merged.names == ["url", "a", "b", "c"]
     assert merged["b"].dataType == T.StringType()
-    assert [f.name for f in schema.missing_columns(old, merged)] == ["b", "c"]
     assert schema.conform(new, merged).first().asDict() == {"url": "u", "a": None, "b": None, "c": "x"}
     with pytest.raises(ValueError, match="primary key"):
         schema.merge_schema(None, new.schema, "id")
@@ -48,38 +47,18 @@ def test_lookup_join_with_hot_key(spark, how):
     assert got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty()
 
 
-def greedy(sizes, rows, octets):
-    marks, batch, count, held = [], 0, 0, 0
-    for size in sizes:
-        if count and octets is not None and held + size > octets:
-            batch, count, held = batch + 1, 0, 0
-        marks.append(batch)
-        count, held = count + 1, held + size
-        if count >= rows:
-            batch, count, held = batch + 1, 0, 0
-    return marks
-
-
-@pytest.mark.parametrize(
-    ("rows", "octets", "span", "hot"),
-    [(4, 50, 8, 20), (100, 60, 16, 0), (3, None, 8, 0), (1, 1, 32, 50), (7, 1000, 4, 0), (9, 90, 8, 10**6)],
-)
-def test_write_batches_equal_one_writer(spark, rows, octets, span, hot):
-    dice = random.Random(rows)
-    data = []
-    for seq in range(400):
-        host = "hot" if dice.random() < 0.5 else dice.choice("abcdef")
-        data.append((host, seq, dice.choice([0, 1, 5, 12, 30, 75])))
-    df = spark.createDataFrame(data, "host string, seq long, record_bytes long")
-    got = batches.write_batches(df, "host", batch_size=rows, max_batch_bytes=octets, chunk_rows=span, hot_rows=hot)
-    by_host = {}
-    for row in sorted(got.collect(), key=lambda r: r.seq):
-        by_host.setdefault(row.host, []).append(row.batch)
-    for host, marks in by_host.items():
-        sizes = [size for name, _, size in data if name == host]
-        assert marks == greedy(sizes, rows, octets), host
-    total = batches.batch_totals(got, "host").agg(F.sum("rows"), F.sum("octets")).first()
-    assert tuple(total) == (400, sum(size for *_, size in data))
+def test_write_batches(spark, tmp_path):
+    dice = random.Random(4)
+    data = [("hot" if dice.random() < 0.4 else dice.choice("abc"), seq, dice.randrange(90)) for seq in range(400)]
+    df = spark.createDataFrame(data, "host string, seq long, octets long").repartition(5)
+    for rows in (1, 7, 1000):
+        path = str(tmp_path / str(rows))
+        batches.write_batches(df, path, "host", rows)
+        stored = spark.read.parquet(path)
+        assert sorted(map(tuple, stored.select("host", "seq", "octets").collect())) == sorted(data)
+        for row in batches.batch_files(stored, "host", "octets").collect():
+            own = [octets for host, _, octets in data if host == row.host]
+            assert (row.rows, row.octets, row.largest) == (len(own), sum(own), min(rows, len(own)))
 
 
 def test_record_bytes(spark):
@@ -90,18 +69,38 @@ def test_record_bytes(spark):
     assert df.select(record_bytes(df)).first()[0] == 6 + 2 + 1 + 8 + 0 + (6 + 1) + 3
 
 
-def test_limit(spark, monkeypatch):
-    values = [i * 70_001 % 900_001 for i in range(500)]
-    pages = spark.createDataFrame([(v,) for v in values], "seq long")
-    for bound in (filters.TOP_K_LIMIT, 0):
-        monkeypatch.setattr(filters, "TOP_K_LIMIT", bound)
-        for limit in (1, 37, 499, 500, 700):
-            got = sorted(r.seq for r in filters.limit_pages(pages, limit).collect())
-            assert got == sorted(values)[:limit]
+@pytest.mark.parametrize(("cuts", "piece"), [(4, 3), (256, 10_000)])
+def test_limit(spark, monkeypatch, cuts, piece):
+    monkeypatch.setattr(filters, "CUTS", cuts)
+    monkeypatch.setattr(filters, "SLICE", piece)
+    values = [i * 70_001 % 900_001 - 500 for i in range(400)] + [(1 << 62) + i * (1 << 40) for i in range(100)]
+    pages = spark.createDataFrame([(v,) for v in values], "seq long").cache()
+    for limit in (1, 37, 399, 450, 500, 700):
+        got = sorted(r.seq for r in filters.limit_pages(pages, limit).collect())
+        assert got == sorted(values)[:limit]
     assert filters.limit_pages(pages, 0).count() == 0
     assert filters.limit_pages(pages, None).count() == 500
 
 
+def test_no_task_of_the_limit_gets_all_values(spark, monkeypatch):
+    monkeypatch.setattr(filters, "SLICE", 100)
+    sorted_sizes = []
+    values = spark.range(200_000).select((F.xxhash64("id")).alias("value"))
+    expected = sorted(r.value for r in values.collect())
+
+    original = type(values).orderBy
+
+    def watch(self, *columns):
+        sorted_sizes.append(self.count())
+        return original(self, *columns)
+
+    monkeypatch.setattr(type(values), "orderBy", watch)
+    for n in (1, 77_777, 200_000):
+        assert filters.nth_value(values, n) == expected[n - 1]
+    assert filters.nth_value(values, 200_001) is None
+    assert max(sorted_sizes) <= 100
+
+
 def test_keyed_table(spark, tmp_path):
     table = KeyedTable(spark, str(tmp_path / "t"), "url", "status", buckets=1)
     assert table.current() is None

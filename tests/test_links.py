@@ -1,4 +1,5 @@
 import random
+import re
 from collections import deque
 
 from pyspark.sql import functions as F
@@ -59,6 +60,39 @@ def test_crawl_depth_equals_search(spark):
     assert shallow == {u: d for u, d in expected.items() if d <= 1}
 
 
+def test_a_level_does_not_move_the_edges(spark, monkeypatch):
+    plans, original = [], links.next_level
+
+    def watch(*given):
+        df = original(*given)
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(links, "next_level", watch)
+    monkeypatch.setattr(links, "_LEVELS_PER_CUT", 2)
+    monkeypatch.setattr(links, "_EDGES_PER_PART", 200)
+    # Far larger than a broadcast takes, so that joins would shuffle.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        chain = spark.range(6).select(F.concat(F.lit("c"), "id").alias("s"), F.concat(F.lit("c"), F.col("id") + 1).alias("t"))
+        hub = spark.range(500).select(F.lit("c2").alias("s"), F.concat(F.lit("leaf"), "id").alias("t"))
+        edges = chain.union(hub).toDF("source_url", "target_url")
+        seeds = spark.createDataFrame([("c0",)], ["url"])
+        depths = {r.url: r.depth for r in links.crawl_depth(edges, seeds).collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert depths == {f"c{i}": i for i in range(7)} | {f"leaf{i}": 3 for i in range(500)}
+    assert len(plans) == 7
+    for plan in plans:
+        # One exchange places the sources of the level, one its targets; neither the edges nor
+        # what is reached has one of its own.
+        exchanges = re.findall(r"Exchange (hashpartitioning\((?:source_url|url)|\w+)", plan)
+        assert sorted(e for e in exchanges if e.startswith("hash")) == [
+            "hashpartitioning(source_url", "hashpartitioning(url"
+        ]
+        assert re.search(r"LeftSemi\n\W*- Scan ExistingRDD\[source_url#\d+,target_url", plan)
+
+
 def test_sitemaps(spark):
     urlset = (
         '<?xml version="1.0"?><urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'
