@@ -53,15 +53,20 @@ def with_stripped(pages: DataFrame, options: ImportOptions) -> DataFrame:
 def record_columns(options: ImportOptions) -> list[Column]:
     """``date, content_type, text, images`` over the columns of :func:`with_stripped`."""
     kind = F.col("content_type")
-    source = F.col("_stripped" if options.order == "before-links" else "content")
     return [
         iso_utc(F.col("fetched_at")).alias("date"),
         kind,
         formatted_text(F.col("_stripped"), kind, options.content_format).alias("text"),
-        page_images(source, kind).alias("images"),
+        images_in_order(options).alias("images"),
     ]
 
 
+def images_in_order(options: ImportOptions) -> Column:
+    """The images of a page, taken before or after the strip steps."""
+    source = F.col("_stripped" if options.order == "before-links" else "content")
+    return page_images(source, F.col("content_type"))
+
+
 def pandas_extractor(
     function: Callable[[pd.DataFrame], pd.DataFrame], schema: T.StructType | str
 ) -> Callable[[DataFrame], DataFrame]:

@@ -11,9 +11,16 @@ from py4j.java_gateway import is_instance_of
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.functions.content import any_charset, is_textual
-from pagemill.functions.urls import canonical_url, seed_url, sitemap_seeds, url_matches
+from pagemill.functions.content import any_charset, is_html, is_textual
+from pagemill.functions.urls import canonical_url, seed_url, sitemap_seeds, url_domain, url_matches
 from pagemill.operators import frontier as fr
+from pagemill.operators.boilerplate import (
+    HostBlocks,
+    joined_text,
+    keys_by_host,
+    text_blocks,
+    without_boilerplate,
+)
 from pagemill.operators.filters import (
     accepted_pages,
     failure_details,
@@ -207,6 +214,9 @@ class ImportPlan:
         columns = ["seq", "request_url", "url", "redirect_urls", "fetched_at", "outcome", *details]
         if options.extract is None:
             columns.append(F.when(F.col("outcome") == "done", record).alias("record"))
+        if options.drop_boilerplate:
+            counted = (F.col("outcome") == "done") & is_html(F.col("content_type"))
+            columns.append(F.when(counted, text_blocks(F.col("_stripped"))).alias("blocks"))
         if self._follow:
             columns.append(F.when(F.col("_linking"), scoped).alias("links"))
         return with_stripped(pages, options).select(*columns)
@@ -231,7 +241,7 @@ class ImportPlan:
         """
         if self.options.extract is None:
             done = self.read.where(F.col("outcome") == "done")
-            rows = done.select("seq", "url", "record.*")
+            rows = done.select("seq", "url", "record.*", *(["blocks"] if self.options.drop_boilerplate else []))
         else:
             # Parquet has no column without a type.
             typed = [
@@ -265,7 +275,7 @@ class ImportPlan:
     @cached_property
     def outcomes(self) -> DataFrame:
         """One row per response with its ``outcome``; without a row from its page it is skipped."""
-        judged = self.read.drop("record", "links")
+        judged = self.read.drop("record", "links", "blocks")
         if self.options.extract is None and self.options.primary_key in ("url", "seq"):
             return judged
         return _dropped_without_row(judged, self._extracted)
@@ -481,6 +491,7 @@ def commit(
     options: ImportOptions,
     counters: Counters | None = None,
     index: TermIndex | None = None,
+    blocks: HostBlocks | None = None,
 ) -> bool:
     """Read the responses once, write page rows, then the URL states that depend on them.
 
@@ -489,12 +500,12 @@ def commit(
     """
     counters = counters or Counters(lambda _: None)
     try:
-        return _commit(plan, pages, frontier, batch_id, options, counters, index)
+        return _commit(plan, pages, frontier, batch_id, options, counters, index, blocks)
     finally:
         plan.release()
 
 
-def _commit(plan, pages, frontier, batch_id, options, counters, index) -> bool:
+def _commit(plan, pages, frontier, batch_id, options, counters, index, blocks) -> bool:
     _check_index(plan, options)
     counts = plan.settle()
     counters.matched, counters.failed = counts["pages_read"], counts["failed"]
@@ -512,7 +523,10 @@ def _commit(plan, pages, frontier, batch_id, options, counters, index) -> bool:
     counters.pending = counters.matched - counters.skipped
     if counters.pending:
         counters.stage("record_extracted", counters.pending)
-    records = _conformed(plan.records, options)
+    records = plan.records
+    if blocks is not None:
+        records = _without_boilerplate(records, blocks, batch_id)
+    records = _conformed(records, options)
     stored = _write_pages(pages, records, batch_id, options.write_waits)
     written = stored is not None
     if written and index is not None:
@@ -545,6 +559,17 @@ def _commit(plan, pages, frontier, batch_id, options, counters, index) -> bool:
     return written
 
 
+def _without_boilerplate(records: DataFrame, blocks: HostBlocks, batch_id: int) -> DataFrame:
+    """Page rows whose text has lost the blocks that their host repeats."""
+    pages = records.withColumn("host", url_domain(F.col("url")))
+    counted = pages.where(F.col("blocks").isNotNull()).select("host", "blocks")
+    cleaned = without_boilerplate(pages, keys_by_host(blocks.add(counted, batch_id)))
+    text = F.when(F.col("blocks").isNull(), F.col("text")).otherwise(
+        joined_text(F.col("blocks"), F.col("_kept"))
+    )
+    return cleaned.withColumn("text", text).drop("host", "blocks", "_kept")
+
+
 def _conformed(records: DataFrame, options: ImportOptions) -> DataFrame:
     if options.primary_key != "seq":
         records = records.drop("seq")
@@ -635,7 +660,10 @@ def run_import(
     )
     batch_id = max(pages.next_batch(), states.next_batch() if states else 0)
     index = TermIndex(spark, f"{table}__terms", options.primary_key) if options.indexed else None
-    written = commit(plan, pages, states, batch_id, options, counters, index)
+    blocks = HostBlocks(spark, f"{table}__blocks") if options.drop_boilerplate else None
+    written = commit(plan, pages, states, batch_id, options, counters, index, blocks)
+    if blocks is not None:
+        blocks.fold(options.optimize_every)
     for stored in filter(None, (pages if written else None, states)):
         if stored.maybe_compact(options.optimize_every, lambda: counters.stage("optimizing")):
             counters.stage("optimized")

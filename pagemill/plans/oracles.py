@@ -630,3 +630,25 @@ SELECT s.stage, s.rows, s.imported FROM (SELECT unnest([
     {'stage': 'frontier_discovered', 'imported': imported, 'rows': (SELECT count(DISTINCT target_url)
       FROM scoped WHERE target_url NOT IN (SELECT url FROM events))},
     {'stage': 'completed', 'rows': 0, 'imported': imported}]) AS s FROM counts)"""
+
+# Pages of the second import count those of the first too; texts of the first stay as they were.
+_STORED_BLOCKS = f"""cleanable AS (
+  SELECT seq, url, {host('url')} AS host, seq % 2 AS half, {is_html('content_type')} AS html, stripped,
+    list_filter(list_transform(string_split_regex({hidden('stripped', "''")}, {q(_BREAK)}),
+      lambda b: {text_of('b')}), lambda t: t <> '') AS blocks
+  FROM (SELECT *, {_STRIPPED_HTML} AS stripped FROM responses WHERE {GOOD} AND {is_text('content_type')})),
+placed AS (SELECT seq, host, half, unnest(blocks) AS block, unnest(range(1, len(blocks) + 1)) AS position
+  FROM cleanable WHERE html),
+totals AS (SELECT h.half, host, count(*) AS host_pages
+  FROM (SELECT unnest([0, 1]) AS half) h JOIN cleanable c ON c.half <= h.half AND c.html GROUP BY h.half, host),
+repeated AS (SELECT half, host, block FROM (
+    SELECT h.half, host, block, count(DISTINCT seq) AS pages
+    FROM (SELECT unnest([0, 1]) AS half) h JOIN placed p ON p.half <= h.half GROUP BY h.half, host, block)
+  JOIN totals USING (half, host) WHERE pages > 2 AND pages * 100 > host_pages * 10)"""
+ORACLES["import_cleaned"] = ctes(RESPONSES, _STORED_BLOCKS) + """
+SELECT c.url, CASE WHEN NOT c.html THEN c.stripped
+  ELSE coalesce(k.kept, array_to_string(c.blocks, chr(10))) END AS text
+FROM cleanable c LEFT JOIN (
+  SELECT seq, string_agg(block, chr(10) ORDER BY position) AS kept FROM placed p
+  WHERE NOT EXISTS (SELECT 1 FROM repeated r WHERE r.half = p.half AND r.host = p.host AND r.block = p.block)
+  GROUP BY seq) k ON k.seq = c.seq"""

@@ -344,13 +344,13 @@ def strip_html(spark, sf_dir):
 
 @query
 def images_raw_vs_stripped(spark, sf_dir):
-    pages = corpus.contents(spark, sf_dir)
-
-    def sources(clean: str):
-        rows = records.page_records(pages, ImportOptions(content_format="html", clean=clean))
-        return rows.select("seq", F.array_join("images.src", " ").alias(clean.replace("-", "_")))
-
-    return sources("before-links").join(sources("after-links"), "seq")
+    """Both orders side by side in one pass over the pages."""
+    orders = ("before-links", "after-links")
+    pages = records.with_stripped(corpus.contents(spark, sf_dir), ImportOptions(clean=orders[0]))
+    found = {
+        order.replace("-", "_"): records.images_in_order(ImportOptions(clean=order)) for order in orders
+    }
+    return pages.select("seq", *(F.array_join(images["src"], " ").alias(name) for name, images in found.items()))
 
 
 @query
@@ -649,3 +649,13 @@ def import_progress(spark, sf_dir):
                progress=seen.append, **_TEXT)
     rows = [(p.stage, p.rows, p.imported_records) for p in seen]
     return spark.createDataFrame(rows, "stage string, rows long, imported long")
+
+
+@query
+def import_cleaned(spark, sf_dir):
+    """Two imports whose texts lose the blocks that all pages of their host so far repeat."""
+    table = new_workspace(spark, "cleaned")
+    given = corpus.responses(spark, sf_dir)
+    for half in (0, 1):
+        run_import(spark, given.where(F.col("seq") % 2 == half), table, drop_boilerplate=True, **_TEXT)
+    return KeyedTable(spark, table, "url").current().select("url", "text")

@@ -123,7 +123,8 @@ class ImportOptions:
     a file of the page table and of the URL states; ``max_batch_bytes`` bounds what a micro-batch
     reads (whole files), ``max_batch_delay`` is the time between two.  ``buckets`` counts for
     tables that the import creates; ``write_waits`` are the seconds before each new attempt at a
-    write that storage refused.
+    write that storage refused.  ``drop_boilerplate`` leaves out of the text of HTML pages the
+    blocks that many pages of their host repeat, by the counts of all imports into the table.
     """
 
     domain: str | None = None
@@ -145,6 +146,7 @@ class ImportOptions:
     retry_failed: bool = False
     index_columns: Sequence[str] | None = None
     optimize_every: int | None = 5000
+    drop_boilerplate: bool = False
     buckets: int = 16
     write_waits: Sequence[float] = (1, 2, 4)
     replace_whole_row: bool = False
@@ -160,6 +162,8 @@ class ImportOptions:
             raise ValueError("primary_key must be non-empty")
         if self.limit is not None and self.limit < 0:
             raise ValueError("limit must be greater than or equal to zero")
+        if self.drop_boilerplate and (self.content_format != "text" or self.extract is not None):
+            raise ValueError("drop_boilerplate needs content_format 'text' and no extract")
         _one_word("content_format", self.content_format)
         self.kinds, self.order, self.indexed  # noqa: B018 - raise on bad words
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from pagemill.operators.boilerplate import HostBlocks
 from pagemill.operators.search import TermIndex
 from pagemill.plans.importing import (
     Counters,
@@ -37,13 +38,16 @@ def micro_batch_writer(
     pages = page_table_at(spark, table, options)
     states = frontier_table_at(spark, f"{table}__frontier", options)
     index = TermIndex(spark, f"{table}__terms", options.primary_key) if options.indexed else None
+    blocks = HostBlocks(spark, f"{table}__blocks") if options.drop_boilerplate else None
 
     def write(batch: DataFrame, epoch: int) -> None:
         batch_id = first_batch + epoch
         counters = Counters(progress or (lambda _: None))
         counters.stage("started")
         plan = plan_import(batch, options, StoredFrontier(states, batch_id))
-        written = commit(plan, pages, states, batch_id, options, counters, index)
+        written = commit(plan, pages, states, batch_id, options, counters, index, blocks)
+        if blocks is not None:
+            blocks.fold(options.optimize_every)
         for stored in (pages, states) if written else (states,):
             if stored.maybe_compact(options.optimize_every, lambda: counters.stage("optimizing")):
                 counters.stage("optimized")

@@ -434,3 +434,19 @@ def test_lagging_spellings_are_raised_when_a_run_touches_their_url(spark, tmp_pa
     _, found = run(spark, tmp_path, rows, known)
     assert found == {"https://e.com/a": "done", "https://e.com/a#x": "done", "https://e.com/b": "skipped",
                      "https://e.com/b#y": "pending", "https://e.com/c": "done"}
+
+
+def test_boilerplate_goes_from_the_text_of_an_import(spark, tmp_path):
+    def pages_of(numbers):
+        return [response(n, f"https://e.com/{n}", f"<p>Menu</p><p>Story {n}</p>") for n in numbers]
+
+    plain = response(90, "https://e.com/plain", "Menu", "text/plain")
+    table = str(tmp_path / "pages")
+    options = {"content_format": "text", "drop_boilerplate": True}
+    run_import(spark, responses(spark, *pages_of([1, 2])), table, **options)
+    run_import(spark, responses(spark, *pages_of([3, 4]), plain, response(91, "https://e.com/m", "<p>Menu</p>")), table, **options)
+    assert {r.url[14:]: r.text for r in KeyedTable(spark, table, "url").current().collect()} == {
+        "1": "Menu\nStory 1", "2": "Menu\nStory 2", "3": "Story 3", "4": "Story 4", "plain": "Menu", "m": "Menu"
+    }
+    with pytest.raises(ValueError, match="drop_boilerplate"):
+        ImportOptions(drop_boilerplate=True)

@@ -170,3 +170,40 @@ def test_search(spark, tmp_path):
     search.write_postings(postings, path)
     top = search.term_search(spark.read.parquet(path), ["Red", "fox"], docs, "id", top=1).collect()
     assert [(r.id, r.matched, r.score) for r in top] == [(1, 2, 2.60269)]
+
+
+def test_no_text_is_moved_to_clean_pages(spark, tmp_path, monkeypatch):
+    rows = [response(i, f"https://h/{i}", f"<p>Share this</p><p>Story {i}</p>", HTML) for i in range(9)]
+    path = str(tmp_path / "captured")
+    responses(spark, *rows).write.parquet(path)
+    captured = with_content(response_documents(spark.read.parquet(path)))
+    blocks = boilerplate.page_blocks(captured)
+    counts = boilerplate.key_counts(blocks)._jdf.queryExecution().executedPlan().toString()
+    for line in re.findall(r"Exchange hashpartitioning\([^)]*\)", counts):
+        assert "block_key" in line
+    cleaned = boilerplate.clean_pages(blocks)
+    plan = cleaned._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    assert not re.search(r"Exchange (hash|range|round|single)", plan) and "BroadcastHashJoin" in plan
+    expected = {i: (f"Story {i}", 1) for i in range(9)}
+    assert {r.seq: (r.text, r.dropped) for r in cleaned.collect()} == expected
+    # Beyond the bound of the broadcast the same comes of a join by host.
+    monkeypatch.setattr(boilerplate, "BROADCAST_BYTES", 0)
+    assert {r.seq: (r.text, r.dropped) for r in boilerplate.clean_pages(blocks).collect()} == expected
+
+
+def test_block_counts_of_several_imports(spark, tmp_path):
+    def blocks(numbers, *repeated):
+        rows = [("h", [f"own {n}", *repeated]) for n in numbers] + [(None, ["lost"])]
+        return spark.createDataFrame(rows, "host string, blocks array<string>")
+
+    stored = boilerplate.HostBlocks(spark, str(tmp_path / "b"))
+    assert stored.add(blocks(range(2), "menu"), 0).count() == 0
+    for _ in range(2):
+        # The batch is replayed: it counts once.
+        found = stored.add(blocks(range(2, 4), "menu", "late"), 1).collect()
+        assert [r.pages for r in found] == [4]
+    found = stored.add(blocks(range(4, 40), "late"), 2).collect()
+    assert [r.pages for r in found] == [38]
+    stored.fold(1)
+    assert [r.pages for r in stored.add(blocks([40], "late"), 3).collect()] == [39]
