@@ -128,7 +128,7 @@ def _measured(text: str | None, removed) -> tuple:
             np.add.at(cover, again + WINDOW, -1)
             repeated = int(np.count_nonzero(np.cumsum(cover)[:-1]))
     failed = n_words < MIN_WORDS or 100 * repeated > MAX_REPEAT * n_words
-    left, rest = n_words, text
+    left, rest = n_words, None
     if removed is not None and len(removed) and n_words:
         line, hashes, count = line_hashes(raw)
         gone = np.isin(hashes.view(np.int64), np.asarray(removed, dtype=np.int64))
@@ -141,6 +141,7 @@ def _measured(text: str | None, removed) -> tuple:
     return n_words, points, symbols, doubled, repeated, failed, kept, left, rest
 
 
+#: ``rest`` is the text without the removed lines, or NULL if it lost none.
 _MEASURES = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
     "base_failed boolean, kept boolean, n_left long, rest string"
@@ -152,14 +153,25 @@ def _measure(text: pd.Series, removed: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([_measured(*pair) for pair in zip(text, removed)], columns=_NAMES)
 
 
-def _with_measures(docs, source_column, text_column, share, floor) -> DataFrame:
-    """(``doc``, ``m``): every row of ``docs`` with its measures."""
+def _measure_only(text: pd.Series, removed: pd.Series) -> pd.DataFrame:
+    return _measure(text, removed).drop(columns=["rest"])
+
+
+def _with_measures(docs, source_column, text_column, share, floor, rest=True) -> DataFrame:
+    """(``doc``, ``m``): every row of ``docs`` with its measures, and with what is left of its text.
+
+    The function is called nondeterministic so that a filter and a projection over its result do
+    not each run it.
+    """
     lines = furniture(docs, source_column, text_column, share, floor)
     # A host's list is a few hundred longs at most: see furniture.
     joined = boxed(docs).join(
         narrow_side(lines, 4096), F.col("doc")[source_column].eqNullSafe(F.col("host")), "left"
     )
-    measure = F.pandas_udf(_measure, _MEASURES)
+    if rest:
+        measure = F.pandas_udf(_measure, _MEASURES).asNondeterministic()
+    else:
+        measure = F.pandas_udf(_measure_only, _MEASURES.removesuffix(", rest string")).asNondeterministic()
     return joined.select("doc", measure(F.col("doc")[text_column], F.col("lines")).alias("m"))
 
 
@@ -179,8 +191,8 @@ def rate(
     plain = docs.select(
         F.col(id_column).alias("doc_id"), F.col(source_column).alias("source"), F.col(text_column).alias("text")
     )
-    rated = _with_measures(plain, "source", "text", share, floor)
-    return rated.select("doc.doc_id", "m.*").drop("rest")
+    rated = _with_measures(plain, "source", "text", share, floor, rest=False)
+    return rated.select("doc.doc_id", "m.*")
 
 
 def keep_good(
@@ -192,12 +204,14 @@ def keep_good(
 ) -> DataFrame:
     """``docs`` without rejected documents and without the removed lines of the others.
 
-    A column ``n_chars`` follows the text.  Other columns stay as they are.
+    A column ``n_chars`` follows the text.  Other columns stay as they are, whatever their names;
+    a null text is rejected, repeated rows are each judged, a null source is a host of its own, and
+    an empty table gives an empty result.
     """
     rated = _with_measures(docs, source_column, text_column, share, floor).where("m.kept")
-    fields = {name: F.col("doc")[name] for name in docs.columns} | {text_column: F.col("m.rest")}
+    rest = F.coalesce("m.rest", F.col("doc")[text_column])
+    fields = {name: F.col("doc")[name] for name in docs.columns} | {text_column: rest}
     if "n_chars" in fields:
-        cut = F.col("m.n_left") < F.col("m.n_words")
         length = F.char_length("m.rest").cast(dict(docs.dtypes)["n_chars"])
-        fields["n_chars"] = F.when(cut, length).otherwise(fields["n_chars"])
+        fields["n_chars"] = F.coalesce(length, fields["n_chars"])
     return rated.select(*(field.alias(name) for name, field in fields.items()))
