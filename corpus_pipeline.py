@@ -45,7 +45,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("best_fit_packing", best_fit_packing),
 ]
 
-#: The last stage tokenizes, which SQL cannot say; tests hold the run against a brute-force one.
+#: The last stage tokenizes, which SQL cannot say; tests hold the run against brute force.
 ORACLE_SQL: str | None = None
 
 
