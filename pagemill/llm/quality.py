@@ -19,7 +19,7 @@ from pagemill.llm.common import (
 )
 
 #: A line above this share of a host's distinct texts is removed ...
-LINE_SHARE = 0.10
+LINE_SHARE = 0.05
 #: ... if more than so many texts hold it, as a share says nothing about a small host.
 LINE_FLOOR = 10
 #: Fewer words than this fail the base rules, and are too few to be left of a document.

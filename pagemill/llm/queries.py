@@ -172,7 +172,7 @@ hosts as (select source, count(distinct text) as texts from docs group by source
 frequent as (
   select s.source, s.plain from spoken s join hosts h on s.source is not distinct from h.source
   group by s.source, s.plain, h.texts
-  having count(distinct s.text) > 10 and count(distinct s.text) > 0.1::double * h.texts),
+  having count(distinct s.text) > 10 and count(distinct s.text) > 0.05::double * h.texts),
 per_line as (
   select s.id, count(*) - count(distinct s.line) as n_dup_lines,
          sum(case when f.plain is null then 0 else n_line_words end) as gone

@@ -87,6 +87,17 @@ def test_rules_equal_sql(make):
     assert got == by_sql("op4_line_frequency_rules", rows)
 
 
+@pytest.mark.parametrize("held, goes", [(13, True), (14, True), (11, False), (10, False)])
+def test_a_line_of_a_twentieth_of_the_texts_goes(make, held, goes):
+    line = "Read more about our partners here"
+    own = [" ".join(f"w{i}x{k}" for k in range(30)) for i in range(230)]
+    rows = [(i, f"{line}\n{text}" if i < held else text, "en", "h", 1) for i, text in enumerate(own)]
+    out = quality.keep_good(make(rows)).collect()
+    assert len(out) == 230 and sum(line in r.text for r in out) == (0 if goes else held)
+    rated = {r.doc_id: r.n_left for r in quality.rate(make(rows)).collect()}
+    assert rated[0] == (30 if goes else 36) and rated[229] == 30
+
+
 def test_furniture_goes_and_depleted_documents_too(make, empty):
     line = "All rights reserved by the publisher of this page and its many owners for all time to come here and there"
     clean = [(i, f"{line}\n" + " ".join(f"w{i}x{k}" for k in range(40)), "en", "h", 1) for i in range(40)]
