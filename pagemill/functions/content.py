@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.functions.binding import over
+from pagemill.functions.binding import literal, over
 
 #: White space as Unicode defines it, spelled out so that every regex dialect agrees.
 WHITESPACE = (
@@ -136,22 +136,26 @@ def decode_body(body: Column, kind: Column) -> Column:
     without a byte order mark are little-endian.
     """
     label = F.lower(charset(kind))
-    plain = F.regexp_replace(label, "[-_ ]", "")
-    table = F.create_map(*(F.lit(part) for pair in _JAVA_NAMES.items() for part in pair))
-    marked = F.hex(F.substring(body, 1, 4))
-    wide = F.when(
-        plain == "utf16", F.when(marked.rlike("^(FEFF|FFFE)"), F.lit("UTF-16")).otherwise("UTF-16LE")
-    ).when(plain == "utf32", F.when(marked.rlike("^(0000FEFF|FFFE0000)$"), F.lit("UTF-32")).otherwise("UTF-32LE"))
-    java = F.coalesce(wide, F.try_element_at(table, plain))
     utf8 = F.make_valid_utf8(body.cast("string"))
+    other = F.struct(body.alias("body"), F.regexp_replace(label, "[-_ ]", "").alias("name"))
+    # Bound to a name, the rare part stays out of the generated code of the common one.
     return (
-        F.when(label.isin(*_UTF8_NAMES), utf8)
+        F.when(~F.lower(kind).contains("charset") | label.isin(*_UTF8_NAMES), utf8)
         .when(label.isin(*_LATIN1_NAMES), F.decode(body, "ISO-8859-1"))
-        .when(java.isNotNull(), F.call_function("decode", body, java))
-        .otherwise(utf8)
+        .otherwise(F.coalesce(over(other, "b", _OTHER_CHARSETS), utf8))
     )
 
 
+_JAVA_TABLE = "map(" + ", ".join(literal(part) for pair in _JAVA_NAMES.items() for part in pair) + ")"
+_OTHER_CHARSETS = f"""CASE
+    WHEN b.name = 'utf16' THEN
+        decode(b.body, if(hex(substring(b.body, 1, 2)) IN ('FEFF', 'FFFE'), 'UTF-16', 'UTF-16LE'))
+    WHEN b.name = 'utf32' THEN
+        decode(b.body, if(hex(substring(b.body, 1, 4)) IN ('0000FEFF', 'FFFE0000'), 'UTF-32', 'UTF-32LE'))
+    WHEN try_element_at({_JAVA_TABLE}, b.name) IS NOT NULL THEN
+        decode(b.body, try_element_at({_JAVA_TABLE}, b.name)) END"""
+
+
 def strip_scripts(text: Column) -> Column:
     return _remove(text, _SCRIPT)
 

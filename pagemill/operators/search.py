@@ -26,9 +26,12 @@ def text_postings(df: DataFrame, key: str, text: str = "text") -> DataFrame:
 
 
 def write_postings(postings: DataFrame, path: str) -> None:
-    """Store postings sorted by term, so that a lookup reads few row groups."""
+    """Store postings in files sorted by term, so that a lookup reads few row groups.
+
+    A term is in one file, or in several if adaptive execution cuts a frequent one.
+    """
     (
-        postings.repartitionByRange("term", postings.columns[1])
+        postings.hint("rebalance", "term")
         .sortWithinPartitions("term")
         .write.mode("overwrite")
         .option("compression", "zstd")
@@ -74,7 +77,7 @@ class TermIndex:
     """
 
     MERGE_SHARE = 0.5
-    MERGE_BATCHES = 32
+    MERGE_BATCHES = 16
 
     def __init__(self, spark: SparkSession, path: str, key: str, text: str = "text") -> None:
         self.spark, self.path, self.key, self.text = spark, path.rstrip("/"), key, text
@@ -93,11 +96,16 @@ class TermIndex:
         postings = text_postings(rows, self.key, self.text).select("term", self.key, "tf", batch)
         write_postings(postings, f"{self.path}/postings/batch_id={batch_id}")
         self._keys.append(rows.select(self.key, batch), batch_id)
+        if self._due():
+            self.merge()
+
+    def _due(self) -> bool:
         upto, batches = self._folders()
+        if upto is None or len(batches) >= self.MERGE_BATCHES:
+            return len(batches) >= self.MERGE_BATCHES
+        # Rows are counted from file footers.
         later = self._read([f"postings/batch_id={n}" for n in batches]).count() if batches else 0
-        base = self._read([f"merged/upto={upto}"]).count() if upto is not None else 0
-        if len(batches) > 1 and (later >= self.MERGE_SHARE * base or len(batches) >= self.MERGE_BATCHES):
-            self.merge()
+        return later >= self.MERGE_SHARE * self._read([f"merged/upto={upto}"]).count()
 
     def _read(self, folders: list[str]) -> DataFrame:
         schema = self.spark.read.parquet(f"{self.path}/{folders[0]}").schema

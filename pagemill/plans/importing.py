@@ -201,25 +201,33 @@ class ImportPlan:
         ``record`` is the default record of pages that are done, ``links`` the targets in scope
         of every page that was read, also of those the filters leave out.
         """
+        return self._read(record=self.options.extract is None, links=self._follow)
+
+    def _read(self, record: bool = False, links: bool = False) -> DataFrame:
         options = self.options
         outcome, details = _judged(options)
         linking = ~has_failed() & is_textual(F.col("content_type"))
         # Every column of a response may be asked for by the response filter, so it is judged first.
-        judged = self._documents.withColumn("outcome", outcome).withColumn("_linking", linking)
-        recorded = F.col("outcome") == "done" if options.extract is None else F.lit(False)
-        pages = with_content(judged, F.col("_linking") | recorded)
-        record = F.struct(*record_columns(options))
-        links = page_links(F.col("url"), F.col("content"))
-        scoped = scoped_links(links, F.col("url"), options.url_filter, options.domain)
+        pages = self._documents.withColumn("outcome", outcome).withColumn("_linking", linking)
         columns = ["seq", "request_url", "url", "redirect_urls", "fetched_at", "outcome", *details]
-        if options.extract is None:
-            columns.append(F.when(F.col("outcome") == "done", record).alias("record"))
-        if options.drop_boilerplate:
-            counted = (F.col("outcome") == "done") & is_html(F.col("content_type"))
-            columns.append(F.when(counted, text_blocks(F.col("_stripped"))).alias("blocks"))
-        if self._follow:
+        done = F.col("outcome") == "done"
+        if record or links:
+            pages = with_content(pages, F.col("_linking") | done)
+        if record:
+            pages = with_stripped(pages, options)
+            columns.append(F.when(done, F.struct(*record_columns(options))).alias("record"))
+            if options.drop_boilerplate:
+                counted = done & is_html(F.col("content_type"))
+                columns.append(F.when(counted, text_blocks(F.col("_stripped"))).alias("blocks"))
+        if links:
+            found = page_links(F.col("url"), F.col("content"))
+            scoped = scoped_links(found, F.col("url"), options.url_filter, options.domain)
             columns.append(F.when(F.col("_linking"), scoped).alias("links"))
-        return with_stripped(pages, options).select(*columns)
+        return pages.select(*columns)
+
+    def _part(self, **parts: bool) -> DataFrame:
+        """What was read if it is at rest, else a pass over the responses for these parts alone."""
+        return self.read if "read" in self.__dict__ else self._read(**parts)
 
     def _extraction(self) -> DataFrame:
         """The rows of the caller's extractor, still to be computed."""
@@ -240,7 +248,7 @@ class ImportPlan:
         An extractor runs once: its rows are stored with a number each.
         """
         if self.options.extract is None:
-            done = self.read.where(F.col("outcome") == "done")
+            done = self._part(record=True).where(F.col("outcome") == "done")
             rows = done.select("seq", "url", "record.*", *(["blocks"] if self.options.drop_boilerplate else []))
         else:
             # Parquet has no column without a type.
@@ -270,12 +278,14 @@ class ImportPlan:
     @cached_property
     def imported(self) -> DataFrame:
         """One row per stored key."""
+        if self.options.extract is None and self.options.primary_key == "url":
+            return self._part().where("outcome = 'done' AND url IS NOT NULL").select("url").distinct()
         return self._extracted.select(self.options.primary_key).distinct()
 
     @cached_property
     def outcomes(self) -> DataFrame:
         """One row per response with its ``outcome``; without a row from its page it is skipped."""
-        judged = self.read.drop("record", "links", "blocks")
+        judged = self._part().drop("record", "links", "blocks")
         if self.options.extract is None and self.options.primary_key in ("url", "seq"):
             return judged
         return _dropped_without_row(judged, self._extracted)
@@ -285,7 +295,10 @@ class ImportPlan:
         """``seq, source_url, target_url`` of the links in scope, those of sitemaps too."""
         if not self._follow:
             return self._spark.createDataFrame([], "seq long, source_url string, target_url string")
-        edges = self.read.select("seq", F.col("url").alias("source_url"), F.explode("links").alias("target_url"))
+        # Of a plain column the optimizer would ask whether it is empty, and build the links twice.
+        links = F.coalesce("links", F.array().cast("array<string>"))
+        pages = self._part(links=True)
+        edges = pages.select("seq", F.col("url").alias("source_url"), F.explode(links).alias("target_url"))
         if self._listed is not None:
             edges = edges.unionByName(self._listed.select(*edges.columns))
         return edges
@@ -334,7 +347,7 @@ class ImportPlan:
         """One row per URL whose state this run changes."""
         at = self._at
         if at is None:
-            at = self.read.agg(iso_utc(F.max("fetched_at"))).scalar()
+            at = self._part().agg(iso_utc(F.max("fetched_at"))).scalar()
         events = fr.outcome_events(self.outcomes.where(F.col("outcome").isNotNull()))
         settled = fr.expand_aliases(events, self._known)
         pending = fr.discovered_rows(self.discovered, at)
