@@ -375,8 +375,10 @@ class ImportPlan:
         # Spellings that lag behind the state their canonical URL had before.
         raised = fr.reconcile_aliases(self._known).withColumnRenamed("status", "_status")
         lagging = self._known.join(raised, "url").join(updates.select("url"), "url", "left_anti")
-        lagging = lagging.withColumns({"status": F.col("_status"), "updated_at": F.lit(at) if isinstance(at, str) else at})
-        return updates.unionByName(lagging.select(*FRONTIER_SCHEMA.names))
+        # Only the spelling's discovery is kept; what went wrong with it before is settled.
+        settled_rows = lagging.select("url", "source_url", F.col("_status").alias("status"))
+        found = fr.carry_discovery(self._known, fr.frontier_rows(settled_rows, at))
+        return updates.unionByName(found.select(*FRONTIER_SCHEMA.names))
 
     def summary(self) -> DataFrame:
         return import_summary(self.outcomes, self.imported, self.discovered, self.unresolved)
@@ -560,7 +562,7 @@ def _commit(plan, pages, frontier, batch_id, options, counters, index, blocks) -
     settled = Observation()
     # New links have a source; a waiting start URL has none.
     discovered = (F.col("status") == "pending") & F.col("source_url").isNotNull()
-    unanswered = F.col("failure_type") == fr.UNANSWERED_TYPE
+    unanswered = (F.col("status") == "failed") & (F.col("failure_type") == fr.UNANSWERED_TYPE)
     frontier.append(
         updates, batch_id, settled,
         {"discovered": F.count_if(discovered), "unanswered": F.count_if(unanswered)},

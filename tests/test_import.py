@@ -428,10 +428,15 @@ def test_an_index_column_the_rows_lack_fails_before_anything_is_written(spark, t
 
 
 def test_lagging_spellings_are_raised_when_a_run_touches_their_url(spark, tmp_path):
-    known = [("https://e.com/a", "done"), ("https://e.com/a#x", "pending"), ("https://e.com/b#y", "pending"),
-             ("https://e.com/b", "skipped")]
+    known = [("https://e.com/a", "done"), ("https://e.com/b#y", "pending"), ("https://e.com/b", "skipped")]
     rows = [response(1, "https://e.com/c", '<a href="/a">a</a>')]
-    _, found = run(spark, tmp_path, rows, known)
+    table = KeyedTable(spark, str(tmp_path / "pages__frontier"), "url")
+    failed = frontier(spark, ("https://e.com/a#x", "failed")).withColumn("failure_type", F.lit(fr.UNANSWERED_TYPE))
+    table.append(frontier(spark, *known).unionByName(failed))
+    result, found = run(spark, tmp_path, rows)
+    assert result.failed_urls == 0
+    raised = table.current().where("url = 'https://e.com/a#x'").first()
+    assert (raised.failure_type, raised.discovered_at) == (None, "2025-01-01T00:00:00Z")
     assert found == {"https://e.com/a": "done", "https://e.com/a#x": "done", "https://e.com/b": "skipped",
                      "https://e.com/b#y": "pending", "https://e.com/c": "done"}
 
