@@ -31,6 +31,9 @@ from pagemill.llm.components import connected_components
 SHINGLE = 5
 #: Counters of shingle hashes: a fixed table, 1 MB as longs, summed over all documents.
 COUNTERS = 1 << 17
+#: Cells of a band whose sets are small.  Their shingles then hardly ever meet in a cell, so that
+#: more than D cells hold one and no document is filed under an empty cell, which all sets share.
+SMALL_SET, SMALL_CELLS = 512, 2048
 #: Rounds against leaders before the remaining pairs are compared.
 LEADER_ROUNDS = 2
 #: 64-bit words of the parity sketch that is checked before sets are compared.
@@ -51,7 +54,10 @@ def _bands() -> list[tuple[int, int, int, int, int]]:
         high = max(low, low * 25 // 16)
         partner = high * 5 // 4
         bound = (high + partner) // 9
-        bands.append((low, high, partner, bound, bound + 1 + (bound + 1) // 2))
+        cells = bound + 1 + (bound + 1) // 2
+        if bound and low < SMALL_SET:
+            cells = SMALL_CELLS
+        bands.append((low, high, partner, bound, cells))
         low = high + 1
     return bands
 
@@ -162,7 +168,7 @@ def parity_words(shingles: np.ndarray) -> np.ndarray:
 
 def _sets(batches):
     for batch in batches:
-        keys, sizes, words, blobs = [], [], [], []
+        ids, keys, sizes, words, blobs = batch.column(0), [], [], [], []
         for (text,) in rows_of([batch], "text"):
             shingles = shingle_hashes(text, SHINGLE)
             keys.append(set_key(shingles) if len(shingles) else None)
@@ -171,14 +177,14 @@ def _sets(batches):
             blobs.append(packed(shingles))
         sketch = np.array(words, dtype=np.int64).reshape(len(words), SKETCH_WORDS)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.int64()), pa.array(sizes, pa.int64())]
+            [ids, pa.array(keys, pa.int64()), pa.array(sizes, pa.int64())]
             + [pa.array(sketch[:, i]) for i in range(SKETCH_WORDS)]
             + [pa.array(blobs, pa.binary())],
-            names=["key", "n", *(f"w{i}" for i in range(SKETCH_WORDS)), "shingles"],
+            names=["doc_id", "key", "n", *(f"w{i}" for i in range(SKETCH_WORDS)), "shingles"],
         )
 
 
-_SETS = "key long, n long, " + ", ".join(f"w{i} long" for i in range(SKETCH_WORDS)) + ", shingles binary"
+_SETS = "doc_id long, key long, n long, " + ", ".join(f"w{i} long" for i in range(SKETCH_WORDS)) + ", shingles binary"
 
 
 def packed(shingles: np.ndarray) -> bytes:
@@ -288,6 +294,31 @@ def _open_cells(shared: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
+def _sets_of(texts: DataFrame, rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The sets of ``keys`` with sizes and sketches, each from one document that is read again.
+
+    That is the document with the smallest id.  Only where several rows have that id and the
+    same set do sets move to be told apart.
+    """
+    own = rows.join(narrow_side(keys, 32), "key", "left_semi").groupBy("key", "doc_id")
+    least = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("id"), F.col("count")))
+    chosen = settled(
+        own.count().groupBy("key").agg(least.alias("least"))
+        .select("key", "least.id", (F.col("least.count") > 1).alias("repeated"))
+    )
+    ids = settled(chosen.select("id").distinct())
+    again = texts.join(narrow_side(ids, 32), texts["doc_id"].eqNullSafe(ids["id"]), "left_semi")
+    read = again.mapInArrow(_sets, _SETS).alias("a")
+    read = read.join(
+        narrow_side(chosen, 40).alias("b"),
+        (F.col("a.key") == F.col("b.key")) & F.col("a.doc_id").eqNullSafe(F.col("b.id")),
+    ).select("a.*", "b.repeated")
+    read = cut_lineage(read)
+    once = cut_lineage(read.where("repeated").dropDuplicates(["key"]))
+    sets = read.where("not repeated").unionByName(once).drop("doc_id", "repeated")
+    return sets.coalesce(max(1, -(-sets.count() // 2_000)))
+
+
 def link_classes(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 ) -> tuple[DataFrame, DataFrame]:
@@ -305,18 +336,7 @@ def link_classes(
     shared = settled(_shared_cells(cells), 1_000_000)
     keys = settled(shared.select("key").distinct())
     labels = keys.select("key", F.col("key").alias("root"))
-    # One document of every such set is read again for its shingles.
-    chosen = rows.join(narrow_side(keys, 32), "key", "left_semi").groupBy("key")
-    chosen = settled(chosen.agg(F.min("doc_id").alias("id")).select("id").distinct())
-    again = texts.join(
-        narrow_side(chosen, 32), texts["doc_id"].eqNullSafe(chosen["id"]), "left_semi"
-    )
-    sets = settled(
-        again.select("text").mapInArrow(_sets, _SETS)
-        .join(narrow_side(keys, 32), "key", "left_semi")
-        .dropDuplicates(["key"]),
-        rows=2_000,
-    )
+    sets = _sets_of(texts, rows, keys)
     links, apart = None, labels
     for turn in range(1, LEADER_ROUNDS + 1):
         pairs = shared.where("key != leader" + (" and root != leader_root" if turn > 1 else ""))

@@ -166,3 +166,25 @@ def test_components(spark):
     alone = {a for a, b in pairs if a == b and list(want.values()).count(a) == 1}
     assert got == {x: r for x, r in want.items() if x not in alone}
     assert connected_components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def test_ids_that_repeat_with_other_texts(make):
+    """A repeated id may stand for several sets, some of which other ids hold too."""
+    a, b = near_rows(2, 3, seed=11)[:2], near_rows(2, 3, seed=12)[3:5]
+    rows = [(1, *a[0][1:]), (1, *a[0][1:]), (1, *b[0][1:]), (0, *b[0][1:]), (2, *a[1][1:]), (3, *b[1][1:]),
+            (None, *a[0][1:]), (None, *a[0][1:])]
+    got = jaccard.near_duplicates(make(rows)).collect()
+    assert sorted((none_low(r[0]), r[1], none_low(r[2])) for r in got) == brute_components(rows)
+
+
+def test_unrelated_short_texts_share_no_cell():
+    """Random sets of any small size are filed under cells of their own, not under empty ones."""
+    rng = np.random.default_rng(8)
+    counters = np.ones(jaccard.COUNTERS, dtype=np.int64)
+    for size in (4, 5, 6, 8, 12, 20, 40, 64, 100, 200, 400):
+        held = defaultdict(int)
+        for _ in range(20_000 if size == 12 else 2_000):
+            shingles = np.sort(rng.integers(0, 1 << 63, size, dtype=np.uint64) << np.uint64(1))
+            for token in jaccard.rarest_cells(shingles, jaccard._bands_of(size)[-1], counters).tolist():
+                held[token] += 1
+        assert max(held.values()) <= 2, size
