@@ -17,6 +17,8 @@ does not rule out.  So a large group of near copies costs its size and no link i
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -31,9 +33,8 @@ from pagemill.llm.components import connected_components
 SHINGLE = 5
 #: Counters of shingle hashes: a fixed table, 1 MB as longs, summed over all documents.
 COUNTERS = 1 << 17
-#: Cells of a band whose sets are small.  Their shingles then hardly ever meet in a cell, so that
-#: more than D cells hold one and no document is filed under an empty cell, which all sets share.
-SMALL_SET, SMALL_CELLS = 512, 2048
+#: Cells of a band whose sets are small.
+SMALL_SET, SMALL_CELLS = 48, 2048
 #: Rounds against leaders before the remaining pairs are compared.
 LEADER_ROUNDS = 2
 #: 64-bit words of the parity sketch that is checked before sets are compared.
@@ -43,6 +44,26 @@ _SEEN = 1 << 20
 _U64 = np.uint64
 
 
+def _cells_of(low: int, bound: int) -> int:
+    """So many cells that sets of ``low`` shingles or more fill over ``bound`` of them.
+
+    Otherwise they would be filed under empty cells, which unrelated sets share.  The number of
+    empty cells has to stay six standard deviations below what may be empty; more cells than
+    that would hold one shingle each, which is more often shared than the parity of some.
+    """
+    cells = bound + 1 + (bound + 1) // 2
+    if bound and low < SMALL_SET:
+        return SMALL_CELLS
+    while bound:
+        load = low / cells
+        empty = math.exp(-load)
+        spread = math.sqrt(cells * empty * (1 - (1 + load) * empty))
+        if cells * (1 - empty) - (bound + 1) >= 6 * spread:
+            break
+        cells += -(-cells // 16)
+    return cells
+
+
 def _bands() -> list[tuple[int, int, int, int, int]]:
     """(smallest, largest, largest partner, bound D, cells) of each size band.
 
@@ -54,10 +75,7 @@ def _bands() -> list[tuple[int, int, int, int, int]]:
         high = max(low, low * 25 // 16)
         partner = high * 5 // 4
         bound = (high + partner) // 9
-        cells = bound + 1 + (bound + 1) // 2
-        if bound and low < SMALL_SET:
-            cells = SMALL_CELLS
-        bands.append((low, high, partner, bound, cells))
+        bands.append((low, high, partner, bound, _cells_of(low, bound)))
         low = high + 1
     return bands
 
