@@ -39,6 +39,9 @@ SMALL_SET, SMALL_CELLS = 48, 2048
 LEADER_ROUNDS = 2
 #: 64-bit words of the parity sketch that is checked before sets are compared.
 SKETCH_WORDS = 8
+#: Words of the wider sketch that is compared before whole sets move, for pairs the first lets by.
+#: It tells sets of thousands of shingles apart, whose bits fill the first.
+WIDE_WORDS = 64
 #: Distinct sets a task remembers in order to emit the cells of a copy once.
 _SEEN = 1 << 20
 _U64 = np.uint64
@@ -177,32 +180,33 @@ def _token_batch(tokens, keys):
     )
 
 
-def parity_words(shingles: np.ndarray) -> np.ndarray:
-    """``SKETCH_WORDS`` words of parity bits; differing bits bound the symmetric difference."""
-    bits = (shingles >> _U64(7)) % _U64(64 * SKETCH_WORDS)
-    odd = np.bincount(bits.astype(np.int64), minlength=64 * SKETCH_WORDS) & 1
+def parity_words(shingles: np.ndarray, words: int = SKETCH_WORDS) -> np.ndarray:
+    """``words`` words of parity bits; differing bits bound the symmetric difference."""
+    bits = (shingles >> _U64(7)) % _U64(64 * words)
+    odd = np.bincount(bits.astype(np.int64), minlength=64 * words) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
 def _sets(batches):
     for batch in batches:
-        ids, keys, sizes, words, blobs = batch.column(0), [], [], [], []
+        ids, keys, sizes, words, wide, blobs = batch.column(0), [], [], [], [], []
         for (text,) in rows_of([batch], "text"):
             shingles = shingle_hashes(text, SHINGLE)
             keys.append(set_key(shingles) if len(shingles) else None)
             sizes.append(len(shingles))
             words.append(parity_words(shingles))
+            wide.append(parity_words(shingles, WIDE_WORDS))
             blobs.append(packed(shingles))
         sketch = np.array(words, dtype=np.int64).reshape(len(words), SKETCH_WORDS)
         yield pa.RecordBatch.from_arrays(
             [ids, pa.array(keys, pa.int64()), pa.array(sizes, pa.int64())]
             + [pa.array(sketch[:, i]) for i in range(SKETCH_WORDS)]
-            + [pa.array(blobs, pa.binary())],
-            names=["doc_id", "key", "n", *(f"w{i}" for i in range(SKETCH_WORDS)), "shingles"],
+            + [pa.array(wide, pa.list_(pa.int64())), pa.array(blobs, pa.binary())],
+            names=["doc_id", "key", "n", *(f"w{i}" for i in range(SKETCH_WORDS)), "wide", "shingles"],
         )
 
 
-_SETS = "doc_id long, key long, n long, " + ", ".join(f"w{i} long" for i in range(SKETCH_WORDS)) + ", shingles binary"
+_SETS = "doc_id long, key long, n long, " + ", ".join(f"w{i} long" for i in range(SKETCH_WORDS)) + ", wide array<long>, shingles binary"
 
 
 def packed(shingles: np.ndarray) -> bytes:
@@ -241,10 +245,18 @@ def _plausible(left: str, right: str) -> str:
     return f"{sizes} and 9 * ({differ}) <= {left}.n + {right}.n"
 
 
+def _with_both(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` with the rows of ``v`` as ``a`` and of ``u`` as ``b``; sets in no pair stay."""
+    left = sets.join(narrow_side(pairs.select(F.col("v").alias("key")).distinct(), 16), "key", "left_semi")
+    right = sets.join(narrow_side(pairs.select(F.col("u").alias("key")).distinct(), 16), "key", "left_semi")
+    joined = pairs.join(left.alias("a"), F.col("v") == F.col("a.key"))
+    return joined.join(right.alias("b"), F.col("u") == F.col("b.key"))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The (``u``, ``v``) of ``pairs`` whose sets are similar.
 
-    Sizes and sketches rule pairs out first, so only the sets of likely ones move.
+    Sizes, sketches and then wider sketches rule pairs out, so only the sets of likely ones move.
     """
     words = ["n", *(f"w{i}" for i in range(SKETCH_WORDS))]
     narrow = narrow_side(sets.select("key", *words), 96)
@@ -255,15 +267,16 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         .select("u", "v")
         .distinct()
     )
-    blobs = sets.select("key", "shingles")
-    left = blobs.join(narrow_side(possible.select(F.col("v").alias("key")).distinct(), 16), "key", "left_semi")
-    right = blobs.join(narrow_side(possible.select(F.col("u").alias("key")).distinct(), 16), "key", "left_semi")
-    whole = (
-        possible.join(left.alias("a"), F.col("v") == F.col("a.key"))
-        .select("u", "v", F.col("shingles").alias("left"))
-        .join(right.alias("b"), F.col("u") == F.col("b.key"))
-        .select("u", "v", "left", F.col("b.shingles").alias("right"))
+    unlike = F.aggregate(
+        F.zip_with("a.wide", "b.wide", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x
+    )
+    likely = settled(
+        _with_both(possible, sets.select("key", "n", "wide"))
+        .where(9 * unlike <= F.col("a.n") + F.col("b.n"))
+        .select("u", "v")
     )
+    whole = _with_both(likely, sets.select("key", "shingles"))
+    whole = whole.select("u", "v", F.col("a.shingles").alias("left"), F.col("b.shingles").alias("right"))
     return whole.mapInArrow(_links(80), "u long, v long")
 
 
@@ -369,7 +382,7 @@ def link_classes(
             shared = shared.withColumn("best", first).select(
                 "token", "key", "root", F.col("best.key").alias("leader"), F.col("best.root").alias("leader_root")
             )
-    sketched = shared.join(sets.drop("shingles"), "key")
+    sketched = shared.join(sets.drop("wide", "shingles"), "key")
     rest = (
         sketched.alias("a")
         .join(
