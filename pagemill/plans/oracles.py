@@ -308,7 +308,24 @@ SELECT seq, (3 + 4 + 12 + 4 + 6 + strlen(url) + strlen(date) + strlen(content_ty
   + coalesce(list_sum(list_transform(images,
       lambda i: 6 + strlen(i.src) + coalesce(strlen(i.alt), 0))), 0))::BIGINT AS record_bytes
 FROM records"""
-ORACLES["write_batches"] = f"""
+ORACLES["write_batches"] = ctes(
+    f"""sized AS (
+  SELECT {host('url')} AS host, page_id AS seq, strlen(html) AS size,
+    row_number() OVER (PARTITION BY {host('url')} ORDER BY page_id, strlen(html)) AS n FROM pages)""",
+    f"""walk AS (
+  SELECT host, seq, size, n, 0::BIGINT AS batch, 1 AS held_rows, size AS held FROM sized WHERE n = 1
+  UNION ALL
+  SELECT s.host, s.seq, s.size, s.n,
+    CASE WHEN w.held_rows >= {queries.BATCH_ROWS} OR w.held + s.size > {queries.BATCH_OCTETS}
+      THEN w.batch + 1 ELSE w.batch END,
+    CASE WHEN w.held_rows >= {queries.BATCH_ROWS} OR w.held + s.size > {queries.BATCH_OCTETS}
+      THEN 1 ELSE w.held_rows + 1 END,
+    CASE WHEN w.held_rows >= {queries.BATCH_ROWS} OR w.held + s.size > {queries.BATCH_OCTETS}
+      THEN s.size ELSE w.held + s.size END
+  FROM walk w JOIN sized s ON s.host IS NOT DISTINCT FROM w.host AND s.n = w.n + 1)""",
+    recursive=True,
+) + "SELECT host, seq, size::BIGINT AS record_bytes, batch FROM walk"
+ORACLES["batch_files"] = f"""
 SELECT {host('url')} AS host, count(*) AS rows, least(count(*), {queries.BATCH_ROWS}) AS largest,
   sum(strlen(html))::BIGINT AS record_bytes
 FROM pages GROUP BY 1"""

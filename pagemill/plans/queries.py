@@ -29,7 +29,7 @@ URL_PATTERNS = (r"/en/\d+5", r"\.html$")
 SCOPE = "https://m.ththth.example.net/en"
 PAGE_LIMIT = 120
 SEARCH_TERMS = ("the", "que", "und")
-BATCH_ROWS = 4
+BATCH_ROWS, BATCH_OCTETS = 4, 12_000
 ALL_STEPS = "scripts,css,whitespace,image-data-urls"
 
 
@@ -161,17 +161,33 @@ def record_bytes(spark, sf_dir):
     return rows.select("seq", records.record_bytes(rows, columns).alias("record_bytes"))
 
 
-@query
-def write_batches(spark, sf_dir):
-    """Pages written in files of few rows, and how long the files became."""
-    pages = corpus.table(spark, sf_dir, "pages").select(
+def _sized_pages(spark, sf_dir):
+    return corpus.table(spark, sf_dir, "pages").select(
         urls.url_domain(F.col("url")).alias("host"),
         F.col("page_id").alias("seq"),
         F.octet_length("html").cast("long").alias("record_bytes"),
     )
+
+
+@query
+def write_batches(spark, sf_dir):
+    """The batch in which one writer a host would write each page, as read from files of few rows."""
+    numbered = batches.number_batches(
+        _sized_pages(spark, sf_dir), "host", "seq", "record_bytes", BATCH_ROWS, BATCH_OCTETS
+    )
+    path = new_workspace(spark, "batches")
+    batches.write_batches(numbered, path, "host", BATCH_ROWS)
+    stored = spark.read.schema(numbered.schema).parquet(path)
+    return stored.select("host", "seq", "record_bytes", "batch")
+
+
+@query
+def batch_files(spark, sf_dir):
+    """Pages written in files of few rows, and how long the files became."""
     path = new_workspace(spark, "batches")
+    pages = _sized_pages(spark, sf_dir)
     batches.write_batches(pages, path, "host", BATCH_ROWS)
-    return batches.batch_files(spark.read.parquet(path), "host", "record_bytes")
+    return batches.batch_files(spark.read.schema(pages.schema).parquet(path), "host", "record_bytes")
 
 
 # --- URLs --------------------------------------------------------------------------------

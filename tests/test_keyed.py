@@ -129,3 +129,54 @@ def test_keyed_table(spark, tmp_path):
     assert table.bases() == [2, 3] and table.batches() == [3] and read() == kept
     plan = table.current().where("status = 'z'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(status" in plan
+
+
+def one_writer(sizes, rows, octets):
+    marks, batch, count, held = [], 0, 0, 0
+    for size in sizes:
+        over = octets is not None and held is not None and size is not None and held + size > octets
+        if count and over:
+            batch, count, held = batch + 1, 0, 0
+        marks.append(batch)
+        count, held = count + 1, None if held is None or size is None else held + size
+        if count >= rows:
+            batch, count, held = batch + 1, 0, 0
+    return marks
+
+
+@pytest.mark.parametrize(
+    ("rows", "octets", "part"),
+    [(4, 50, 8), (100, 60, 16), (3, None, 8), (1, 1, 32), (7, 1000, 4), (9, 90, 40), (100, 90, 1), (5, 40, 10**6)],
+)
+def test_number_batches_equal_one_writer(spark, rows, octets, part):
+    dice = random.Random(rows)
+    sizes = [0, 1, 5, 12, 30, 75] + ([None] if rows in (4, 9, 5, 100) else [])
+    data = [
+        ("hot" if dice.random() < 0.5 else dice.choice(["a", "b", "c", "d", "", None]), seq, dice.choice(sizes))
+        for seq in range(300)
+    ]
+    df = spark.createDataFrame(data, "host string, seq long, record_bytes long").repartition(3)
+    got = batches.number_batches(df, "host", "seq", "record_bytes", rows, octets, part_rows=part)
+    assert got.columns == ["host", "seq", "record_bytes", "batch"]
+    found = sorted(map(tuple, got.collect()), key=lambda r: r[1])
+    assert [row[:3] for row in found] == data
+    for host in {row[0] for row in data}:
+        want = one_writer([size for name, _, size in data if name == host], rows, octets)
+        assert [row[3] for row in found if row[0] == host] == want, host
+
+
+def test_batches_go_on_from_one_arrow_batch_to_the_next(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "7")
+    try:
+        dice = random.Random(1)
+        data = [(dice.choice(["a", "b", "hot", "hot"]), seq, dice.choice([5, 12, 30, None])) for seq in range(200)]
+        df = spark.createDataFrame(data, "host string, seq long, record_bytes long")
+        got = batches.number_batches(df, "host", "seq", "record_bytes", 10, 70, part_rows=50).collect()
+    finally:
+        spark.conf.set(name, before)
+    assert len(got) == 200
+    for host in ("a", "b", "hot"):
+        want = one_writer([size for name, _, size in data if name == host], 10, 70)
+        assert [row.batch for row in sorted(got, key=lambda r: r.seq) if row.host == host] == want
