@@ -24,6 +24,8 @@ from pagemill.session import cut_lineage, drop_checkpoint
 
 #: Rows of a part, on average.
 PART_ROWS = 1 << 16
+#: Files that a task writes, on average.
+TASK_FILES = 500
 #: What stands for bytes that are not known, or not bounded.
 UNKNOWN, UNBOUNDED = -1, 1 << 62
 #: The number, rows and bytes of the open batch.
@@ -223,12 +225,17 @@ def number_batches(
 def write_batches(df: DataFrame, path: str, group: str, rows_per_file: int, order: str = "seq") -> None:
     """Write the rows under ``path``, a folder per value of ``group``, in files of bounded length.
 
-    Rows of a group are sorted by ``order`` within a task.  A group that is large in bytes is cut
-    over several tasks by adaptive execution, and small ones share a task.
+    The files of a group follow each other by ``order``, and all but the last are full.  They are
+    dealt over tasks by group and number, so that a task writes about ``TASK_FILES`` of them
+    whatever the groups are like.
     """
+    numbered = number_batches(df, group, order, None, rows_per_file, None, name="_file")
+    sizes = numbered.groupBy(group).agg((F.max("_file") + 1).alias("files"))
+    files = sizes.agg(F.sum("files").alias("files")).first().files or 0
     (
-        df.hint("rebalance", group)
-        .sortWithinPartitions(group, order)
+        numbered.repartition(max(1, -(-files // TASK_FILES)), group, "_file")
+        .sortWithinPartitions(group, "_file", F.col(order).asc_nulls_last())
+        .drop("_file")
         .write.mode("overwrite")
         .option("maxRecordsPerFile", rows_per_file)
         .option("compression", "zstd")

@@ -180,3 +180,17 @@ def test_batches_go_on_from_one_arrow_batch_to_the_next(spark):
     for host in ("a", "b", "hot"):
         want = one_writer([size for name, _, size in data if name == host], 10, 70)
         assert [row.batch for row in sorted(got, key=lambda r: r.seq) if row.host == host] == want
+
+
+def test_one_host_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    """The files of a host follow each other by ``seq`` and are dealt over tasks."""
+    monkeypatch.setattr(batches, "TASK_FILES", 5)
+    path = str(tmp_path / "files")
+    df = spark.range(203).selectExpr("'one' AS host", "(id * 37) % 203 AS seq")
+    batches.write_batches(df, path, "host", 4)
+    files = {}
+    for row in spark.read.parquet(path).select("seq", "_metadata.file_name").collect():
+        files.setdefault(row.file_name, []).append(row.seq)
+    assert sorted(map(sorted, files.values())) == [list(range(a, min(a + 4, 203))) for a in range(0, 203, 4)]
+    tasks = [name.split("-")[1] for name in files]
+    assert len(set(tasks)) > 5 and max(map(tasks.count, tasks)) < 25
