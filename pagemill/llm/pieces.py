@@ -3,32 +3,37 @@
 The pre-tokenizer's pattern starts anew at a single space, and around a single newline, between
 two characters that are not white space, whatever else stands around them.  So a text may be cut
 there, and what is worked out for a piece (its ids, its number of tokens) serves every text that
-holds the piece.  Texts are cut a megabyte at a time by Arrow, which also numbers the distinct
-pieces and looks them up in a memo of bounded size; only those it lacks become Python strings.
+holds the piece.  Texts are cut some megabytes at a time by Arrow, which also numbers the distinct
+pieces; each of them is looked up once a window in a memo of bounded size.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Characters of text that are cut together.
-WINDOW = 1 << 20
+WINDOW = 2 << 20
 #: Pieces that a worker remembers, and bytes of them and their values; beyond either it forgets
-#: all but the half that it used last.
-MEMO_PIECES = 600_000
-MEMO_BYTES = 48 << 20
+#: all but the half that most windows used, of which older ones count less.
+MEMO_PIECES = 150_000
+MEMO_BYTES = 24 << 20
+#: Bytes of a remembered piece besides its text and values: a string, its place and numbers.
+PIECE_BYTES = 144
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
-def _may_join(piece: str) -> bool:
-    """Whether a piece after a space, or one that a newline begins, may be worked out by itself."""
-    inside = piece[1:] if piece[:1] == "\n" else piece
-    return bool(inside) and inside == inside.strip()
+def _may_join(pieces: list[str]) -> list[bool]:
+    """Whether each piece after a space, or begun by a newline, may be worked out by itself.
+
+    None of ``pieces`` is empty.
+    """
+    return [p.strip() == (p if p[0] != "\n" else p[1:] or None) for p in pieces]
 
 
 class PieceTable:
@@ -36,62 +41,71 @@ class PieceTable:
 
     ``wholes(texts)`` works texts out in full, ``join(values)`` puts values of parts together, and
     ``many(texts)`` gives the values of pieces with their space or newline before them, as one
-    array and the length of each.  The memo is columns, not objects: some thirty bytes a piece.
+    array and the length of each.  ``memo`` times the bounds above are remembered.  The memo finds a piece's number in a dictionary, so a window
+    costs by its own pieces, not by all that are known; what stands for a piece is in columns.
     """
 
-    def __init__(self, wholes: Callable, join: Callable, many: Callable | None = None):
+    def __init__(self, wholes: Callable, join: Callable, many: Callable | None = None, memo: int = 1):
         self._wholes, self._join, self._many = wholes, join, many or self._one_by_one
         self._blank = join([])
         # The empty piece is always known and stands for nothing.
-        self._keys = pa.array([""], pa.string())
+        self._index, self._memo = {"": 0}, memo
+        self._octets = PIECE_BYTES
         self._flat, self._starts = self._blank, np.zeros(1, dtype=np.int64)
         self._sizes = np.array([len(self._blank)], dtype=np.int64)
-        self._unsafe, self._used = np.ones(1, dtype=bool), np.zeros(1, dtype=np.int64)
-        self._now = 0
+        self._unsafe, self._used = np.ones(1, dtype=bool), np.zeros(1)
 
     def _one_by_one(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         values = self._wholes(texts)
         return np.concatenate([self._blank[:0], *values]), np.array(list(map(len, values)), dtype=np.int64)
 
+    @property
+    def _keys(self) -> pa.Array:
+        """The pieces known, by number."""
+        return pa.array(list(self._index), pa.string())
+
     def _forget(self) -> None:
-        """Keep the pieces used last, at most half of either bound."""
-        cost = pc.binary_length(self._keys).to_numpy() + 4 * self._sizes
+        """Keep the pieces used most, at most half of either bound."""
+        keys = list(self._index)
+        cost = np.fromiter(map(len, keys), dtype=np.int64, count=len(keys)) + PIECE_BYTES + 4 * self._sizes
         order = np.argsort(-self._used[1:], kind="stable") + 1
-        order = order[np.cumsum(cost[order]) <= MEMO_BYTES // 2][: MEMO_PIECES // 2]
+        order = order[np.cumsum(cost[order]) <= self._memo * MEMO_BYTES // 2][: self._memo * MEMO_PIECES // 2]
         kept = np.concatenate(([0], np.sort(order)))
         sizes = self._sizes[kept]
         ends = np.cumsum(sizes)
         inside = np.repeat(self._starts[kept] - (ends - sizes), sizes)
         self._flat = self._flat[inside + np.arange(len(inside))]
-        self._keys, self._starts, self._sizes = self._keys.take(pa.array(kept)), ends - sizes, sizes
-        self._unsafe, self._used = self._unsafe[kept], self._used[kept]
-
-    def _learn(self, fresh: pa.Array) -> None:
-        pieces = fresh.to_pylist()
-        safe = np.fromiter(map(_may_join, pieces), dtype=bool, count=len(pieces))
-        texts = [p if p[0] == "\n" else " " + p for p, ok in zip(pieces, safe.tolist()) if ok]
+        self._index = {keys[old]: new for new, old in enumerate(kept.tolist())}
+        self._octets = int(cost[kept].sum())
+        self._starts, self._sizes = ends - sizes, sizes
+        self._unsafe, self._used = self._unsafe[kept], self._used[kept] / 2
+
+    def _learn(self, pieces: list[str]) -> None:
+        joins = _may_join(pieces)
+        safe = np.array(joins, dtype=bool)
+        texts = [p if p[0] == "\n" else " " + p for p, ok in zip(pieces, joins) if ok]
         flat, lengths = self._many(texts)
         starts, sizes = np.zeros(len(pieces), dtype=np.int64), np.full(len(pieces), len(self._blank))
         starts[safe], sizes[safe] = len(self._flat) + np.cumsum(lengths) - lengths, lengths
-        self._keys = pa.concat_arrays([self._keys, fresh])
+        self._index.update(zip(pieces, range(len(self._index), len(self._index) + len(pieces))))
+        self._octets += sum(map(len, pieces)) + PIECE_BYTES * len(pieces) + 4 * int(sizes.sum())
         self._flat = np.concatenate((self._flat, flat))
         self._starts = np.concatenate((self._starts, starts))
         self._sizes = np.concatenate((self._sizes, sizes))
         self._unsafe = np.concatenate((self._unsafe, ~safe))
-        self._used = np.concatenate((self._used, np.zeros(len(pieces), dtype=np.int64)))
+        self._used = np.concatenate((self._used, np.zeros(len(pieces))))
 
     def _places(self, pieces: pa.Array) -> np.ndarray:
         """Where the memo holds each of these distinct pieces; those not known are worked out."""
-        if len(self._keys) > MEMO_PIECES or self._keys.nbytes + self._flat.nbytes > MEMO_BYTES:
+        if len(self._index) > self._memo * MEMO_PIECES or self._octets > self._memo * MEMO_BYTES:
             self._forget()
-        found = pc.index_in(pieces, value_set=self._keys)
-        new = found.is_null()
-        places, unknown = found.fill_null(0).to_numpy().astype(np.int64), new.to_numpy(zero_copy_only=False)
-        if unknown.any():
-            places[unknown] = np.arange(int(unknown.sum())) + len(self._keys)
-            self._learn(pieces.filter(new))
-        self._now += 1
-        self._used[places] = self._now
+        texts = pieces.to_numpy(zero_copy_only=False).tolist()
+        places = np.fromiter(map(self._index.get, texts, repeat(-1)), dtype=np.int64, count=len(texts))
+        unknown = np.flatnonzero(places < 0)
+        if len(unknown):
+            places[unknown] = np.arange(len(unknown)) + len(self._index)
+            self._learn([texts[i] for i in unknown.tolist()])
+        self._used[places] += 1
         return places
 
     def careful(self, text: str, goes_on: bool = False):
@@ -125,7 +139,7 @@ class PieceTable:
             number[begins[i] : begins[i + 1]] = 0
         extra = self._wholes([heads[i] for i in alone]) if alone else []
         extra += [self.careful(texts[i], goes_on[i]) for i in hard]
-        number[begins[[*alone, *hard]]] = len(self._keys) + np.arange(len(extra))
+        number[begins[[*alone, *hard]]] = len(self._sizes) + np.arange(len(extra))
         lengths = np.array(list(map(len, extra)), dtype=np.int64)
         flat = np.concatenate((self._flat, *extra))
         starts = np.concatenate((self._starts, len(self._flat) + np.cumsum(lengths) - lengths))

@@ -24,6 +24,8 @@ from pagemill.llm.tokens import tokenizer_path
 LIMIT = 512
 #: Words kept in each half of a worker's memo.
 MEMO_WORDS = 300_000
+#: Size of the memo of pieces.
+MEMO = 4
 
 
 def _byte_symbols() -> list[str]:
@@ -58,7 +60,7 @@ class Counter:
         self._special = re.compile("|".join(longest_first)) if specials else None
         self._pattern = regex.compile(public_tokenizers.PATTERN)
         self._words = Memo(self.merge, MEMO_WORDS)
-        self._table = PieceTable(self._counts, lambda counts: np.array([np.sum(counts)], dtype=np.uint32))
+        self._table = PieceTable(self._counts, lambda counts: np.array([np.sum(counts)], dtype=np.uint32), memo=MEMO)
 
     def merge(self, word: str) -> int:
         """Tokens of one piece of the pre-tokenizer."""

@@ -6,13 +6,14 @@ import os
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 
 from pagemill.llm.pieces import PieceTable, windows
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 #: Pieces that one call of the library is given.
-TOGETHER = 512
+TOGETHER = 64
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -26,14 +27,17 @@ def _joined(values: list[np.ndarray]) -> np.ndarray:
 
 
 class Encoder:
-    """The library's ids of whole texts, as little-endian unsigned 32-bit bytes."""
+    """The library's ids of whole texts, as little-endian unsigned 32-bit bytes.
 
-    def __init__(self, path: str):
+    ``memo`` is the size of its memo, the usual one being 1.
+    """
+
+    def __init__(self, path: str, memo: int = 1):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._table = PieceTable(self.wholes, _joined, self.pieces)
+        self._table = PieceTable(self.wholes, _joined, self.pieces, memo)
         vocabulary = self._tokenizer.get_vocab()
         # In a byte-level vocabulary a space is written as Ġ and a newline as Ċ.
         self._begins = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
@@ -46,19 +50,20 @@ class Encoder:
 
     def pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Of pieces that begin with their only space or newline and may be put together."""
-        flat, sizes = [np.zeros(0, dtype=np.uint32)], [np.zeros(0, dtype=np.int64)]
-        for first in range(0, len(texts), TOGETHER):
-            group = texts[first : first + TOGETHER]
-            ids = self.wholes(["".join(group)])[0]
-            begins = np.flatnonzero(self._begins[ids])
-            if len(begins) == len(group):
-                flat.append(ids)
-                sizes.append(np.diff(begins, append=len(ids)))
-            else:
-                alone = self.wholes(group)
-                flat += alone
-                sizes.append(np.array(list(map(len, alone))))
-        return np.concatenate(flat), np.concatenate(sizes)
+        groups = [texts[first : first + TOGETHER] for first in range(0, len(texts), TOGETHER)]
+        found = [self.wholes(["".join(group)])[0] for group in groups]
+        flat = _joined(found)
+        begins = np.flatnonzero(self._begins[flat])
+        ends = np.cumsum(list(map(len, found)), dtype=np.int64)
+        right = np.diff(np.searchsorted(begins, ends), prepend=0) == list(map(len, groups))
+        if right.all():
+            return flat, np.diff(begins, append=len(flat))
+        parts, sizes = [], []
+        for group, ids, well in zip(groups, found, right.tolist()):
+            alone = np.split(ids, np.flatnonzero(self._begins[ids])[1:]) if well else self.wholes(group)
+            parts += alone
+            sizes += map(len, alone)
+        return _joined(parts), np.array(sizes, dtype=np.int64)
 
     def batch(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """The ids of each text, in order."""
@@ -83,14 +88,17 @@ class Encoder:
             yield b"".join(waiting)
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder per worker process and file."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+def encoder(path: str, memo: int = 1) -> Encoder:
+    """One encoder per worker process, of the file and size of memo asked for last."""
+    if (path, memo) not in _encoders:
+        _encoders.clear()
+        # What earlier stages left unused in this worker goes back before the memo grows.
+        pa.default_memory_pool().release_unused()
+        _encoders[path, memo] = Encoder(path, memo)
+    return _encoders[path, memo]
 
 
 def as_ids(raw: bytes) -> np.ndarray:

@@ -217,3 +217,18 @@ def test_token_files(library, odd, sf, monkeypatch, part_tokens):
         )
         have = [(r.doc_id if r.doc_id is not None else -1, r.n_tokens, r.ids_crc32) for r in got]
         assert sorted(have) == want
+
+
+def test_pieces_of_most_windows_are_remembered(monkeypatch):
+    """A word of many texts stays known when more new words than the memo holds come after it."""
+    monkeypatch.setattr(pieces, "MEMO_PIECES", 200)
+    fresh = Encoder(tokenizer_path())
+    asked = []
+    work_out = fresh._table._many
+    monkeypatch.setattr(fresh._table, "_many", lambda texts: asked.extend(texts) or work_out(texts))
+    for _ in range(10):
+        list(fresh.batch(["one often seen word"]))
+    for k in range(3):
+        list(fresh.batch([" ".join(f"new{k}y{i}" for i in range(150))]))
+    list(fresh.batch(["one often seen word"]))
+    assert asked.count(" often") == 1
