@@ -23,12 +23,17 @@ from pagemill.llm.tokens import END_ID, as_ids, each_text, encoder, tokenizer_pa
 
 #: Longest code; the decoding table has 2^MAX_BITS entries.
 MAX_BITS = 20
+#: Bits of an id in the decoding table; the five above it hold the length of its code.
+ID_BITS = 27
+ID_MASK = np.uint32((1 << ID_BITS) - 1)
 #: Tokens between two bit offsets.
 STRIDE = 256
 #: A block ends with the document that brings it to so many tokens.
 BLOCK_TOKENS = 1 << 18
 #: Tokens of a part, that is of one sorted file of blocks, on average.
 PART_TOKENS = 16 << 20
+#: Size of the encoder's memo: a task holds little else.
+MEMO = 4
 _STAGE = "doc_id long, row long, n_tokens long, ids binary, chunk int, counters binary"
 _CODED = "part int, doc_id long, row long, n_tokens long, bits binary, offsets binary"
 _BLOCK = (
@@ -83,17 +88,15 @@ def canonical_codes(lengths: np.ndarray) -> np.ndarray:
     return codes
 
 
-def decoding_table(lengths: np.ndarray, limit: int = MAX_BITS) -> tuple[np.ndarray, np.ndarray]:
-    """(id, length) for every value of the next ``limit`` bits."""
-    ids = np.zeros(1 << limit, dtype=np.uint32)
-    sizes = np.zeros(1 << limit, dtype=np.uint8)
+def decoding_table(lengths: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
+    """The id, and above it the code's length, for every value of the next ``limit`` bits."""
+    table = np.zeros(1 << limit, dtype=np.uint32)
     used = np.flatnonzero(lengths)
     order = used[np.argsort(lengths[used], kind="stable")]
     span = (1 << limit) >> lengths[order].astype(np.int64)
     filled = int(span.sum())
-    ids[:filled] = np.repeat(order, span)
-    sizes[:filled] = np.repeat(lengths[order], span)
-    return ids, sizes
+    table[:filled] = np.repeat(order.astype(np.uint32) | lengths[order].astype(np.uint32) << ID_BITS, span)
+    return table
 
 
 def left_aligned(codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -115,26 +118,28 @@ def encode_aligned(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> t
     value = codes[ids] >> (starts & 31).astype(np.uint64)
     out = np.zeros(int(ends[-1] >> 5) + 2, dtype=np.uint64)
     first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
-    out[word[first]] += np.add.reduceat(value >> np.uint64(32), first)
-    out[word[first] + 1] += np.add.reduceat(value & np.uint64(0xFFFFFFFF), first)
+    # Codes do not overlap, so their sum has the bits of all that begin in a word.
+    bits, word = np.add.reduceat(value, first), word[first]
+    out[word] += bits >> np.uint64(32)
+    out[word + 1] += bits & np.uint64(0xFFFFFFFF)
     return out.astype(">u4").tobytes()[: int(ends[-1] + 7) // 8], starts[::STRIDE]
 
 
 def decode(payload: bytes, offsets: np.ndarray, counts: np.ndarray, table) -> np.ndarray:
     """The ids of the runs of ``counts`` ids that start at the bit ``offsets``, in order."""
-    table_ids, table_sizes = table
     data = np.frombuffer(payload + b"\0\0\0\0", dtype=np.uint8).astype(np.uint32)
     ahead = (data[:-3] << 24) | (data[1:-2] << 16) | (data[2:-1] << 8) | data[3:]
     order = np.argsort(-counts, kind="stable")
     position, left = offsets[order].astype(np.int64), counts[order]
     into = (np.cumsum(counts) - counts)[order]
     out = np.empty(int(counts.sum()), dtype=np.uint32)
-    for step in range(int(left[0]) if len(left) else 0):
-        live = int(np.searchsorted(-left, -step, side="left"))
+    steps = int(left[0]) if len(left) else 0
+    for step, live in enumerate(np.searchsorted(-left, -np.arange(steps), side="left").tolist()):
         at = position[:live]
         window = (ahead[at >> 3] << (at & 7).astype(np.uint32)) >> np.uint32(32 - MAX_BITS)
-        out[into[:live] + step] = table_ids[window]
-        at += table_sizes[window]
+        found = table[window]
+        out[into[:live] + step] = found & ID_MASK
+        at += found >> ID_BITS
     return out
 
 
@@ -145,7 +150,7 @@ def _stage(path: str, end_id: int, vocabulary: int):
     narrow = "<u2" if vocabulary <= 1 << 16 else "<u4"
 
     def run(batches):
-        encode_texts = encoder(path).batch
+        encode_texts = encoder(path, MEMO).batch
         counters = np.zeros(vocabulary, dtype=np.int64)
         row = TaskContext.get().partitionId() << 33
         end = int(end_id).to_bytes(4, "little")
