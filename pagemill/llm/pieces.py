@@ -1,15 +1,17 @@
 """Texts as pieces that a byte-level pre-tokenizer treats apart, one value for each distinct piece.
 
 The pre-tokenizer's pattern starts anew at a single space, and around a single newline, between
-two characters that are not white space, whatever else stands around them.  So a text may be cut
-there, and what is worked out for a piece (its ids, its number of tokens) serves every text that
-holds the piece.  Texts are cut some megabytes at a time by Arrow, which also numbers the distinct
+two characters that are not white space, whatever else stands around them, and where punctuation
+follows a letter or digit.  So a text may be cut there, and what is worked out for a piece (its ids,
+its number of tokens) serves every text that holds the piece: a word is one piece, whatever
+punctuation ends it.  Texts are cut some megabytes at a time by Arrow, which also numbers the distinct
 pieces; each of them is looked up once a window in a memo of bounded size.
 """
 
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Callable, Iterable, Iterator
 from itertools import repeat
 
@@ -26,6 +28,19 @@ MEMO_BYTES = 24 << 20
 #: Bytes of a remembered piece besides its text and values: a string, its place and numbers.
 PIECE_BYTES = 144
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+#: Letters and digits that are so in every version of Unicode.
+_LETTERS = "0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+#: Begins a piece with no space before it: the punctuation that ends a word.  Texts that hold it are
+#: worked out with care.
+_MARK = "\x01"
+
+
+def _endings(specials: Iterable[str]) -> str:
+    """Matches punctuation between a letter or digit and white space, never from within a special
+    string, which the pre-tokenizer does not see."""
+    inside = "".join(re.findall(f"(?<=[{_LETTERS}])[^{_LETTERS}]", "\n".join(specials)))
+    marks = "".join(re.escape(mark) for mark in string.punctuation if mark not in inside)
+    return f"([{_LETTERS}])([{marks}]+)([ \n])"
 
 
 def _may_join(pieces: list[str]) -> list[bool]:
@@ -41,11 +56,21 @@ class PieceTable:
 
     ``wholes(texts)`` works texts out in full, ``join(values)`` puts values of parts together, and
     ``many(texts)`` gives the values of pieces with their space or newline before them, as one
-    array and the length of each.  ``memo`` times the bounds above are remembered.  The memo finds a piece's number in a dictionary, so a window
-    costs by its own pieces, not by all that are known; what stands for a piece is in columns.
+    array and the length of each.  ``specials`` are strings that are taken out of a text before the
+    pre-tokenizer gets it.  ``memo`` times the bounds above are remembered.  The memo finds a piece's
+    number in a dictionary, so a window costs by its own pieces, not by all that are known; what
+    stands for a piece is in columns.
     """
 
-    def __init__(self, wholes: Callable, join: Callable, many: Callable | None = None, memo: int = 1):
+    def __init__(
+        self,
+        wholes: Callable,
+        join: Callable,
+        many: Callable | None = None,
+        memo: int = 1,
+        specials: Iterable[str] = (),
+    ):
+        self._endings = _endings(specials)
         self._wholes, self._join, self._many = wholes, join, many or self._one_by_one
         self._blank = join([])
         # The empty piece is always known and stands for nothing.
@@ -83,10 +108,18 @@ class PieceTable:
     def _learn(self, pieces: list[str]) -> None:
         joins = _may_join(pieces)
         safe = np.array(joins, dtype=bool)
-        texts = [p if p[0] == "\n" else " " + p for p, ok in zip(pieces, joins) if ok]
+        ends = np.fromiter((p[0] == _MARK for p in pieces), dtype=bool, count=len(pieces))
+        texts = [p if p[0] == "\n" else " " + p for p, ok in zip(pieces, joins) if ok and p[0] != _MARK]
         flat, lengths = self._many(texts)
         starts, sizes = np.zeros(len(pieces), dtype=np.int64), np.full(len(pieces), len(self._blank))
-        starts[safe], sizes[safe] = len(self._flat) + np.cumsum(lengths) - lengths, lengths
+        sizes[safe & ~ends] = lengths
+        starts[safe & ~ends] = len(self._flat) + np.cumsum(lengths) - lengths
+        if (ends & safe).any():
+            values = self._wholes([pieces[i][1:] for i in np.flatnonzero(ends & safe).tolist()])
+            lengths = np.array(list(map(len, values)), dtype=np.int64)
+            sizes[ends & safe] = lengths
+            starts[ends & safe] = len(self._flat) + len(flat) + np.cumsum(lengths) - lengths
+            flat = np.concatenate((flat, *values))
         self._index.update(zip(pieces, range(len(self._index), len(self._index) + len(pieces))))
         self._octets += sum(map(len, pieces)) + PIECE_BYTES * len(pieces) + 4 * int(sizes.sum())
         self._flat = np.concatenate((self._flat, flat))
@@ -120,7 +153,10 @@ class PieceTable:
 
         ``goes_on`` marks texts that continue after a space.
         """
-        cut = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.string()), "\n", " \n"), " ")
+        plain = pa.array(texts, pa.string())
+        marked = pc.match_substring(plain, _MARK).to_pylist()
+        ended = pc.replace_substring_regex(plain, self._endings, rf"\1 {_MARK}\2\3")
+        cut = pc.split_pattern(pc.replace_substring(ended, "\n", " \n"), " ")
         begins = cut.offsets.to_numpy().astype(np.int64)
         coded = cut.values.dictionary_encode()
         number = self._places(coded.dictionary)[coded.indices.to_numpy()]
@@ -131,7 +167,7 @@ class PieceTable:
         heads = coded.dictionary.take(coded.indices.take(pa.array(begins[:-1]))).to_pylist()
         alone, hard = [], []
         for i, head in enumerate(heads):
-            if bad_rest[i] or head[:1] == "\n" or (own_head[i] if goes_on[i] else head[-1:].isspace()):
+            if marked[i] or bad_rest[i] or head[:1] == "\n" or (own_head[i] if goes_on[i] else head[-1:].isspace()):
                 hard.append(i)
             elif not goes_on[i]:
                 alone.append(i)

@@ -60,7 +60,8 @@ class Counter:
         self._special = re.compile("|".join(longest_first)) if specials else None
         self._pattern = regex.compile(public_tokenizers.PATTERN)
         self._words = Memo(self.merge, MEMO_WORDS)
-        self._table = PieceTable(self._counts, lambda counts: np.array([np.sum(counts)], dtype=np.uint32), memo=MEMO)
+        add_up = lambda counts: np.array([np.sum(counts)], dtype=np.uint32)
+        self._table = PieceTable(self._counts, add_up, memo=MEMO, specials=specials)
 
     def merge(self, word: str) -> int:
         """Tokens of one piece of the pre-tokenizer."""

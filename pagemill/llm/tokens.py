@@ -37,7 +37,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._table = PieceTable(self.wholes, _joined, self.pieces, memo)
+        specials = [token.content for token in self._tokenizer.get_added_tokens_decoder().values()]
+        self._table = PieceTable(self.wholes, _joined, self.pieces, memo, specials)
         vocabulary = self._tokenizer.get_vocab()
         # In a byte-level vocabulary a space is written as Ġ and a newline as Ċ.
         self._begins = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)

@@ -232,3 +232,29 @@ def test_pieces_of_most_windows_are_remembered(monkeypatch):
         list(fresh.batch([" ".join(f"new{k}y{i}" for i in range(150))]))
     list(fresh.batch(["one often seen word"]))
     assert asked.count(" often") == 1
+
+
+def test_words_are_worked_out_without_their_punctuation(library, monkeypatch):
+    """A word is encoded once, whatever punctuation ends it; so is the punctuation."""
+    fresh = Encoder(tokenizer_path())
+    asked, apart = [], []
+    work_out, alone = fresh._table._many, fresh._table._wholes
+    monkeypatch.setattr(fresh._table, "_many", lambda texts: asked.extend(texts) or work_out(texts))
+    monkeypatch.setattr(fresh._table, "_wholes", lambda texts: apart.extend(texts) or alone(texts))
+    text = "So verlich, verlich. verlich!\nverlich %%% verlich*** verlich, and été. été; 9, end."
+    assert [as_ids(raw).tolist() for raw in fresh.batch([text, "\n".join([text] * 3)])] == [library(text), library("\n".join([text] * 3))]
+    assert sorted(p for p in asked if "verl" in p) == ["\nverlich", " verlich"]
+    assert asked.count(" été") == 1 and apart.count(",") == 1 and apart.count(".") == 1
+
+
+def test_endings_equal_library(library):
+    """Punctuation is cut off only where the library's pattern cuts too."""
+    texts = [
+        "café, so", "a ́. b", "x\x01, y", "\x01. a", "a\x01.\nb", "it's. it'S, o'. o', 's. x", "a , b .\nc", "2×, 3÷. 4",
+        "say <|endoftext|> now", "say<|endoftext|>, now", "say <|endoftext|, now. <|endoftext|>.\n<|endoftext|> ,", "a|. b> c",
+        "中文, слово. ², ª. º;", "a.b, c,\td.\r\ne.  f. ", "a.\n\nb,\n", ", a", "a,",
+    ]
+    got = list(Encoder(tokenizer_path()).batch(texts))
+    assert [as_ids(raw).tolist() for raw in got] == [library(text) for text in texts]
+    counts = token_counts.Counter(tokenizer_path()).batch(texts)
+    assert counts.tolist() == [len(library(text)) for text in texts]
