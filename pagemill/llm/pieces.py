@@ -13,7 +13,6 @@ from __future__ import annotations
 import re
 import string
 from collections.abc import Callable, Iterable, Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -23,10 +22,10 @@ import pyarrow.compute as pc
 WINDOW = 2 << 20
 #: Pieces that a worker remembers, and bytes of them and their values; beyond either it forgets
 #: all but the half that most windows used, of which older ones count less.
-MEMO_PIECES = 150_000
+MEMO_PIECES = 300_000
 MEMO_BYTES = 24 << 20
-#: Bytes of a remembered piece besides its text and values: a string, its place and numbers.
-PIECE_BYTES = 144
+#: Bytes of a remembered piece besides its text and values: its offset, hash, place and numbers.
+PIECE_BYTES = 48
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Letters and digits that are so in every version of Unicode.
 _LETTERS = "0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
@@ -57,9 +56,8 @@ class PieceTable:
     ``wholes(texts)`` works texts out in full, ``join(values)`` puts values of parts together, and
     ``many(texts)`` gives the values of pieces with their space or newline before them, as one
     array and the length of each.  ``specials`` are strings that are taken out of a text before the
-    pre-tokenizer gets it.  ``memo`` times the bounds above are remembered.  The memo finds a piece's
-    number in a dictionary, so a window costs by its own pieces, not by all that are known; what
-    stands for a piece is in columns.
+    pre-tokenizer gets it.  ``memo`` times the bounds above are remembered.  The memo is in
+    columns: a piece's number is found by its hash, among sorted ones, and its text is compared.
     """
 
     def __init__(
@@ -74,7 +72,8 @@ class PieceTable:
         self._wholes, self._join, self._many = wholes, join, many or self._one_by_one
         self._blank = join([])
         # The empty piece is always known and stands for nothing.
-        self._index, self._memo = {"": 0}, memo
+        self._keys, self._memo = pa.array([""], pa.string()), memo
+        self._hashes, self._numbers = np.array([hash("")]), np.zeros(1, dtype=np.int64)
         self._octets = PIECE_BYTES
         self._flat, self._starts = self._blank, np.zeros(1, dtype=np.int64)
         self._sizes = np.array([len(self._blank)], dtype=np.int64)
@@ -84,15 +83,9 @@ class PieceTable:
         values = self._wholes(texts)
         return np.concatenate([self._blank[:0], *values]), np.array(list(map(len, values)), dtype=np.int64)
 
-    @property
-    def _keys(self) -> pa.Array:
-        """The pieces known, by number."""
-        return pa.array(list(self._index), pa.string())
-
     def _forget(self) -> None:
         """Keep the pieces used most, at most half of either bound."""
-        keys = list(self._index)
-        cost = np.fromiter(map(len, keys), dtype=np.int64, count=len(keys)) + PIECE_BYTES + 4 * self._sizes
+        cost = pc.binary_length(self._keys).to_numpy() + PIECE_BYTES + 4 * self._sizes
         order = np.argsort(-self._used[1:], kind="stable") + 1
         order = order[np.cumsum(cost[order]) <= self._memo * MEMO_BYTES // 2][: self._memo * MEMO_PIECES // 2]
         kept = np.concatenate(([0], np.sort(order)))
@@ -100,12 +93,16 @@ class PieceTable:
         ends = np.cumsum(sizes)
         inside = np.repeat(self._starts[kept] - (ends - sizes), sizes)
         self._flat = self._flat[inside + np.arange(len(inside))]
-        self._index = {keys[old]: new for new, old in enumerate(kept.tolist())}
+        self._keys = self._keys.take(pa.array(kept))
+        number = np.full(len(cost), -1)
+        number[kept] = np.arange(len(kept))
+        stays = number[self._numbers] >= 0
+        self._hashes, self._numbers = self._hashes[stays], number[self._numbers[stays]]
         self._octets = int(cost[kept].sum())
         self._starts, self._sizes = ends - sizes, sizes
         self._unsafe, self._used = self._unsafe[kept], self._used[kept] / 2
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _learn(self, pieces: list[str], hashes: np.ndarray) -> None:
         joins = _may_join(pieces)
         safe = np.array(joins, dtype=bool)
         ends = np.fromiter((p[0] == _MARK for p in pieces), dtype=bool, count=len(pieces))
@@ -120,8 +117,13 @@ class PieceTable:
             sizes[ends & safe] = lengths
             starts[ends & safe] = len(self._flat) + len(flat) + np.cumsum(lengths) - lengths
             flat = np.concatenate((flat, *values))
-        self._index.update(zip(pieces, range(len(self._index), len(self._index) + len(pieces))))
-        self._octets += sum(map(len, pieces)) + PIECE_BYTES * len(pieces) + 4 * int(sizes.sum())
+        order = np.argsort(hashes)
+        into = np.searchsorted(self._hashes, hashes[order])
+        self._hashes = np.insert(self._hashes, into, hashes[order])
+        self._numbers = np.insert(self._numbers, into, order + len(self._keys))
+        keys = pa.array(pieces, pa.string())
+        self._keys = pa.concat_arrays([self._keys, keys])
+        self._octets += pc.sum(pc.binary_length(keys)).as_py() + PIECE_BYTES * len(pieces) + 4 * int(sizes.sum())
         self._flat = np.concatenate((self._flat, flat))
         self._starts = np.concatenate((self._starts, starts))
         self._sizes = np.concatenate((self._sizes, sizes))
@@ -130,14 +132,20 @@ class PieceTable:
 
     def _places(self, pieces: pa.Array) -> np.ndarray:
         """Where the memo holds each of these distinct pieces; those not known are worked out."""
-        if len(self._index) > self._memo * MEMO_PIECES or self._octets > self._memo * MEMO_BYTES:
+        if len(self._keys) > self._memo * MEMO_PIECES or self._octets > self._memo * MEMO_BYTES:
             self._forget()
         texts = pieces.to_numpy(zero_copy_only=False).tolist()
-        places = np.fromiter(map(self._index.get, texts, repeat(-1)), dtype=np.int64, count=len(texts))
-        unknown = np.flatnonzero(places < 0)
+        hashes = np.fromiter(map(hash, texts), dtype=np.int64, count=len(texts))
+        order = np.argsort(hashes)
+        found = np.searchsorted(self._hashes, hashes[order])
+        places = np.empty(len(texts), dtype=np.int64)
+        places[order] = self._numbers[np.minimum(found, len(self._numbers) - 1)]
+        # Of two pieces with one hash only the first is found; the other is worked out each time.
+        known = pc.equal(self._keys.take(pa.array(places)), pieces).to_numpy(zero_copy_only=False)
+        unknown = np.flatnonzero(~known)
         if len(unknown):
-            places[unknown] = np.arange(len(unknown)) + len(self._index)
-            self._learn([texts[i] for i in unknown.tolist()])
+            places[unknown] = np.arange(len(unknown)) + len(self._keys)
+            self._learn([texts[i] for i in unknown.tolist()], hashes[unknown])
         self._used[places] += 1
         return places
 

@@ -258,3 +258,23 @@ def test_endings_equal_library(library):
     assert [as_ids(raw).tolist() for raw in got] == [library(text) for text in texts]
     counts = token_counts.Counter(tokenizer_path()).batch(texts)
     assert counts.tolist() == [len(library(text)) for text in texts]
+
+
+@pytest.mark.parametrize("bound", [1_000_000, 40])
+def test_pieces_of_one_hash_are_told_apart(library, monkeypatch, bound):
+    monkeypatch.setattr(pieces, "hash", lambda text: len(text) % 3, raising=False)
+    monkeypatch.setattr(pieces, "MEMO_PIECES", bound)
+    fresh = Encoder(tokenizer_path())
+    texts = [" ".join(words(k % 5, 20)) + ".\nnext, line." for k in range(12)]
+    for _ in range(2):
+        assert [as_ids(raw).tolist() for raw in fresh.batch(texts)] == [library(text) for text in texts]
+
+
+def test_a_remembered_piece_is_not_a_python_object():
+    """Beside its text a piece costs its numbers only, so the memo's bytes hold every piece it may have."""
+    fresh = Encoder(tokenizer_path())
+    list(fresh.batch([" ".join(f"w{i}" for i in range(5_000))]))
+    table = fresh._table
+    parts = [table._keys, table._hashes, table._numbers, table._starts, table._sizes, table._used, table._unsafe]
+    held = sum(part.nbytes for part in parts) + table._flat.nbytes
+    assert held <= 1.01 * table._octets and table._octets / len(table._keys) * pieces.MEMO_PIECES <= pieces.MEMO_BYTES
